@@ -16,7 +16,8 @@ def floor_days(start: Column, end: Column) -> Column:
 
 
 def date_key(moment: Column) -> Column:
-    return F.date_format(moment, "yyyyMMdd").cast("int")
+    """`yyyyMMdd` as a number."""
+    return F.year(moment) * 10000 + F.month(moment) * 100 + F.dayofmonth(moment)
 
 
 def month_label(year: Column, month: Column) -> Column:

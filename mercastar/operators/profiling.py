@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -116,15 +117,15 @@ def profile_table(name: str, df: DataFrame) -> DataFrame:
     )
 
 
-def profile_all_columns(sources: dict[str, DataFrame]) -> DataFrame:
+def profile_all_columns(sources: Mapping[str, DataFrame]) -> DataFrame:
     return _stack([profile_columns(name, df) for name, df in sources.items()])
 
 
-def profile_all_tables(sources: dict[str, DataFrame]) -> DataFrame:
+def profile_all_tables(sources: Mapping[str, DataFrame]) -> DataFrame:
     return _stack([profile_table(name, df) for name, df in sources.items()])
 
 
-def primary_key_duplicates(sources: dict[str, DataFrame]) -> DataFrame:
+def primary_key_duplicates(sources: Mapping[str, DataFrame]) -> DataFrame:
     """Rows beyond the first of each declared key, for every keyed source."""
     return _stack(
         [
@@ -139,7 +140,7 @@ def primary_key_duplicates(sources: dict[str, DataFrame]) -> DataFrame:
     )
 
 
-def negative_values(sources: dict[str, DataFrame]) -> DataFrame:
+def negative_values(sources: Mapping[str, DataFrame]) -> DataFrame:
     return _stack(
         [
             df.agg(F.count_if(F.col(column) < 0).alias("negative_count")).select(
@@ -154,7 +155,7 @@ def negative_values(sources: dict[str, DataFrame]) -> DataFrame:
     )
 
 
-def scores_out_of_range(sources: dict[str, DataFrame]) -> DataFrame:
+def scores_out_of_range(sources: Mapping[str, DataFrame]) -> DataFrame:
     low, high = SCORE_RANGE
     return _stack(
         [

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -84,7 +85,7 @@ def check_row_counts(w: Warehouse, p: ReportParameters) -> DataFrame:
     )
 
 
-def check_staging(w: Warehouse, staging: dict[str, DataFrame], p: ReportParameters) -> DataFrame:
+def check_staging(w: Warehouse, staging: Mapping[str, DataFrame], p: ReportParameters) -> DataFrame:
     """Orders may be lost on the way, up to a share; customers hardly any."""
     counts = _side_by_side(
         [
@@ -295,7 +296,7 @@ def fact_duplicates(w: Warehouse) -> DataFrame:
     )
 
 
-def run_checks(w: Warehouse, staging: dict[str, DataFrame], p: ReportParameters) -> DataFrame:
+def run_checks(w: Warehouse, staging: Mapping[str, DataFrame], p: ReportParameters) -> DataFrame:
     """All 24 results. The fact is aggregated once for all null and rule checks."""
     parts = [
         check_row_counts(w, p),

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Mapping
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 from mercastar.fixed_values import UNKNOWN_CATEGORY
 from mercastar.operators.dedup import first_per_key
 from mercastar.schemas import AUDIT_COLUMN, PRIMARY_KEYS, PRODUCT_NUMBERS, STAGING, conform
+from mercastar.sources.lazy import LazyTables
 from mercastar.sources.sinks import read_parquet, write_parquet
 
 # Staging table per source; the translation is folded into the products.
@@ -41,27 +43,34 @@ def translated(products: DataFrame, translation: DataFrame) -> DataFrame:
     )
 
 
+def staging_table(
+    name: str, sources: Mapping[str, DataFrame], loaded_at: datetime
+) -> DataFrame:
+    source = STAGED_SOURCES[name]
+    df = sources[source]
+    if source in PRIMARY_KEYS:
+        df = first_per_key(df, PRIMARY_KEYS[source])
+    if source == "products":
+        df = translated(df, sources["translation"])
+        df = df.withColumns({c: whole_number(F.col(c)) for c in PRODUCT_NUMBERS})
+    return conform(df.withColumn(AUDIT_COLUMN, F.lit(loaded_at)), STAGING[name])
+
+
 def build_staging(
-    sources: dict[str, DataFrame], loaded_at: datetime | None = None
-) -> dict[str, DataFrame]:
+    sources: Mapping[str, DataFrame], loaded_at: datetime | None = None
+) -> LazyTables:
     """All eight staging tables, lazily. One load time marks the whole run."""
-    moment = F.lit(loaded_at or datetime.now().replace(microsecond=0))
-    out = {}
-    for table, source in STAGED_SOURCES.items():
-        df = sources[source]
-        if source in PRIMARY_KEYS:
-            df = first_per_key(df, PRIMARY_KEYS[source])
-        if source == "products":
-            df = translated(df, sources["translation"])
-            numbers = {c: whole_number(F.col(c)) for c in PRODUCT_NUMBERS}
-            df = df.withColumns(numbers)
-        out[table] = conform(df.withColumn(AUDIT_COLUMN, moment), STAGING[table])
-    return out
+    moment = loaded_at or datetime.now().replace(microsecond=0)
+
+    def builder(name: str) -> Callable[[], DataFrame]:
+        return lambda: staging_table(name, sources, moment)
+
+    return LazyTables({name: builder(name) for name in STAGED_SOURCES})
 
 
 def load_staging(
     spark: SparkSession,
-    sources: dict[str, DataFrame],
+    sources: Mapping[str, DataFrame],
     folder: str,
     loaded_at: datetime | None = None,
 ) -> dict[str, DataFrame]:

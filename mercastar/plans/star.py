@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -145,7 +147,7 @@ def order_headers(
 
 
 def fact_orders(
-    sources: dict[str, DataFrame],
+    sources: Mapping[str, DataFrame],
     customer: DataFrame,
     product: DataFrame,
     seller: DataFrame,

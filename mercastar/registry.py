@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable
-from datetime import datetime
+from collections import ChainMap
+from collections.abc import Callable, Mapping
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -35,7 +36,18 @@ from mercastar.storage import shared_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-_open: dict[tuple[str, str], tuple[int, Warehouse]] = {}
+
+
+@dataclass
+class Opened:
+    """What is kept for one folder: its data version, sources and star schema."""
+
+    version: int
+    sources: Mapping[str, DataFrame]
+    warehouse: Warehouse
+
+
+_open: dict[tuple[str, str], Opened] = {}
 
 
 def _version(spark: SparkSession, folder: str) -> int:
@@ -46,37 +58,45 @@ def _version(spark: SparkSession, folder: str) -> int:
     return files.agg(F.bit_xor(mark)).first()[0]
 
 
-def warehouse(spark: SparkSession, folder: str) -> Warehouse:
-    """The star schema of a folder, stored once per application and data version."""
+def opened(spark: SparkSession, folder: str) -> Opened:
+    """Sources and star schema of a folder, kept per application and data version."""
     key = (spark.sparkContext.applicationId, folder)
     version = _version(spark, folder)
-    known = _open.get(key)
-    if known is None or known[0] != version:
-        _open[key] = (version, fresh_warehouse(spark, folder))
-    return _open[key][1]
+    if key not in _open or _open[key].version != version:
+        sources = testdata.sources(spark, folder)
+        _open[key] = Opened(version, sources, _new_warehouse(spark, folder, sources))
+    return _open[key]
+
 
+def warehouse(spark: SparkSession, folder: str) -> Warehouse:
+    return opened(spark, folder).warehouse
 
-def fresh_warehouse(spark: SparkSession, folder: str) -> Warehouse:
+
+def _new_warehouse(
+    spark: SparkSession, folder: str, sources: Mapping[str, DataFrame]
+) -> Warehouse:
     shared = shared_folder(spark)
     place = f"{shared}/mercastar/warehouse/{uuid.uuid4().hex}" if shared else None
-    return Warehouse(testdata.sources(spark, folder), testdata.regions(spark, folder), place)
+    return Warehouse(sources, testdata.regions(spark, folder), place)
 
 
 def presentable(df: DataFrame) -> DataFrame:
     """Plain result types: whole numbers as BIGINT, decimals as DOUBLE, moments as text."""
     columns = []
     for field in df.schema:
-        column, kind = F.col(field.name), field.dataType
+        name, kind = f"`{field.name}`", field.dataType
         if isinstance(kind, (IntegralType, BooleanType)):
-            column = column.cast("bigint") if isinstance(kind, IntegralType) else column.cast("int").cast("bigint")
+            value = f"CAST({name} AS BIGINT)"
         elif isinstance(kind, (DecimalType, FloatType)):
-            column = column.cast("double")
+            value = f"CAST({name} AS DOUBLE)"
         elif isinstance(kind, DateType):
-            column = column.cast("string")
+            value = f"CAST({name} AS STRING)"
         elif isinstance(kind, (TimestampType, TimestampNTZType)):
-            column = timestamp_text(column)
-        columns.append(column.alias(field.name))
-    return df.select(*columns)
+            value = f"date_format({name}, 'yyyy-MM-dd HH:mm:ss')"
+        else:
+            value = name
+        columns.append(f"{value} AS {name}")
+    return df.selectExpr(*columns)
 
 
 def _table(name: str) -> Query:
@@ -87,32 +107,31 @@ def _report(name: str) -> Query:
     return lambda spark, folder: REPORTS[name](warehouse(spark, folder), testdata.PARAMETERS)
 
 
-def _sources(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
+def _sampled_sources(spark: SparkSession, folder: str) -> Mapping[str, DataFrame]:
     """Sources as an extract hands them on: locations are sampled."""
-    out = testdata.sources(spark, folder)
-    out["geolocation"] = exact_sample(
-        out["geolocation"], SAMPLE_FRACTION, SAMPLE_SEED, testdata.SAMPLE_MIN_ROWS
+    sources = opened(spark, folder).sources
+    places = exact_sample(
+        sources["geolocation"], SAMPLE_FRACTION, SAMPLE_SEED, testdata.SAMPLE_MIN_ROWS
     )
-    return out
+    return ChainMap({"geolocation": places}, sources)
 
 
 def _staged(name: str) -> Query:
     def run(spark: SparkSession, folder: str) -> DataFrame:
-        source = STAGED_SOURCES[name]
-        sources = _sources(spark, folder) if source == "geolocation" else None
-        tables = build_staging(sources or testdata.sources(spark, folder), datetime.now())
-        return tables[name].drop(AUDIT_COLUMN)
+        sampled = STAGED_SOURCES[name] == "geolocation"
+        sources = _sampled_sources(spark, folder) if sampled else opened(spark, folder).sources
+        return build_staging(sources)[name].drop(AUDIT_COLUMN)
 
     return run
 
 
-def _profile(build: Callable[[dict[str, DataFrame]], DataFrame]) -> Query:
-    return lambda spark, folder: build(testdata.sources(spark, folder))
+def _profile(build: Callable[[Mapping[str, DataFrame]], DataFrame]) -> Query:
+    return lambda spark, folder: build(opened(spark, folder).sources)
 
 
 def _load_staging(spark: SparkSession, folder: str) -> DataFrame:
     place = f"{_writable(spark)}/mercastar/staging/{uuid.uuid4().hex}"
-    return row_counts(load_staging(spark, _sources(spark, folder), place))
+    return row_counts(load_staging(spark, _sampled_sources(spark, folder), place))
 
 
 def _writable(spark: SparkSession) -> str:
@@ -124,7 +143,8 @@ def _writable(spark: SparkSession) -> str:
 
 def _load_warehouse(spark: SparkSession, folder: str) -> DataFrame:
     _writable(spark)
-    return row_counts(fresh_warehouse(spark, folder).load())
+    sources = opened(spark, folder).sources
+    return row_counts(_new_warehouse(spark, folder, sources).load())
 
 
 def _table_row_counts(spark: SparkSession, folder: str) -> DataFrame:
@@ -140,7 +160,7 @@ def _fact_summary(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _sample(spark: SparkSession, folder: str) -> DataFrame:
-    return _sources(spark, folder)["geolocation"]
+    return _sampled_sources(spark, folder)["geolocation"]
 
 
 def _coerce_timestamps(spark: SparkSession, folder: str) -> DataFrame:
@@ -170,7 +190,7 @@ def _normalize_missing(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _title_case(spark: SparkSession, folder: str) -> DataFrame:
-    cities = testdata.source(spark, folder, "customers").select("customer_city").distinct()
+    cities = opened(spark, folder).sources["customers"].select("customer_city").distinct()
     return cities.withColumn("clean_city", title_case(F.col("customer_city")))
 
 
@@ -192,12 +212,12 @@ def _quality_with(check: Callable[..., DataFrame]) -> Query:
 
 
 def _staging_consistency(spark: SparkSession, folder: str) -> DataFrame:
-    staging = build_staging(testdata.sources(spark, folder))
+    staging = build_staging(opened(spark, folder).sources)
     return quality.check_staging(warehouse(spark, folder), staging, testdata.PARAMETERS)
 
 
 def _quality_report(spark: SparkSession, folder: str) -> DataFrame:
-    staging = build_staging(testdata.sources(spark, folder))
+    staging = build_staging(opened(spark, folder).sources)
     return quality.run_checks(warehouse(spark, folder), staging, testdata.PARAMETERS)
 
 

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 
@@ -145,7 +144,9 @@ WAREHOUSE: dict[str, StructType] = {
 
 def conform(df: DataFrame, schema: StructType) -> DataFrame:
     """Select a schema's columns by name, in its order and types."""
-    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema])
+    return df.selectExpr(
+        *[f"CAST(`{f.name}` AS {f.dataType.simpleString()}) AS `{f.name}`" for f in schema]
+    )
 
 
 def create_table_ddl(table: str, name: str | None = None) -> str:

@@ -6,11 +6,13 @@ key joins, so the sources grow with the tables.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
 
 from mercastar.plans.parameters import ReportParameters
 from mercastar.schemas import SOURCES, WAREHOUSE, conform
+from mercastar.sources.lazy import LazyTables
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem")
 
@@ -40,241 +42,202 @@ PARAMETERS = ReportParameters(
 SAMPLE_MIN_ROWS = 100
 
 
-def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
-
-
-def _code(prefix: str, column: str) -> Column:
-    return F.concat(F.lit(prefix), F.col(column).cast("string"))
-
-
-def _plus(moment: Column, days: Column | int, seconds: Column | int) -> Column:
-    days = F.lit(days) if isinstance(days, int) else days
-    seconds = F.lit(seconds) if isinstance(seconds, int) else seconds
-    return moment + F.make_dt_interval(
-        days.cast("int"), F.lit(0), F.lit(0), seconds.cast("decimal(18,6)")
-    )
-
-
-def _orders(spark: SparkSession, folder: str) -> DataFrame:
-    key, person, day = F.col("o_orderkey"), F.col("o_custkey"), F.col("o_orderdate")
-    status = (
-        F.when(F.col("o_orderstatus").isin("F", "O"), "delivered")
-        .when(key % 10 == 0, "canceled")
-        .otherwise("shipped")
-    )
-    purchased = _plus(day, 0, key * 104729 % 86400)
-    live = F.col("order_status") != "canceled"
-    arrival = _plus(day, 1 + (key * 37 + person * 11) % 36, key * 7919 % 86400)
-    return (
-        _table(spark, folder, "orders")
-        .withColumn("order_status", status)
-        .withColumn("purchased", purchased)
-        .select(
-            _code("o", "o_orderkey").alias("order_id"),
-            _code("c", "o_orderkey").alias("customer_id"),
-            "order_status",
-            F.col("purchased").alias("order_purchase_timestamp"),
-            F.when(live, _plus(F.col("purchased"), 0, 3600)).alias("order_approved_at"),
-            F.when(live, _plus(F.col("purchased"), 1, 0)).alias("order_delivered_carrier_date"),
-            F.when((F.col("order_status") == "delivered") & (key % 97 != 0), arrival).alias(
-                "order_delivered_customer_date"
-            ),
-            _plus(day, 18 + key * 13 % 23, 0).alias("order_estimated_delivery_date"),
+# Expressions that occur in more than one source.
+STATUS = """CASE WHEN o_orderstatus IN ('F', 'O') THEN 'delivered'
+                 WHEN o_orderkey % 10 = 0 THEN 'canceled' ELSE 'shipped' END"""
+DUE_DAYS = "CAST(18 + o_orderkey * 13 % 23 AS INT)"
+ARRIVAL_DAYS = "CAST(1 + (o_orderkey * 37 + o_custkey * 11) % 36 AS INT)"
+GRADE = "(o_orderkey * 7 + o_custkey * 3) % 10"
+PRICE = "CAST(CAST(floor(l_extendedprice) AS DECIMAL(12,0)) * 0.01 AS DECIMAL(10,2))"
+FREIGHT = "CAST(l_quantity AS DECIMAL(10,2))"
+BRAND = r"regexp_extract(p_brand, '([0-9]+)', 1)"
+
+
+def _after(moment: str, days: str = "0", seconds: str = "0") -> str:
+    return f"{moment} + make_dt_interval({days}, 0, 0, CAST({seconds} AS DECIMAL(18,6)))"
+
+
+class TestTables:
+    """Views of the test tables of one folder as sources."""
+
+    def __init__(self, spark: SparkSession, folder: str):
+        self.spark = spark
+        self.folder = folder.rstrip("/")
+        self._read = LazyTables({name: self._reader(name) for name in TABLES})
+
+    def _reader(self, name: str) -> Callable[[], DataFrame]:
+        return lambda: self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+
+    def orders(self) -> DataFrame:
+        live = "order_status <> 'canceled'"
+        arrived = "order_status = 'delivered' AND o_orderkey % 97 <> 0"
+        arrival = _after("o_orderdate", ARRIVAL_DAYS, "o_orderkey * 7919 % 86400")
+        bought = _after("o_orderdate", seconds="o_orderkey * 104729 % 86400")
+        return (
+            self._read["orders"]
+            .selectExpr("*", f"{STATUS} AS order_status", f"{bought} AS bought")
+            .selectExpr(
+                "'o' || o_orderkey AS order_id",
+                "'c' || o_orderkey AS customer_id",
+                "order_status",
+                "bought AS order_purchase_timestamp",
+                f"CASE WHEN {live} THEN bought + INTERVAL 1 HOUR END AS order_approved_at",
+                f"CASE WHEN {live} THEN bought + INTERVAL 1 DAY END "
+                "AS order_delivered_carrier_date",
+                f"CASE WHEN {arrived} THEN {arrival} END AS order_delivered_customer_date",
+                f"{_after('o_orderdate', DUE_DAYS)} AS order_estimated_delivery_date",
+            )
+        )
+
+    def order_items(self) -> DataFrame:
+        # The line number is the item number as it stands: numbering an order's
+        # lines anew would put each order, however large, into one task.
+        return self._read["lineitem"].selectExpr(
+            "'o' || l_orderkey AS order_id",
+            "l_linenumber AS order_item_id",
+            "'p' || l_partkey AS product_id",
+            "'s' || l_suppkey AS seller_id",
+            "l_shipdate AS shipping_limit_date",
+            f"{PRICE} AS price",
+            f"{FREIGHT} AS freight_value",
+        )
+
+    def payments(self) -> DataFrame:
+        kind = """CASE WHEN l_linenumber = 1 AND l_orderkey % 53 = 0 THEN NULL
+                       WHEN l_orderkey % 101 = 0 THEN 'not_defined'
+                       WHEN round(l_tax * 100) = 8 THEN 'debit_card'
+                       WHEN l_returnflag = 'A' THEN 'credit_card'
+                       WHEN l_returnflag = 'N' THEN 'boleto' ELSE 'voucher' END"""
+        return (
+            self._read["lineitem"]
+            .where("l_orderkey % 211 <> 0")
+            .selectExpr(
+                "'o' || l_orderkey AS order_id",
+                "l_linenumber AS payment_sequential",
+                f"{kind} AS payment_type",
+                "l_linenumber + 1 AS payment_installments",
+                f"{PRICE} + {FREIGHT} AS payment_value",
+            )
+        )
+
+    def reviews(self) -> DataFrame:
+        """Some orders are reviewed twice, with the opposite score."""
+        score = f"CASE WHEN {GRADE} < 3 THEN {GRADE} + 1 WHEN {GRADE} < 5 THEN 4 ELSE 5 END"
+        return (
+            self._read["orders"]
+            .where("o_orderkey % 11 <> 0")
+            .selectExpr(
+                "o_orderkey",
+                f"{score} AS score",
+                f"{_after('o_orderdate', DUE_DAYS)} AS due",
+                "explode(IF(o_orderkey % 50 = 0, array('', 'b'), array(''))) AS mark",
+            )
+            .selectExpr(
+                "'r' || o_orderkey || mark AS review_id",
+                "'o' || o_orderkey AS order_id",
+                "IF(mark = 'b', 6 - score, score) AS review_score",
+                "CAST(NULL AS STRING) AS review_comment_title",
+                "CAST(NULL AS STRING) AS review_comment_message",
+                "due AS review_creation_date",
+                "due + INTERVAL 1 DAY AS review_answer_timestamp",
+            )
+        )
+
+    def people(self) -> DataFrame:
+        """The customer table with zip, city and state."""
+        city = """CASE c_custkey % 4 WHEN 0 THEN ' são paulo ' WHEN 1 THEN 'SAO PAULO'
+                       ELSE '  ' || lower(c_mktsegment) || " d'oeste " END"""
+        named = self._read["nation"].selectExpr("n_nationkey AS c_nationkey", "n_name")
+        return (
+            self._read["customer"]
+            .join(named, "c_nationkey")
+            .selectExpr(
+                "c_custkey",
+                "lpad(CAST(c_custkey AS STRING), 5, '0') AS zip",
+                f"{city} AS city",
+                "CASE WHEN c_custkey <> 7 THEN ' ' || lower(n_name) || ' ' END AS state",
+            )
+        )
+
+    def customers(self) -> DataFrame:
+        """One customer record per order; some people have several."""
+        orders = self._read["orders"].selectExpr("o_orderkey", "o_custkey AS c_custkey")
+        person = "IF(o_orderkey % 10 < 7, 'u' || o_orderkey, 'g' || c_custkey)"
+        return orders.join(self.people(), "c_custkey").selectExpr(
+            "'c' || o_orderkey AS customer_id",
+            f"{person} AS customer_unique_id",
+            "zip AS customer_zip_code_prefix",
+            "city AS customer_city",
+            "state AS customer_state",
+        )
+
+    def sellers(self) -> DataFrame:
+        named = self._read["nation"].selectExpr("n_nationkey AS s_nationkey", "n_name")
+        return (
+            self._read["supplier"]
+            .join(named, "s_nationkey")
+            .selectExpr(
+                "'s' || s_suppkey AS seller_id",
+                "lpad(CAST(s_suppkey AS STRING), 5, '0') AS seller_zip_code_prefix",
+                "IF(s_suppkey % 2 = 1, 'são paulo', 'sao paulo') AS seller_city",
+                "CASE WHEN s_suppkey <> 3 THEN n_name END AS seller_state",
+            )
         )
-    )
-
-
-def _price() -> Column:
-    return (F.floor("l_extendedprice").cast("decimal(12,0)") * F.lit("0.01").cast("decimal(3,2)")).cast(
-        "decimal(10,2)"
-    )
-
-
-def _freight() -> Column:
-    return F.col("l_quantity").cast("decimal(10,2)")
-
-
-def _items(spark: SparkSession, folder: str) -> DataFrame:
-    # The line number is the item number as it stands: numbering an order's lines
-    # anew would put each order, however large, into one task.
-    return _table(spark, folder, "lineitem").select(
-        _code("o", "l_orderkey").alias("order_id"),
-        F.col("l_linenumber").alias("order_item_id"),
-        _code("p", "l_partkey").alias("product_id"),
-        _code("s", "l_suppkey").alias("seller_id"),
-        F.col("l_shipdate").alias("shipping_limit_date"),
-        _price().alias("price"),
-        _freight().alias("freight_value"),
-    )
-
-
-def _payments(spark: SparkSession, folder: str) -> DataFrame:
-    key, line = F.col("l_orderkey"), F.col("l_linenumber")
-    kind = (
-        F.when((line == 1) & (key % 53 == 0), F.lit(None).cast("string"))
-        .when(key % 101 == 0, "not_defined")
-        .when(F.round(F.col("l_tax") * 100) == 8, "debit_card")
-        .when(F.col("l_returnflag") == "A", "credit_card")
-        .when(F.col("l_returnflag") == "N", "boleto")
-        .otherwise("voucher")
-    )
-    return (
-        _table(spark, folder, "lineitem")
-        .where(key % 211 != 0)
-        .select(
-            _code("o", "l_orderkey").alias("order_id"),
-            line.alias("payment_sequential"),
-            kind.alias("payment_type"),
-            (line + 1).alias("payment_installments"),
-            (_price() + _freight()).alias("payment_value"),
+
+    def products(self) -> DataFrame:
+        return self._read["part"].selectExpr(
+            "'p' || p_partkey AS product_id",
+            f"CASE WHEN p_partkey % 40 <> 0 THEN 'brand_' || {BRAND} END AS product_category_name",
+            "CAST(length(p_name) AS DOUBLE) AS product_name_lenght",
+            "CAST(NULL AS DOUBLE) AS product_description_lenght",
+            "CAST(NULL AS DOUBLE) AS product_photos_qty",
+            "CASE WHEN p_partkey % 33 <> 0 THEN p_size * 100.5D END AS product_weight_g",
+            "p_size AS product_length_cm",
+            "p_size + 1 AS product_height_cm",
+            "p_size + 2 AS product_width_cm",
         )
-    )
-
-
-def _reviews(spark: SparkSession, folder: str) -> DataFrame:
-    key = F.col("o_orderkey")
-    grade = (key * 7 + F.col("o_custkey") * 3) % 10
-    score = F.when(grade < 3, grade + 1).when(grade < 5, 4).otherwise(5)
-    due = _plus(F.col("o_orderdate"), 18 + key * 13 % 23, 0)
-    first = F.struct(F.lit("").alias("mark"), score.alias("score"))
-    second = F.struct(F.lit("b").alias("mark"), (6 - score).alias("score"))
-    nothing = F.lit(None).cast("string")
-    return (
-        _table(spark, folder, "orders")
-        .where(key % 11 != 0)
-        .withColumn("due", due)
-        .select(
-            "o_orderkey",
-            "due",
-            F.inline(F.when(key % 50 == 0, F.array(first, second)).otherwise(F.array(first))),
+
+    def translation(self) -> DataFrame:
+        """Twenty brand numbers have an English category."""
+        numbers = self._read["part"].selectExpr(f"{BRAND} AS n").distinct()
+        return numbers.where("CAST(n AS INT) <= 20").selectExpr(
+            "'brand_' || n AS product_category_name",
+            "'category_' || n AS product_category_name_english",
         )
-        .select(
-            F.concat(_code("r", "o_orderkey"), F.col("mark")).alias("review_id"),
-            _code("o", "o_orderkey").alias("order_id"),
-            F.col("score").alias("review_score"),
-            nothing.alias("review_comment_title"),
-            nothing.alias("review_comment_message"),
-            F.col("due").alias("review_creation_date"),
-            _plus(F.col("due"), 1, 0).alias("review_answer_timestamp"),
+
+    def geolocation(self) -> DataFrame:
+        return self.people().selectExpr(
+            "zip AS geolocation_zip_code_prefix",
+            "c_custkey % 180 - 90 AS geolocation_lat",
+            "c_custkey % 360 - 180 AS geolocation_lng",
+            "city AS geolocation_city",
+            "state AS geolocation_state",
         )
-    )
-
-
-def _city() -> Column:
-    rest = F.concat(F.lit("  "), F.lower("c_mktsegment"), F.lit(" d'oeste "))
-    kind = F.col("c_custkey") % 4
-    return F.when(kind == 0, " são paulo ").when(kind == 1, "SAO PAULO").otherwise(rest)
-
-
-def _people(spark: SparkSession, folder: str) -> DataFrame:
-    """The customer table with zip, city and state."""
-    nation = _table(spark, folder, "nation").select("n_nationkey", "n_name")
-    customer = _table(spark, folder, "customer")
-    state = F.when(
-        F.col("c_custkey") != 7, F.concat(F.lit(" "), F.lower("n_name"), F.lit(" "))
-    )
-    return customer.join(nation, customer.c_nationkey == nation.n_nationkey).select(
-        "c_custkey",
-        F.lpad(F.col("c_custkey").cast("string"), 5, "0").alias("zip"),
-        _city().alias("city"),
-        state.alias("state"),
-    )
-
-
-def _customers(spark: SparkSession, folder: str) -> DataFrame:
-    orders = _table(spark, folder, "orders").select("o_orderkey", "o_custkey")
-    people = _people(spark, folder)
-    person = F.when(F.col("o_orderkey") % 10 < 7, _code("u", "o_orderkey")).otherwise(
-        _code("g", "o_custkey")
-    )
-    return orders.join(people, orders.o_custkey == people.c_custkey).select(
-        _code("c", "o_orderkey").alias("customer_id"),
-        person.alias("customer_unique_id"),
-        F.col("zip").alias("customer_zip_code_prefix"),
-        F.col("city").alias("customer_city"),
-        F.col("state").alias("customer_state"),
-    )
-
-
-def _sellers(spark: SparkSession, folder: str) -> DataFrame:
-    nation = _table(spark, folder, "nation").select("n_nationkey", "n_name")
-    supplier = _table(spark, folder, "supplier")
-    return supplier.join(nation, supplier.s_nationkey == nation.n_nationkey).select(
-        _code("s", "s_suppkey").alias("seller_id"),
-        F.lpad(F.col("s_suppkey").cast("string"), 5, "0").alias("seller_zip_code_prefix"),
-        F.when(F.col("s_suppkey") % 2 == 1, "são paulo").otherwise("sao paulo").alias("seller_city"),
-        F.when(F.col("s_suppkey") != 3, F.col("n_name")).alias("seller_state"),
-    )
-
-
-def _brand() -> Column:
-    return F.regexp_extract("p_brand", r"(\d+)", 1)
-
-
-def _products(spark: SparkSession, folder: str) -> DataFrame:
-    key, size = F.col("p_partkey"), F.col("p_size").cast("double")
-    nothing = F.lit(None).cast("double")
-    return _table(spark, folder, "part").select(
-        _code("p", "p_partkey").alias("product_id"),
-        F.when(key % 40 != 0, F.concat(F.lit("brand_"), _brand())).alias("product_category_name"),
-        F.length("p_name").cast("double").alias("product_name_lenght"),
-        nothing.alias("product_description_lenght"),
-        nothing.alias("product_photos_qty"),
-        F.when(key % 33 != 0, size * 100.5).alias("product_weight_g"),
-        size.alias("product_length_cm"),
-        (size + 1).alias("product_height_cm"),
-        (size + 2).alias("product_width_cm"),
-    )
-
-
-def _translation(spark: SparkSession, folder: str) -> DataFrame:
-    numbers = _table(spark, folder, "part").select(_brand().alias("n")).distinct()
-    return numbers.where(F.col("n").cast("int") <= 20).select(
-        F.concat(F.lit("brand_"), "n").alias("product_category_name"),
-        F.concat(F.lit("category_"), "n").alias("product_category_name_english"),
-    )
-
-
-def _geolocation(spark: SparkSession, folder: str) -> DataFrame:
-    return _people(spark, folder).select(
-        F.col("zip").alias("geolocation_zip_code_prefix"),
-        (F.col("c_custkey") % 180 - 90).cast("double").alias("geolocation_lat"),
-        (F.col("c_custkey") % 360 - 180).cast("double").alias("geolocation_lng"),
-        F.col("city").alias("geolocation_city"),
-        F.col("state").alias("geolocation_state"),
-    )
-
-
-_BUILDERS = {
-    "orders": _orders,
-    "order_items": _items,
-    "payments": _payments,
-    "reviews": _reviews,
-    "customers": _customers,
-    "sellers": _sellers,
-    "products": _products,
-    "geolocation": _geolocation,
-    "translation": _translation,
-}
-
-
-def source(spark: SparkSession, folder: str, key: str) -> DataFrame:
-    return conform(_BUILDERS[key](spark, folder), SOURCES[key])
-
-
-def sources(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
-    return {key: source(spark, folder, key) for key in SOURCES}
+
+    def regions(self) -> DataFrame:
+        """Nations as states, regions as macro-regions."""
+        joined = (
+            self._read["nation"]
+            .join(self._read["region"].withColumnRenamed("r_regionkey", "n_regionkey"), "n_regionkey")
+            .selectExpr(
+                "n_nationkey + 1 AS region_key",
+                "n_name AS state_code",
+                "'State ' || n_nationkey AS state_name",
+                "r_name AS macro_region",
+            )
+        )
+        return conform(joined, WAREHOUSE["dim_region"])
+
+    def sources(self) -> LazyTables:
+        def builder(key: str) -> Callable[[], DataFrame]:
+            return lambda: conform(getattr(self, key)(), SOURCES[key])
+
+        return LazyTables({key: builder(key) for key in SOURCES})
+
+
+def sources(spark: SparkSession, folder: str) -> LazyTables:
+    return TestTables(spark, folder).sources()
 
 
 def regions(spark: SparkSession, folder: str) -> DataFrame:
-    """Nations as states, regions as macro-regions."""
-    nation = _table(spark, folder, "nation")
-    region = _table(spark, folder, "region")
-    joined = nation.join(region, nation.n_regionkey == region.r_regionkey).select(
-        (F.col("n_nationkey") + 1).alias("region_key"),
-        F.col("n_name").alias("state_code"),
-        F.concat(F.lit("State "), F.col("n_nationkey").cast("string")).alias("state_name"),
-        F.col("r_name").alias("macro_region"),
-    )
-    return conform(joined, WAREHOUSE["dim_region"])
+    return TestTables(spark, folder).regions()
