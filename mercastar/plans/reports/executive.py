@@ -155,11 +155,12 @@ def kpi_cards(w: Warehouse, p: ReportParameters) -> DataFrame:
 def revenue_trend(w: Warehouse, p: ReportParameters) -> DataFrame:
     """Monthly revenue with growth over the previous month that has sales.
 
-    The cutoff drops days at the end that are not a complete month.
+    The cutoff drops days at the end that are not a complete month. It is put on
+    the fact's own date key, so that it reaches the scan.
     """
+    cutoff = int(p.trend_cutoff.replace("-", ""))
     monthly = (
-        with_purchase_day(sold(w), w)
-        .where(F.col("full_date") < F.lit(p.trend_cutoff).cast("date"))
+        with_purchase_day(sold(w).where(F.col("purchase_time_key") < cutoff), w)
         .groupBy("year", "month")
         .agg(
             *metrics(
