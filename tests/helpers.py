@@ -3,7 +3,9 @@ from __future__ import annotations
 from datetime import datetime
 from decimal import Decimal
 
+import pyarrow as pa
 from mercastar.schemas import SOURCES
+from pyspark.sql.pandas.types import to_arrow_schema
 
 
 def ts(text: str | None) -> datetime | None:
@@ -29,7 +31,11 @@ def frame(spark, source: str, *rows: dict):
                 value = float(value)
             record.append(value)
         values.append(tuple(record))
-    return spark.createDataFrame(values, schema)
+    # From Arrow, the rows become a local relation instead of a scan of many tasks.
+    columns = list(zip(*values, strict=True)) or [()] * len(schema)
+    fields = to_arrow_schema(schema)
+    arrays = [pa.array(c, type=f.type) for c, f in zip(columns, fields, strict=True)]
+    return spark.createDataFrame(pa.Table.from_arrays(arrays, schema=fields), schema)
 
 
 def order(n: int = 1, **more) -> dict:

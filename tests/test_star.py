@@ -2,7 +2,6 @@ from __future__ import annotations
 
 from datetime import date
 
-import pytest
 from helpers import customer, frame, item, order, small_sources
 from mercastar.fixed_values import STATES
 from mercastar.plans.star import dim_region, dim_time, fact_summary, star_summary
@@ -33,18 +32,26 @@ def test_plain_row(spark):
     assert row["seller_region_key"] == codes.index("RJ") + 1
 
 
-@pytest.mark.parametrize(
-    ("arrival", "delay", "on_time"),
-    [
+def numbered(count: int, make) -> dict:
+    """Orders, items and customers 1..count; `make` gives an order's columns."""
+    numbers = range(1, count + 1)
+    return {
+        "orders": [order(n, **make(n)) for n in numbers],
+        "order_items": [item(n) for n in numbers],
+        "customers": [customer(n) for n in numbers],
+    }
+
+
+def test_delay_floors_but_on_time_compares_instants(spark):
+    cases = [
         ("2018-01-11 00:00:00", 0, True),
         ("2018-01-11 10:00:00", 0, False),
         ("2018-01-10 10:00:00", -1, True),
         ("2018-01-12 00:00:00", 1, False),
-    ],
-)
-def test_delay_floors_but_on_time_compares_instants(spark, arrival, delay, on_time):
-    (row,) = fact(spark, orders=[order(order_delivered_customer_date=arrival)])
-    assert (row["delay_days"], row["is_on_time"]) == (delay, on_time)
+    ]
+    tables = numbered(4, lambda n: {"order_delivered_customer_date": cases[n - 1][0]})
+    got = [(r["delay_days"], r["is_on_time"]) for r in fact(spark, **tables)]
+    assert got == [case[1:] for case in cases]
 
 
 def test_undelivered_keeps_only_the_estimate(spark):
@@ -99,29 +106,40 @@ def test_order_without_payment_or_review_is_kept(spark):
 
 
 def test_one_review_per_order_even_if_its_score_is_missing(spark):
-    def review(name, score):
-        return {"review_id": name, "order_id": "o1", "review_score": score}
+    def review(name, score, n):
+        return {"review_id": name, "order_id": f"o{n}", "review_score": score}
 
-    (row,) = fact(spark, reviews=[review("r2", 1), review("r1", 5)])
-    assert row["review_score"] == 5
-    (row,) = fact(spark, reviews=[review("r2", 1), review("r1", None)])
-    assert row["review_score"] is None
+    reviews = [review("r2", 1, 1), review("r1", 5, 1), review("r4", 1, 2), review("r3", None, 2)]
+    rows = fact(spark, reviews=reviews, **numbered(2, lambda n: {}))
+    assert [r["review_score"] for r in rows] == [5, None]
 
 
-@pytest.mark.parametrize(
-    "tables",
-    [
-        {"order_items": [item(product_id="gone")]},
-        {"order_items": [item(seller_id="gone")]},
-        {"order_items": [item(n=9)]},
-        {"customers": [customer(customer_state=None)]},
-        {"customers": [customer(customer_state="XX")]},
-        {"customers": [customer(n=2)]},
-        {"orders": [order(order_purchase_timestamp=None)]},
-    ],
-)
-def test_rows_without_a_required_key_are_dropped(spark, tables):
-    assert fact(spark, **tables) == []
+def test_rows_without_a_required_key_are_dropped(spark):
+    got = fact(
+        spark,
+        orders=[order(n) for n in range(1, 7)]
+        + [order(7, order_purchase_timestamp=None), order(8)],
+        order_items=[
+            item(1, product_id="gone"),
+            item(2, seller_id="gone"),
+            item(3),
+            item(4),
+            item(5),
+            item(7),
+            item(8),
+            item(9),
+        ],
+        customers=[
+            customer(1),
+            customer(2),
+            customer(3, customer_state=None),
+            customer(4, customer_state="XX"),
+            customer(7),
+            customer(8),
+            customer(9),
+        ],
+    )
+    assert [r["order_id"] for r in got] == ["o8"]
 
 
 def test_unknown_seller_state_keeps_the_row(spark):
@@ -135,8 +153,7 @@ def test_missing_money_becomes_zero_and_so_does_the_total(spark):
 
 
 def test_repeated_orders_and_items_stay_in_the_fact(spark):
-    assert len(fact(spark, orders=[order(), order()])) == 2
-    assert len(fact(spark, order_items=[item(), item()])) == 2
+    assert len(fact(spark, orders=[order(), order()], order_items=[item(), item()])) == 4
 
 
 def test_categories_fall_back_to_their_own_name(spark):
