@@ -27,9 +27,10 @@ def state_code(text: Column) -> Column:
     return F.upper(strip(text))
 
 
-def blank_missing(text: Column) -> Column:
-    """NULL for every text that stands for a missing value."""
-    return F.when(~text.isin(*MISSING_TOKENS), text)
+def blank_missing(expression: str) -> str:
+    """SQL that gives NULL for every text that stands for a missing value."""
+    tokens = ", ".join(f"'{token}'" for token in MISSING_TOKENS)
+    return f"CASE WHEN {expression} NOT IN ({tokens}) THEN {expression} END"
 
 
 def thousands(number: Column) -> Column:

@@ -186,7 +186,9 @@ def _normalize_missing(spark: SparkSession, folder: str) -> DataFrame:
     text = F.when(place < len(MISSING_TOKENS), F.get(tokens, place)).otherwise(
         F.col("c_mktsegment")
     )
-    return customer.select("c_custkey", blank_missing(text).alias("segment"))
+    return customer.select("c_custkey", text.alias("raw_segment")).selectExpr(
+        "c_custkey", f"{blank_missing('raw_segment')} AS segment"
+    )
 
 
 def _title_case(spark: SparkSession, folder: str) -> DataFrame:

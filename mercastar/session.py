@@ -11,6 +11,8 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Recording the call site of every expression slows down planning.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

@@ -2,13 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import DataType, IntegerType, NumericType, StringType, TimestampNTZType
 
 from mercastar.fixed_values import SAMPLE_FRACTION, SAMPLE_MIN_ROWS, SAMPLE_SEED
 from mercastar.functions.text import blank_missing
-from mercastar.functions.time import as_timestamp
 from mercastar.operators.sampling import exact_sample
 from mercastar.schemas import SOURCES
 
@@ -30,18 +28,19 @@ FILES = {
 MULTILINE = ("reviews",)
 
 
-def _typed(column: str, target: DataType) -> Column:
-    text = blank_missing(F.col(column))
+def _typed(column: str, target: DataType) -> str:
+    text = blank_missing(f"`{column}`")
+    name = target.simpleString()
     if isinstance(target, StringType):
         return text
     if isinstance(target, TimestampNTZType):
-        return as_timestamp(text)
+        return f"TRY_CAST({text} AS {name})"
     if isinstance(target, IntegerType):
         # Whole numbers may be written as 5 or 5.0; anything else is an error.
-        return text.cast("decimal(20,4)").cast(target)
+        return f"CAST(CAST({text} AS DECIMAL(20,4)) AS {name})"
     if isinstance(target, NumericType):
-        return text.cast(target)
-    raise TypeError(f"no CSV reading for {target.simpleString()}")
+        return f"CAST({text} AS {name})"
+    raise TypeError(f"no CSV reading for {name}")
 
 
 def read_source(spark: SparkSession, path: str, key: str) -> DataFrame:
@@ -60,7 +59,7 @@ def read_source(spark: SparkSession, path: str, key: str) -> DataFrame:
     missing = [c for c in SOURCES[key].names if c not in raw.columns]
     if missing:
         raise ValueError(f"source {key!r} lacks the columns {missing}")
-    return raw.select(*[_typed(f.name, f.dataType).alias(f.name) for f in SOURCES[key]])
+    return raw.selectExpr(*[f"{_typed(f.name, f.dataType)} AS `{f.name}`" for f in SOURCES[key]])
 
 
 def read_sources(

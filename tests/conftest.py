@@ -18,6 +18,8 @@ def spark(tmp_path_factory):
         "local[8]",
         spark__sql__shuffle__partitions="4",
         spark__ui__enabled="false",
+        spark__sql__debug__maxToStringFields="1000",
+        spark__sql__maxMetadataStringLength="10000",
         spark__driver__memory="8g",
         spark__checkpoint__dir=str(tmp_path_factory.mktemp("shared")),
         spark__sql__warehouse__dir=str(tmp_path_factory.mktemp("catalog")),
