@@ -90,10 +90,16 @@ class Warehouse:
         """All tables, dimensions first."""
         return {name: self.table(name) for name in WAREHOUSE}
 
-    def save_to_catalog(self, database: str, buckets: int) -> None:
-        """Replace the catalog tables; the large ones are bucketed on customer_key."""
+    def save_to_catalog(self, database: str, buckets: int = 0) -> None:
+        """Replace the catalog tables.
+
+        With `buckets`, the fact and its largest dimension are bucketed on their
+        common key. A bucket is read by one task, so leave it out where a single
+        customer may hold a large share of the fact: then the shuffled join, which
+        splits skewed keys, is the better plan.
+        """
         for name, df in self.load().items():
-            key = "customer_key" if name in BUCKETED else None
+            key = "customer_key" if buckets and name in BUCKETED else None
             write_table(df, f"{database}.{name}", key, buckets)
 
     @property
