@@ -15,7 +15,6 @@ from mercastar.operators.dedup import duplicate_rows
 from mercastar.plans.parameters import ReportParameters
 from mercastar.plans.reports.scopes import CATEGORY, delivered, with_product
 from mercastar.plans.warehouse import Warehouse
-from mercastar.sources.sinks import row_counts
 
 PASS, WARN, FAIL = "PASS", "WARN", "FAIL"
 RESULT = ("check_name", "status", "detail")
@@ -95,7 +94,8 @@ def check_staging(w: Warehouse, staging: Mapping[str, DataFrame], p: ReportParam
             ("customers", w.customer, F.count(F.lit(1))),
         ]
     )
-    match = F.coalesce(quotient(F.lit(100) * F.col("orders"), F.col("staged_orders")), F.lit(0))
+    share = quotient(F.lit(100) * F.col("orders"), F.col("staged_orders"))
+    match = F.coalesce(share, F.lit(0))
 
     def pair(staged: str, loaded: str) -> list[Column]:
         return [

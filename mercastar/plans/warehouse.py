@@ -90,6 +90,11 @@ class Warehouse:
         """All tables, dimensions first."""
         return {name: self.table(name) for name in WAREHOUSE}
 
+    def create_views(self) -> None:
+        """Name the tables for SQL: `spark.sql("SELECT ... FROM fact_orders")`."""
+        for name, df in self.load().items():
+            df.createOrReplaceTempView(name)
+
     def save_to_catalog(self, database: str, buckets: int = 0) -> None:
         """Replace the catalog tables.
 

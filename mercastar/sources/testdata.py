@@ -216,9 +216,10 @@ class TestTables:
 
     def regions(self) -> DataFrame:
         """Nations as states, regions as macro-regions."""
+        named = self._read["region"].selectExpr("r_regionkey AS n_regionkey", "r_name")
         joined = (
             self._read["nation"]
-            .join(self._read["region"].withColumnRenamed("r_regionkey", "n_regionkey"), "n_regionkey")
+            .join(named, "n_regionkey")
             .selectExpr(
                 "n_nationkey + 1 AS region_key",
                 "n_name AS state_code",

@@ -138,7 +138,8 @@ PAYMENT_LABEL = (
     + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in fixed.PAYMENT_LABELS)
     + f" ELSE '{fixed.OTHER_PAYMENT}' END"
 )
-SCORE_LABEL = "CASE score " + " ".join(f"WHEN {k} THEN '{v}'" for k, v in fixed.SCORE_LABELS) + " END"
+_SCORES = " ".join(f"WHEN {k} THEN '{v}'" for k, v in fixed.SCORE_LABELS)
+SCORE_LABEL = f"CASE score {_SCORES} END"
 STATE = {"state_code": "home_code", "state_name": "home_name", "macro_region": "home_macro"}
 STATE_METRICS = {
     "total_orders": ORDERS,
@@ -335,7 +336,8 @@ REPORTS = {
         {
             "total_orders": ORDERS,
             "unique_customers": "count(DISTINCT person)",
-            "gross_revenue": "'R$ ' || format('{:,}', CAST((2 * sum(cents) + 100) // 200 AS BIGINT))",
+            "gross_revenue": "'R$ ' || "
+            "format('{:,}', CAST((2 * sum(cents) + 100) // 200 AS BIGINT))",
             "avg_review_score": f"CAST(CAST({SCORE} AS DECIMAL(6,2)) AS VARCHAR) || ' / 5'",
             "on_time_rate": f"CAST(CAST({ON_TIME} AS DECIMAL(6,1)) AS VARCHAR) || '%'",
         },
@@ -344,7 +346,8 @@ REPORTS = {
     "ex2_revenue_trend": over_star(
         f""", months AS (
           SELECT {MONTH} AS period, {ORDERS} AS total_orders, sum(cents) AS cents,
-                 {money("freight_cents")} AS freight_revenue, {money("gross_cents")} AS total_revenue,
+                 {money("freight_cents")} AS freight_revenue,
+                 {money("gross_cents")} AS total_revenue,
                  {SCORE} AS avg_review_score
           FROM w WHERE {SOLD} AND day < DATE '{P.trend_cutoff}' GROUP BY 1
         ), paired AS (SELECT *, lag(cents) OVER (ORDER BY period) AS before FROM months)

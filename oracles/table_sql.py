@@ -46,7 +46,8 @@ STAR_TABLES = {
         "state AS seller_state FROM d_seller"
     ),
     "fact_orders": over_star(
-        f"""SELECT order_id, item_no::BIGINT AS order_item_id, customer_key, product_key, seller_key,
+        f"""SELECT order_id, item_no::BIGINT AS order_item_id, customer_key, product_key,
+                   seller_key,
                    {DATE_KEY.format("day")} AS purchase_time_key,
                    {DATE_KEY.format("end_day")} AS delivery_time_key,
                    home_key::BIGINT AS customer_region_key, from_key::BIGINT AS seller_region_key,

@@ -84,7 +84,8 @@ def test_buyers_by_number_of_orders(spark):
 
 
 def test_headline_texts(spark):
-    row = REPORTS["ex1_kpi_cards"](shop(spark, ("u1", "2018-01-05", "1234567.50")), DEFAULTS).first()
+    w = shop(spark, ("u1", "2018-01-05", "1234567.50"))
+    row = REPORTS["ex1_kpi_cards"](w, DEFAULTS).first()
     assert row["gross_revenue"] == "R$ 1,234,568"
     assert row["avg_review_score"] == "4.00 / 5"
     assert row["on_time_rate"] == "100.0%"
@@ -134,6 +135,19 @@ def test_plans_stay_in_the_engine_and_scale(stored, name):
         assert any("Aggregate(" in other for other in below), plan
 
 
+def test_views_answer_sql(spark, stored):
+    stored.create_views()
+    rows = spark.sql(
+        """WITH monthly AS (
+             SELECT t.year, t.month, count(DISTINCT f.order_id) AS orders, sum(f.price) AS revenue
+             FROM fact_orders f JOIN dim_time t ON f.purchase_time_key = t.time_key
+             GROUP BY t.year, t.month HAVING orders >= 1)
+           SELECT month, revenue, round(100.0 * revenue / sum(revenue) OVER (), 1) AS share
+           FROM monthly ORDER BY month"""
+    ).collect()
+    assert [tuple(map(float, r)) for r in rows] == [(1, 10, 33.3), (2, 20, 66.7)]
+
+
 def test_only_needed_columns_and_pushed_filters_reach_the_scan(stored):
     plan = plan_of(REPORTS["ex2_revenue_trend"](stored, DEFAULTS))
     scan = next(

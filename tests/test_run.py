@@ -84,8 +84,8 @@ def test_csv_sources(spark, folder):
     assert review["review_comment_title"] == 'good, "very"'
     assert review["review_comment_message"] == "two\nlines"
     assert review["review_score"] == 5
-    zips = [r["customer_zip_code_prefix"] for r in sources["customers"].orderBy("customer_id").collect()]
-    assert zips == ["01310", None]
+    people = sources["customers"].orderBy("customer_id").collect()
+    assert [r["customer_zip_code_prefix"] for r in people] == ["01310", None]
     assert sources["translation"].columns[0] == "product_category_name"
     assert sources["order_items"].orderBy("order_id").first()["price"] == Decimal("100.10")
 
