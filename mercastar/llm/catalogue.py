@@ -6,7 +6,7 @@ from mercastar.llm import queries
 from mercastar.llm.oracles import ORACLES
 
 QUERIES = {
-    name: getattr(queries, name) for name in ("op4_interleave", "op9_chat")
+    name: getattr(queries, name) for name in ("op4_interleave", "op6_decontaminate", "op9_chat")
 }
 
 __all__ = ["ORACLES", "QUERIES"]

@@ -31,4 +31,41 @@ SELECT conv_id,
 FROM lines GROUP BY conv_id
 """
 
-ORACLES: dict[str, str] = {"op9_chat": OP9_CHAT}
+OP6_DECONTAMINATE = r"""
+WITH doc AS (
+  SELECT row_number() OVER () AS r, doc_id,
+    regexp_extract_all(
+      translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM documents
+), item AS (
+  SELECT item_id,
+    regexp_extract_all(
+      translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM benchmark
+), win AS (
+  SELECT DISTINCT item_id, least(len(w), 13) AS n, array_to_string(w[i:i + 12], ' ') AS phrase
+  FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 13, 0) + 2)) AS i FROM item WHERE len(w) > 0)
+), spot AS (
+  SELECT r, i, n, array_to_string(w[i:i + n - 1], ' ') AS phrase
+  FROM (SELECT r, w, unnest(range(1, len(w) + 1)) AS i FROM doc), (SELECT DISTINCT n FROM win)
+  WHERE i + n - 1 <= len(w)
+), hit AS (
+  SELECT spot.r, spot.i, spot.n, win.item_id FROM spot JOIN win USING (n, phrase)
+), word AS (
+  SELECT r, count(DISTINCT p) AS n_hit FROM (SELECT r, unnest(range(i, i + n)) AS p FROM hit) GROUP BY r
+), named AS (
+  SELECT r, count(*) AS n_items, string_agg(name, ',' ORDER BY name) AS names
+  FROM (SELECT DISTINCT r, item_id::VARCHAR AS name FROM hit WHERE item_id IS NOT NULL) GROUP BY r
+)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit,
+  coalesce(n_items, 0)::BIGINT AS n_items, sha256(coalesce(names, '')) AS items_sha256,
+  coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM doc LEFT JOIN word USING (r) LEFT JOIN named USING (r)
+"""
+
+ORACLES: dict[str, str] = {
+    "op6_decontaminate": OP6_DECONTAMINATE,
+    "op9_chat": OP9_CHAT,
+}

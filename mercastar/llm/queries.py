@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mercastar.llm import chat, sharding
+from mercastar.llm import chat, decontamination, sharding
 from mercastar.llm.columns import utf8_size
 
 
@@ -56,3 +56,17 @@ def op9_chat(spark: SparkSession, folder: str) -> DataFrame:
         F.length("formatted").cast("bigint").alias("formatted_chars"),
         "round_trip",
     )
+
+
+def op6_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents with what they share with the benchmark."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    marked = decontamination.mark_contamination(docs, table(spark, folder, "benchmark"))
+    return marked.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("bigint").alias("n_items"),
+        F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"),
+        "contaminated",
+    )
