@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mercastar.llm import chat, decontamination, sharding
+from mercastar.llm import chat, decontamination, pseudonyms, sharding
 from mercastar.llm.columns import utf8_size
 
 
@@ -13,6 +13,18 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
 
+# The key of the registered query; a production run passes its own secret.
+QUERY_KEY = "registered-query"
+
+
+def op3_pseudonyms(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents with their personal numbers and dates replaced."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return pseudonyms.pseudonymize(docs, QUERY_KEY).select(
+        "doc_id", "text", F.size("found").cast("bigint").alias("n_replaced"), "found"
+    )
+
+
 def op4_interleave(spark: SparkSession, folder: str) -> DataFrame:
     """All documents in 16 shards whose row counts differ by one at most."""
     docs = table(spark, folder, "documents").select(
