@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mercastar.llm import chat, decontamination, pseudonyms, sharding
+from mercastar.llm import chat, decontamination, mixing, pseudonyms, sharding
 from mercastar.llm.columns import utf8_size
 
 
@@ -45,6 +45,26 @@ def op4_interleave(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+# Toxic tokens are to shrink to a tenth; the rest is to stay as it is.
+MIXTURE = {"good": 1.0, "poor": 1.0, "toxic": 0.1}
+
+
+def domain_labels(spark: SparkSession, folder: str) -> DataFrame:
+    """Labelled documents by domain: toxic, else by quality."""
+    domain = (
+        F.when(F.col("toxic") == 1, "toxic").when(F.col("quality") == 1, "good").when(F.col("quality") == 0, "poor")
+    )
+    return table(spark, folder, "labels").select("doc_id", domain.alias("domain"))
+
+
+def op8_mix(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents with their domain shares and rates."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    mixed = mixing.mix(docs, domain_labels(spark, folder), MIXTURE, keep=["doc_id"])
+    shares = [F.get("posterior", F.lit(i)).alias(f"p_{name}") for i, name in enumerate(MIXTURE)]
+    return mixed.select("doc_id", "n_tokens", *shares, "rate", "n_copies")
+
+
 def op9_chat(spark: SparkSession, folder: str) -> DataFrame:
     """All conversations formatted, with digests of what is read back."""
     said = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
