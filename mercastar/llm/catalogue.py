@@ -6,7 +6,7 @@ from mercastar.llm import queries
 from mercastar.llm.oracles import ORACLES
 
 QUERIES = {
-    name: getattr(queries, name) for name in ("op3_pseudonyms", "op4_interleave", "op6_decontaminate", "op8_mix", "op9_chat")
+    name: getattr(queries, name) for name in ("op3_pseudonyms", "op4_interleave", "op6_decontaminate", "op8_mix", "op9_chat", "op10_token_counts")
 }
 
 __all__ = ["ORACLES", "QUERIES"]

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mercastar.llm import chat, decontamination, mixing, pseudonyms, sharding
+from mercastar.llm import chat, decontamination, mixing, pseudonyms, sharding, token_counts
 from mercastar.llm.columns import utf8_size
+from mercastar.storage import shared_folder
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -102,3 +105,11 @@ def op6_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
         F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"),
         "contaminated",
     )
+
+
+def op10_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """Token counts of all documents, through a cache that starts empty."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    place = f"{shared_folder(spark)}/mercastar/token_counts/{uuid.uuid4().hex}"
+    counted = token_counts.count_tokens(docs, token_counts.CountCache(spark, place))
+    return counted.select("doc_id", "n_bytes", "n_tokens", "over_limit")
