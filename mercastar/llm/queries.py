@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mercastar.llm import chat, decontamination, mixing, pseudonyms, sharding, token_counts
+from mercastar.llm import chat, decontamination, language, mixing, pseudonyms, sharding, token_counts
 from mercastar.llm.columns import utf8_size
 from mercastar.storage import shared_folder
 
@@ -48,6 +48,14 @@ def op4_interleave(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op7_language(spark: SparkSession, folder: str) -> DataFrame:
+    """The predicted language of all documents."""
+    docs = table(spark, folder, "documents").select("doc_id", "text", "lang")
+    model = language.fit_languages(docs)
+    found = language.identify(docs.select("doc_id", "text"), model)
+    return found.select("doc_id", language.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+
+
 # Toxic tokens are to shrink to a tenth; the rest is to stay as it is.
 MIXTURE = {"good": 1.0, "poor": 1.0, "toxic": 0.1}
 
