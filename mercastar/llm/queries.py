@@ -7,11 +7,14 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mercastar.llm import chat, decontamination, language, mixing, pseudonyms, sharding, token_counts
+from mercastar.llm import chat, decontamination, language, mixing, neighbours, pseudonyms, sharding, token_counts
 from mercastar.llm.columns import utf8_size
 from mercastar.storage import shared_folder
 
 
+NEAREST = 20
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
@@ -101,6 +104,14 @@ def op9_chat(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op5_neighbours(spark: SparkSession, folder: str) -> DataFrame:
+    """The 20 nearest vectors of every vector whose id is divisible by 20."""
+    vectors = neighbours.usable(table(spark, folder, "embeddings"))
+    index = neighbours.build_index(vectors, NEAREST)
+    asked = vectors.where(F.col("vec_id") % 20 == 0).dropDuplicates(["vec_id"])
+    return neighbours.search(index, asked, NEAREST)
+
+
 def op6_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     """All documents with what they share with the benchmark."""
     docs = table(spark, folder, "documents").select("doc_id", "text")
