@@ -6,7 +6,7 @@ from mercastar.llm import queries
 from mercastar.llm.oracles import ORACLES
 
 QUERIES = {
-    name: getattr(queries, name) for name in ("op2_jaccard", "op3_pseudonyms", "op4_interleave", "op5_neighbours", "op6_decontaminate", "op7_language", "op8_mix", "op9_chat", "op10_token_counts")
+    name: getattr(queries, name) for name in ("op1_repeats", "op2_jaccard", "op3_pseudonyms", "op4_interleave", "op5_neighbours", "op6_decontaminate", "op7_language", "op8_mix", "op9_chat", "op10_token_counts")
 }
 
 __all__ = ["ORACLES", "QUERIES"]

@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mercastar.llm import chat, decontamination, jaccard, language, mixing, neighbours, pseudonyms, sharding, token_counts
+from mercastar.llm import chat, decontamination, jaccard, language, mixing, neighbours, pseudonyms, repeats, sharding, token_counts
 from mercastar.llm.columns import utf8_size
 from mercastar.storage import shared_folder
 
@@ -19,6 +19,13 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
 
+def op1_repeats(spark: SparkSession, folder: str) -> DataFrame:
+    """What repeated 400-byte strings remove from every document."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    cut = repeats.remove_repeats(docs, bytes_too=False)
+    return cut.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 def op2_jaccard(spark: SparkSession, folder: str) -> DataFrame:
     """The component of similar documents of every document."""
     return jaccard.link_documents(table(spark, folder, "documents").select("doc_id", "text"))
