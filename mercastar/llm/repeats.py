@@ -13,18 +13,20 @@ from pyspark.sql import functions as F
 from mercastar.llm.bit_table import BitTable
 from mercastar.llm.columns import quoted
 from mercastar.llm.run_index import RunLengthIndex
-from mercastar.llm.text_arrays import BASE, Slice, SpanHash, as_long, slices
+from mercastar.llm.text_arrays import BASE, Slice, SpanHash, as_long, mix, slices
 from mercastar.storage import durable
 
 LENGTH = 400
 ANCHOR = 64  # bytes that name an anchor
-GRAM = 8  # bytes whose hash chooses it
+GRAM = 32  # bytes whose hash chooses it: long enough to be rare in a string of its own
 SHARD_BYTES = 1 << 20
-HOT_CONTEXTS = 1024  # distinct contexts of an anchor beyond which its strings are split up
+HOT_CONTEXTS = 4096  # distinct contexts of an anchor (at most 3 MB) beyond which its strings are split up
 
 RANGES = "array<struct<low:int,high:int>>"
+SPANS = "array<struct<low:bigint,high:bigint>>"
 _HIGH = np.uint64(0xFFFFFFFF00000000)
 _LOW = np.uint64(0xFFFFFFFF)
+_FACTORS = mix(np.arange(1, GRAM // 8 + 1, dtype=np.uint64) * BASE) | np.uint64(1)
 
 
 def _window_minima(values: np.ndarray, width: int) -> np.ndarray:
@@ -52,8 +54,11 @@ def anchors(piece: Slice) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarra
     none = np.zeros(0, np.int64)
     if n < LENGTH:
         return none, none, none, none
-    grams = np.ndarray((n - GRAM + 1,), "<u8", np.ascontiguousarray(piece.data).data, strides=(1,))
-    ranked = ((grams * BASE) & _HIGH) | np.arange(len(grams), dtype=np.uint64)
+    eights = np.ndarray((n - 7,), "<u8", np.ascontiguousarray(piece.data).data, strides=(1,))
+    ranked = np.zeros(n - GRAM + 1, np.uint64)
+    for step, factor in enumerate(_FACTORS):
+        ranked += eights[8 * step : 8 * step + len(ranked)] * factor
+    ranked = (ranked & _HIGH) | np.arange(len(ranked), dtype=np.uint64)
     least = _window_minima(ranked[: n - ANCHOR + 1], LENGTH - ANCHOR + 1)
     sizes = np.diff(piece.offsets)
     ends = np.repeat(piece.offsets[1:], sizes)[: len(least)]
@@ -77,10 +82,14 @@ def _emit_anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 
 
 def _context_emitter(repeated: BitTable):
-    """Rows for the runs whose anchor may be repeated, once for each text of a task."""
+    """A row for each context of a text whose anchor may be repeated, with all its starts.
+
+    A task hands on each text once, and the bytes of each context once.
+    """
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         met: set[bytes] = set()
+        sent: set[tuple[int, int]] = set()
         for batch in batches:
             digests = batch.column("digest").to_pylist()
             for piece in slices(batch.column("text")):
@@ -97,18 +106,30 @@ def _context_emitter(repeated: BitTable):
                 keep = repeated.holds(names) & fresh[text]
                 if not keep.any():
                     continue
-                text, first, last, names = text[keep], first[keep], last[keep], names[keep]
-                stop = last + LENGTH
+                text, first, stop, names = text[keep], first[keep], last[keep] + LENGTH, names[keep]
+                contexts = as_long(spans.of(first, stop))
+                line = np.lexsort((first, contexts, names, text))
+                text, first, stop, names, contexts = (x[line] for x in (text, first, stop, names, contexts))
+                new = (text[1:] != text[:-1]) | (names[1:] != names[:-1]) | (contexts[1:] != contexts[:-1])
+                head = np.flatnonzero(np.concatenate([[True], new]))
+                starts = pa.ListArray.from_arrays(
+                    pa.array(np.append(head, len(first)), pa.int32()), pa.array(first - piece.offsets[text])
+                )
+                raw = []
+                for i in head:
+                    key = (int(names[i]), int(contexts[i]))
+                    raw.append(None if key in sent else piece.data[first[i] : stop[i]].tobytes())
+                    sent.add(key)
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array([digests[piece.first + i] for i in text], pa.binary()),
-                        pa.array(first - piece.offsets[text]),
-                        pa.array(names),
-                        pa.array((last - first + 1).astype(np.int32)),
-                        pa.array(as_long(spans.of(first, stop))),
-                        pa.array([piece.data[a:b].tobytes() for a, b in zip(first, stop, strict=True)], pa.binary()),
+                        pa.array([digests[piece.first + i] for i in text[head]], pa.binary()),
+                        starts,
+                        pa.array(names[head]),
+                        pa.array((stop[head] - LENGTH - first[head] + 1).astype(np.int32)),
+                        pa.array(contexts[head]),
+                        pa.array(raw, pa.binary()),
                     ],
-                    ["digest", "start", "anchor", "strings", "context", "bytes"],
+                    ["digest", "starts", "anchor", "strings", "context", "bytes"],
                 )
 
     return emit
@@ -180,17 +201,17 @@ def repeated_spans(docs: DataFrame, text: str = "text") -> DataFrame:
     named = body.select(F.unhex(F.sha2(F.col("text").cast("binary"), 256)).alias("digest"), "text")
     emitted = named.mapInArrow(
         _context_emitter(BitTable.of(repeated, "anchor")),
-        "digest binary, start bigint, anchor bigint, strings int, context bigint, bytes binary",
+        "digest binary, starts array<bigint>, anchor bigint, strings int, context bigint, bytes binary",
     )
     places = durable(emitted)
 
     copies = named.groupBy("digest").agg(F.count(F.lit(1)).alias("copies")).where("copies > 1")
-    narrow = places.select("digest", "start", "anchor", "strings", "context").distinct()
+    narrow = places.select("digest", "starts", "anchor", "strings", "context").distinct()
     narrow = durable(
         narrow.join(copies, "digest", "left").withColumn("copies", F.coalesce("copies", F.lit(1)))
     )
     contexts = narrow.groupBy("anchor", "context").agg(
-        F.sum("copies").alias("places"), F.any_value("strings").alias("strings")
+        F.sum(F.col("copies") * F.size("starts")).alias("places"), F.any_value("strings").alias("strings")
     )
     contexts = durable(contexts)
     kinds = contexts.groupBy("anchor").agg(
@@ -205,7 +226,7 @@ def repeated_spans(docs: DataFrame, text: str = "text") -> DataFrame:
     )
 
     texts = durable(
-        places.join(unsettled, "anchor").groupBy("anchor", "context")
+        places.where(F.col("bytes").isNotNull()).join(unsettled, "anchor").groupBy("anchor", "context")
         .agg(F.any_value("bytes").alias("bytes"), F.any_value("strings").alias("strings"), F.any_value("kinds").alias("kinds"))
     )
     calm = texts.where(F.col("kinds") <= HOT_CONTEXTS)
@@ -224,29 +245,46 @@ def repeated_spans(docs: DataFrame, text: str = "text") -> DataFrame:
     )
     found = known.unionByName(indexed).unionByName(split)
 
-    covered = narrow.join(found, ["anchor", "context"]).select(
-        "digest", "start", F.explode("ranges").alias("r")
-    )
-    covered = covered.select(
-        "digest", (F.col("start") + F.col("r.low")).alias("low"), (F.col("start") + F.col("r.high") + LENGTH).alias("high")
-    )
-    spans = covered.groupBy("digest").agg(F.array_sort(F.collect_set(F.struct("low", "high"))).alias("spans"))
-    return durable(spans.select("digest", _merged(F.col("spans")).alias("spans")))
+    covered = narrow.join(found, ["anchor", "context"]).where(F.size("ranges") > 0)
+    covered = covered.select("digest", "starts", "ranges").mapInArrow(_placed, f"digest binary, spans {SPANS}")
+    # All ranges of one text: as many as its bytes allow.
+    gathered = covered.groupBy("digest").agg(F.flatten(F.collect_list("spans")).alias("spans"))
+    return durable(gathered.mapInArrow(_gathered, f"digest binary, spans {SPANS}"))
 
 
-def _merged(spans: F.Column) -> F.Column:
-    """Join sorted ranges that overlap or touch."""
+def _joined(spans: np.ndarray) -> list[tuple[int, int]]:
+    """Sorted disjoint ranges that cover the same bytes; ranges that touch are joined."""
+    spans = spans[np.argsort(spans[:, 0], kind="stable")]
+    reach = np.maximum.accumulate(spans[:, 1])
+    opens = np.concatenate([[True], spans[1:, 0] > reach[:-1]])
+    lows = spans[opens, 0]
+    highs = reach[np.append(np.flatnonzero(opens)[1:] - 1, len(spans) - 1)]
+    return list(zip(lows.tolist(), highs.tolist(), strict=True))
 
-    def add(line: F.Column, x: F.Column) -> F.Column:
-        last = F.element_at(line, -1)
-        longer = F.concat(
-            F.slice(line, F.lit(1), F.size(line) - 1),
-            F.array(F.struct(last["low"].alias("low"), F.greatest(last["high"], x["high"]).alias("high"))),
-        )
-        joins = (F.size(line) > 0) & (F.get(line, F.size(line) - 1)["high"] >= x["low"])
-        return F.when(joins, longer).otherwise(F.concat(line, F.array(x)))
 
-    return F.aggregate(spans, F.array().cast("array<struct<low:bigint,high:bigint>>"), add)
+def _spans_column(lists: list[list[tuple[int, int]]]) -> pa.Array:
+    found = [[{"low": a, "high": b} for a, b in spans] for spans in lists]
+    return pa.array(found, pa.list_(pa.struct({"low": pa.int64(), "high": pa.int64()})))
+
+
+def _placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The ranges of a context, moved to each of its starts in a text."""
+    for batch in batches:
+        lists = []
+        for starts, ranges in zip(batch.column("starts").to_pylist(), batch.column("ranges").to_pylist(), strict=True):
+            own = np.array([(r["low"], r["high"] + LENGTH) for r in ranges], np.int64).reshape(-1, 2)
+            moved = (np.array(starts, np.int64)[:, None, None] + own[None, :, :]).reshape(-1, 2)
+            lists.append(_joined(moved) if len(moved) else [])
+        yield pa.RecordBatch.from_arrays([batch.column("digest"), _spans_column(lists)], ["digest", "spans"])
+
+
+def _gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        lists = [
+            _joined(np.array([(s["low"], s["high"]) for s in spans], np.int64))
+            for spans in batch.column("spans").to_pylist()
+        ]
+        yield pa.RecordBatch.from_arrays([batch.column("digest"), _spans_column(lists)], ["digest", "spans"])
 
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -314,6 +352,6 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", byt
         F.coalesce(size, F.lit(0)).cast("bigint").alias("n_removed"),
         F.coalesce(F.size("spans"), F.lit(0)).cast("bigint").alias("n_spans"),
         F.coalesce("kept_sha256", F.lower(F.hex("digest"))).alias("kept_sha256"),
-        F.coalesce("spans", F.array().cast("array<struct<low:bigint,high:bigint>>")).alias("spans"),
+        F.coalesce("spans", F.array().cast(SPANS)).alias("spans"),
         *([F.coalesce("kept", "text").alias("kept")] if bytes_too else []),
     )
