@@ -31,6 +31,97 @@ SELECT conv_id,
 FROM lines GROUP BY conv_id
 """
 
+OP1_REPEATS = r"""
+WITH doc AS (
+  SELECT row_number() OVER () AS r, doc_id, encode(coalesce(text, '')) AS b FROM documents
+), hexed AS (
+  SELECT r, doc_id, hex(b) AS h, octet_length(b) AS n FROM doc
+), spot AS (
+  SELECT r, i, md5(substr(h, 2 * i + 1, 800)) AS m
+  FROM (SELECT r, h, unnest(range(0, n - 399)) AS i FROM hexed WHERE n >= 400)
+), twice AS (
+  SELECT m FROM spot GROUP BY m HAVING count(*) > 1
+), hit AS (
+  SELECT r, i, i - row_number() OVER (PARTITION BY r ORDER BY i) AS g FROM spot JOIN twice USING (m)
+), run AS (
+  SELECT r, min(i) AS low, max(i) + 400 AS high FROM hit GROUP BY r, g
+), marked AS (
+  SELECT *, CASE WHEN low > max(high) OVER (
+    PARTITION BY r ORDER BY low ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) THEN 1 ELSE 0 END AS opens
+  FROM run
+), numbered AS (
+  SELECT *, sum(opens) OVER (PARTITION BY r ORDER BY low) AS k FROM marked
+), span AS (
+  SELECT r, min(low) AS low, max(high) AS high FROM numbered GROUP BY r, k
+), gap AS (
+  SELECT r, coalesce(lag(high) OVER (PARTITION BY r ORDER BY low), 0) AS a, low AS z FROM span
+  UNION ALL
+  SELECT r, max(high), NULL FROM span GROUP BY r
+), kept AS (
+  SELECT gap.r, string_agg(substr(h, 2 * a + 1, 2 * (coalesce(z, n) - a)), '' ORDER BY a) AS h
+  FROM gap JOIN hexed USING (r) GROUP BY gap.r
+), cut AS (
+  SELECT r, sum(high - low) AS n_removed, count(*) AS n_spans FROM span GROUP BY r
+)
+SELECT doc_id, n::BIGINT AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed,
+  coalesce(n_spans, 0)::BIGINT AS n_spans, sha256(unhex(coalesce(kept.h, hexed.h))) AS kept_sha256
+FROM hexed LEFT JOIN cut USING (r) LEFT JOIN kept USING (r)
+"""
+
+OP2_JACCARD = r"""
+WITH RECURSIVE doc AS (
+  SELECT row_number() OVER () AS r, doc_id,
+    regexp_extract_all(
+      translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\x20\x09-\x0D]+') AS w
+  FROM documents
+), shingle AS (
+  SELECT DISTINCT r, array_to_string(w[i:i + 4], ' ') AS s
+  FROM (SELECT r, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM doc WHERE len(w) > 0)
+), size AS (
+  SELECT r, count(*) AS n FROM shingle GROUP BY r
+), common AS (
+  SELECT a.r AS a, b.r AS b, count(*) AS c FROM shingle a JOIN shingle b USING (s) WHERE a.r <> b.r GROUP BY 1, 2
+), link AS (
+  SELECT a, b FROM common JOIN size x ON x.r = a JOIN size y ON y.r = b
+  WHERE 100 * c >= 80 * (x.n + y.n - c)
+), reach AS (
+  SELECT r AS a, r AS b FROM doc
+  UNION
+  SELECT reach.a, link.b FROM reach JOIN link ON reach.b = link.a
+)
+SELECT x.doc_id, coalesce(any_value(n), 0)::BIGINT AS n_shingles, min(y.doc_id) AS component_id
+FROM reach JOIN doc x ON x.r = reach.a JOIN doc y ON y.r = reach.b LEFT JOIN size ON size.r = x.r
+GROUP BY x.r, x.doc_id
+"""
+
+OP4_INTERLEAVE = r"""
+WITH step AS (
+  SELECT list_transform(range(256), lambda i: list_reduce(range(8), lambda c, k:
+    CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, i)) AS crc
+), body AS (
+  SELECT row_number() OVER () AS r, doc_id, source, hex(encode(coalesce(text, ''))) AS h FROM documents
+), sum32 AS (
+  SELECT r, doc_id, source, length(h) // 2 + 1 AS size,
+    xor(list_reduce(
+      list_transform(range(length(h) // 2), lambda i: ('0x' || h[2 * i + 1:2 * i + 2])::BIGINT),
+      lambda c, b: xor(c >> 8, crc[xor(c, b) % 256 + 1]), 4294967295), 4294967295) AS text_crc32
+  FROM body, step
+), dealt AS (
+  SELECT *, md5('20240501|' || coalesce(doc_id::VARCHAR, '')) AS m FROM sum32
+), ranked AS (
+  SELECT *, (row_number() OVER (PARTITION BY source ORDER BY m, doc_id)::DOUBLE - 0.5::DOUBLE)
+    / count(*) OVER (PARTITION BY source) AS fraction FROM dealt
+), placed AS (
+  SELECT *, row_number() OVER (ORDER BY fraction, m, doc_id, source) - 1 AS pos, count(*) OVER () AS n FROM ranked
+)
+SELECT doc_id, size::BIGINT AS size, text_crc32::BIGINT AS text_crc32, 'rows' AS law,
+  (pos * 16 // n)::INTEGER AS shard,
+  (pos - (pos * 16 // n * n + 15) // 16)::BIGINT AS slot,
+  NULL::INTEGER AS grown_shard, source
+FROM placed
+"""
+
 OP6_DECONTAMINATE = r"""
 WITH doc AS (
   SELECT row_number() OVER () AS r, doc_id,
@@ -66,6 +157,9 @@ FROM doc LEFT JOIN word USING (r) LEFT JOIN named USING (r)
 """
 
 ORACLES: dict[str, str] = {
+    "op1_repeats": OP1_REPEATS,
+    "op2_jaccard": OP2_JACCARD,
+    "op4_interleave": OP4_INTERLEAVE,
     "op6_decontaminate": OP6_DECONTAMINATE,
     "op9_chat": OP9_CHAT,
 }
