@@ -140,7 +140,6 @@ MIN_DELIVERED_PCT = 85
 SCORE_RANGE = (1, 5)
 MEAN_SCORE_RANGE = (2.5, 5.0)
 
-# Sampling of the location source.
+# Sample of the locations, for callers that ask for one.
 SAMPLE_FRACTION = 0.2
 SAMPLE_SEED = 42
-SAMPLE_MIN_ROWS = 100_000

@@ -5,15 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from mercastar.storage import durable
+
 CELL_DIGITS = 4
 CHUNK = 100_000
 
 
-def exact_sample(df: DataFrame, fraction: float, seed: int, min_rows: int) -> DataFrame:
-    """Sample exactly `round(fraction * rows)` rows; small tables stay whole.
+def exact_sample(df: DataFrame, fraction: float, seed: int) -> DataFrame:
+    """Sample exactly `round(fraction * rows)` rows, whatever the size of the table.
 
-    A table of at most `min_rows` rows is returned as it is. The sample is the
-    set of rows with the least md5 over (seed, row), so it repeats on the same
+    The sample is the set of rows with the least md5 over (seed, row), so it repeats on the same
     data. Only a histogram over the first md5 digits is gathered: cells below the
     cut are taken by a filter, and the one cut cell is finished by counting
     copies. Copies of one row fall into one cell, but are counted before they
@@ -26,10 +27,11 @@ def exact_sample(df: DataFrame, fraction: float, seed: int, min_rows: int) -> Da
     )
     through = Window.orderBy("_cell")
     histogram = keyed.groupBy("_cell").agg(F.count(F.lit(1)).alias("n"))
+    histogram = durable(histogram)
     rows = histogram.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    if rows <= min_rows:
-        return df
     wanted = round(rows * fraction)
+    if not 0 < wanted < rows:
+        return df.limit(0) if wanted <= 0 else df
     cut = (
         histogram.withColumn("upto", F.sum("n").over(through))
         .where(F.col("upto") >= wanted)

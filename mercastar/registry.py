@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-import uuid
-from collections import ChainMap
+import hashlib
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass
 
@@ -31,18 +30,17 @@ from mercastar.plans.staging import STAGED_SOURCES, build_staging, load_staging
 from mercastar.plans.warehouse import Warehouse
 from mercastar.schemas import AUDIT_COLUMN, WAREHOUSE
 from mercastar.sources import testdata
+from mercastar.sources.csv_files import read_csv, read_source
 from mercastar.sources.sinks import row_counts
-from mercastar.storage import shared_folder
+from mercastar.storage import workspace
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
-
 @dataclass
 class Opened:
-    """What is kept for one folder: its data version, sources and star schema."""
+    """What is kept for one folder: its sources and star schema."""
 
-    version: int
     sources: Mapping[str, DataFrame]
     warehouse: Warehouse
 
@@ -50,33 +48,33 @@ class Opened:
 _open: dict[tuple[str, str], Opened] = {}
 
 
-def _version(spark: SparkSession, folder: str) -> int:
-    """Changes when a table file does. Lists files without reading them."""
-    paths = [f"{folder.rstrip('/')}/{name}.parquet" for name in testdata.TABLES]
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(paths)
-    mark = F.xxhash64("path", "modificationTime", "length")
-    return files.agg(F.bit_xor(mark)).first()[0]
-
-
 def opened(spark: SparkSession, folder: str) -> Opened:
-    """Sources and star schema of a folder, kept per application and data version."""
+    """Sources and star schema of a folder, kept for the application until `refresh`."""
     key = (spark.sparkContext.applicationId, folder)
-    version = _version(spark, folder)
-    if key not in _open or _open[key].version != version:
+    if key not in _open:
         sources = testdata.sources(spark, folder)
-        _open[key] = Opened(version, sources, _new_warehouse(spark, folder, sources))
+        place = f"{_place(spark, folder)}/warehouse"
+        _open[key] = Opened(sources, _new_warehouse(spark, folder, sources, place))
     return _open[key]
 
 
+def refresh(spark: SparkSession, folder: str) -> None:
+    """Forget what is kept for a folder whose tables have changed."""
+    _open.pop((spark.sparkContext.applicationId, folder), None)
+
+
+def _place(spark: SparkSession, folder: str) -> str:
+    """One fixed place for what is stored for a folder, so that loads replace each other."""
+    return f"{workspace(spark)}/{hashlib.md5(folder.encode()).hexdigest()}"
+
+
 def warehouse(spark: SparkSession, folder: str) -> Warehouse:
     return opened(spark, folder).warehouse
 
 
 def _new_warehouse(
-    spark: SparkSession, folder: str, sources: Mapping[str, DataFrame]
+    spark: SparkSession, folder: str, sources: Mapping[str, DataFrame], place: str
 ) -> Warehouse:
-    shared = shared_folder(spark)
-    place = f"{shared}/mercastar/warehouse/{uuid.uuid4().hex}" if shared else None
     return Warehouse(sources, testdata.regions(spark, folder), place)
 
 
@@ -107,22 +105,10 @@ def _report(name: str) -> Query:
     return lambda spark, folder: REPORTS[name](warehouse(spark, folder), testdata.PARAMETERS)
 
 
-def _sampled_sources(spark: SparkSession, folder: str) -> Mapping[str, DataFrame]:
-    """Sources as an extract hands them on: locations are sampled."""
-    sources = opened(spark, folder).sources
-    places = exact_sample(
-        sources["geolocation"], SAMPLE_FRACTION, SAMPLE_SEED, testdata.SAMPLE_MIN_ROWS
-    )
-    return ChainMap({"geolocation": places}, sources)
-
-
 def _staged(name: str) -> Query:
-    def run(spark: SparkSession, folder: str) -> DataFrame:
-        sampled = STAGED_SOURCES[name] == "geolocation"
-        sources = _sampled_sources(spark, folder) if sampled else opened(spark, folder).sources
-        return build_staging(sources)[name].drop(AUDIT_COLUMN)
-
-    return run
+    return lambda spark, folder: build_staging(opened(spark, folder).sources)[name].drop(
+        AUDIT_COLUMN
+    )
 
 
 def _profile(build: Callable[[Mapping[str, DataFrame]], DataFrame]) -> Query:
@@ -130,21 +116,14 @@ def _profile(build: Callable[[Mapping[str, DataFrame]], DataFrame]) -> Query:
 
 
 def _load_staging(spark: SparkSession, folder: str) -> DataFrame:
-    place = f"{_writable(spark)}/mercastar/staging/{uuid.uuid4().hex}"
-    return row_counts(load_staging(spark, _sampled_sources(spark, folder), place))
-
-
-def _writable(spark: SparkSession) -> str:
-    shared = shared_folder(spark)
-    if shared is None:
-        raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-    return shared
+    place = f"{_place(spark, folder)}/staging"
+    return row_counts(load_staging(spark, opened(spark, folder).sources, place))
 
 
 def _load_warehouse(spark: SparkSession, folder: str) -> DataFrame:
-    _writable(spark)
     sources = opened(spark, folder).sources
-    return row_counts(_new_warehouse(spark, folder, sources).load())
+    place = f"{_place(spark, folder)}/reloaded"
+    return row_counts(_new_warehouse(spark, folder, sources, place).load())
 
 
 def _table_row_counts(spark: SparkSession, folder: str) -> DataFrame:
@@ -160,7 +139,54 @@ def _fact_summary(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _sample(spark: SparkSession, folder: str) -> DataFrame:
-    return _sampled_sources(spark, folder)["geolocation"]
+    """An exact, repeatable fifth of the locations."""
+    return exact_sample(opened(spark, folder).sources["geolocation"], SAMPLE_FRACTION, SAMPLE_SEED)
+
+
+def _state_table(spark: SparkSession, folder: str) -> DataFrame:
+    """The fixed state table with orders dealt over its 27 rows."""
+    states = star.dim_region(spark)
+    orders = spark.read.parquet(f"{folder}/orders.parquet").select(
+        (F.col("o_orderkey") % 27 + 1).cast("int").alias("region_key")
+    )
+    dealt = orders.groupBy("region_key").agg(F.count(F.lit(1)).alias("orders"))
+    return states.join(dealt, "region_key", "left").select(
+        *states.columns, F.coalesce("orders", F.lit(0)).alias("orders")
+    )
+
+
+def _write_csv(df: DataFrame, place: str) -> None:
+    """Rows as CSV files of two kinds: the second orders its columns differently and has one more."""
+    second = F.pmod(F.xxhash64(df.columns[0]), F.lit(2)) == 1
+    kinds = {
+        "first": df.where(~second),
+        "second": df.where(second).select(F.lit("x").alias("more"), *reversed(df.columns)),
+    }
+    for name, part in kinds.items():
+        (
+            part.write.mode("overwrite")
+            .option("header", True)
+            .option("quote", '"')
+            .option("escape", '"')
+            .option("ignoreLeadingWhiteSpace", False)
+            .option("ignoreTrailingWhiteSpace", False)
+            .csv(f"{place}/{name}")
+        )
+
+
+def _csv_orders(spark: SparkSession, folder: str) -> DataFrame:
+    """Orders written to CSV files with differing headers and read again."""
+    place = f"{_place(spark, folder)}/csv_orders"
+    _write_csv(opened(spark, folder).sources["orders"], place)
+    return read_source(spark, f"{place}/*/*.csv", "orders")
+
+
+def _csv_documents(spark: SparkSession, folder: str) -> DataFrame:
+    """Whole texts, with quotes and line breaks, through CSV files and back."""
+    place = f"{_place(spark, folder)}/csv_documents"
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    _write_csv(docs, place)
+    return read_csv(spark, f"{place}/*/*.csv", docs.schema, multiline=True)
 
 
 def _coerce_timestamps(spark: SparkSession, folder: str) -> DataFrame:
@@ -235,6 +261,9 @@ def _plain() -> dict[str, Query]:
         "normalize_missing": _normalize_missing,
         "title_case": _title_case,
         "sample_hash": _sample,
+        "state_table": _state_table,
+        "csv_orders": _csv_orders,
+        "csv_documents": _csv_documents,
         "global_ntile": _balance_tiles,
         "load_staging": _load_staging,
         "load_warehouse": _load_warehouse,

@@ -2,10 +2,22 @@
 
 from __future__ import annotations
 
+import csv
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import DataType, IntegerType, NumericType, StringType, TimestampNTZType
+from pyspark.sql.types import (
+    DataType,
+    DecimalType,
+    IntegralType,
+    NumericType,
+    StringType,
+    StructField,
+    StructType,
+    TimestampNTZType,
+)
 
-from mercastar.fixed_values import SAMPLE_FRACTION, SAMPLE_MIN_ROWS, SAMPLE_SEED
+from mercastar.fixed_values import SAMPLE_SEED
 from mercastar.functions.text import blank_missing
 from mercastar.operators.sampling import exact_sample
 from mercastar.schemas import SOURCES
@@ -24,10 +36,19 @@ FILES = {
 }
 
 # Free text may hold line breaks. Reading those makes a file unsplittable, so
-# only the source that needs it pays for it.
+# only the source that needs it pays for it: it should come as many files.
 MULTILINE = ("reviews",)
 
 
+def _exact(text: str, target: str) -> str:
+    """A number of the target type; a part that the type cannot hold is an error."""
+    wide = f"CAST({text} AS DECIMAL(38,12))"
+    return (
+        f"CASE WHEN {wide} = CAST({wide} AS {target}) THEN CAST({wide} AS {target}) "
+        f"WHEN {text} IS NOT NULL THEN raise_error(concat('no {target}: ', {text})) END"
+    )
+
+
 def _typed(column: str, target: DataType) -> str:
     text = blank_missing(f"`{column}`")
     name = target.simpleString()
@@ -35,44 +56,83 @@ def _typed(column: str, target: DataType) -> str:
         return text
     if isinstance(target, TimestampNTZType):
         return f"TRY_CAST({text} AS {name})"
-    if isinstance(target, IntegerType):
-        # Whole numbers may be written as 5 or 5.0; anything else is an error.
-        return f"CAST(CAST({text} AS DECIMAL(20,4)) AS {name})"
+    if isinstance(target, (IntegralType, DecimalType)):
+        # Whole numbers may be written as 5 or 5.0, money with zeros at the end.
+        return _exact(text, name)
     if isinstance(target, NumericType):
         return f"CAST({text} AS {name})"
     raise TypeError(f"no CSV reading for {name}")
 
 
-def read_source(spark: SparkSession, path: str, key: str) -> DataFrame:
-    """Read one source. Columns are matched by header name; extra ones are ignored.
+def _headers(spark: SparkSession, path: str) -> dict[tuple[str, ...], list[str]]:
+    """Files of a path, folder or pattern by their header: one line is read of each."""
+    jvm = spark.sparkContext._jvm
+    pattern = jvm.org.apache.hadoop.fs.Path(path)
+    system = pattern.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    found: dict[tuple[str, ...], list[str]] = {}
+    listed = list(system.globStatus(pattern) or [])
+    for status in [x for s in listed for x in (system.listStatus(s.getPath()) if s.isDirectory() else [s])]:
+        place = status.getPath()
+        if place.getName().startswith(("_", ".")):
+            continue
+        stream = system.open(place)
+        try:
+            reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8"))
+            line = reader.readLine()
+        finally:
+            stream.close()
+        if line:
+            names = next(csv.reader([line.removeprefix("﻿")]))
+            found.setdefault(tuple(names), []).append(place.toString())
+    if not found:
+        raise FileNotFoundError(f"no CSV file with a header at {path}")
+    return found
+
+
+def read_csv(spark: SparkSession, path: str, schema: StructType, multiline: bool) -> DataFrame:
+    """Read CSV files by header name into `schema`.
 
-    Unreadable dates become NULL, unreadable numbers fail the job.
+    Files may order their columns differently and have extra ones, which are ignored;
+    each group of files with one header is read on its own. A missing column is
+    refused. A row with too few or too many fields, an unreadable number and a number
+    that its type cannot hold exactly fail the job; an unreadable moment becomes NULL,
+    as do the texts that mean "missing".
     """
-    raw = (
-        spark.read.option("header", True)
-        .option("encoding", "UTF-8")
-        .option("quote", '"')
-        .option("escape", '"')
-        .option("multiLine", key in MULTILINE)
-        .csv(path)
-    )
-    missing = [c for c in SOURCES[key].names if c not in raw.columns]
-    if missing:
-        raise ValueError(f"source {key!r} lacks the columns {missing}")
-    return raw.selectExpr(*[f"{_typed(f.name, f.dataType)} AS `{f.name}`" for f in SOURCES[key]])
+    parts = []
+    for header, files in _headers(spark, path).items():
+        missing = [c for c in schema.names if c not in header]
+        if missing:
+            raise ValueError(f"{files[0]} lacks the columns {missing}")
+        raw = (
+            spark.read.schema(StructType([StructField(c, StringType()) for c in header]))
+            .option("header", True)
+            .option("enforceSchema", False)
+            .option("mode", "FAILFAST")
+            # A pruned parser would not see how many fields a row has.
+            .option("columnPruning", False)
+            .option("encoding", "UTF-8")
+            .option("quote", '"')
+            .option("escape", '"')
+            .option("multiLine", multiline)
+            .csv(files)
+        )
+        parts.append(raw.selectExpr(*[f"{_typed(f.name, f.dataType)} AS `{f.name}`" for f in schema]))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def read_source(spark: SparkSession, path: str, key: str) -> DataFrame:
+    return read_csv(spark, path, SOURCES[key], key in MULTILINE)
 
 
 def read_sources(
     spark: SparkSession,
     folder: str,
     files: dict[str, str] | None = None,
-    sample_fraction: float | None = SAMPLE_FRACTION,
+    sample_fraction: float | None = None,
 ) -> dict[str, DataFrame]:
-    """Read all sources of a folder; large location data is sampled."""
+    """Read all sources of a folder, whole unless a fraction of the locations is asked for."""
     names = FILES | (files or {})
     out = {key: read_source(spark, f"{folder.rstrip('/')}/{names[key]}", key) for key in SOURCES}
-    if sample_fraction:
-        out["geolocation"] = exact_sample(
-            out["geolocation"], sample_fraction, SAMPLE_SEED, SAMPLE_MIN_ROWS
-        )
+    if sample_fraction is not None:
+        out["geolocation"] = exact_sample(out["geolocation"], sample_fraction, SAMPLE_SEED)
     return out

@@ -9,8 +9,10 @@ from pyspark.sql.types import StructType
 JDBC_BATCH = 5000
 
 
-def write_parquet(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").parquet(path)
+def write_parquet(df: DataFrame, path: str, folders_by: str | None = None) -> None:
+    """Replace the table at `path`; `folders_by` makes a folder for each value of a column."""
+    writer = df.write.mode("overwrite")
+    (writer.partitionBy(folders_by) if folders_by else writer).parquet(path)
 
 
 def read_parquet(spark: SparkSession, path: str, schema: StructType) -> DataFrame:

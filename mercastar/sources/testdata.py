@@ -39,7 +39,6 @@ PARAMETERS = ReportParameters(
         ("fact_orders", 10_000),
     ),
 )
-SAMPLE_MIN_ROWS = 100
 
 
 # Expressions that occur in more than one source.

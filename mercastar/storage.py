@@ -2,42 +2,39 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-_local_folders: dict[str, str] = {}
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that driver and all executors reach, from `spark.checkpoint.dir`."""
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not named:
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    return named.rstrip("/")
 
-def shared_folder(spark: SparkSession) -> str | None:
-    """The folder every executor can reach, or None on a cluster that names none.
 
-    `spark.checkpoint.dir` decides. Only a local master, where driver and
-    executors are one process, falls back to a temporary folder.
-    """
-    context = spark.sparkContext
-    named = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
-    if named:
-        return named.rstrip("/")
-    if not context.master.startswith("local"):
-        return None
-    app = context.applicationId
-    if app not in _local_folders:
-        _local_folders[app] = tempfile.mkdtemp(prefix="mercastar-")
-    return _local_folders[app]
+def workspace(spark: SparkSession) -> str:
+    """The part of the shared folder that belongs to this application."""
+    return f"{shared_folder(spark)}/mercastar/{spark.sparkContext.applicationId}"
 
 
 def durable(df: DataFrame) -> DataFrame:
-    """Write `df` to the shared folder and read it back.
+    """Write `df` to the workspace and read it back.
 
-    The stored copy fixes non-deterministic values and survives the loss of
-    executors, since it does not depend on their disks.
+    The stored copy fixes non-deterministic values, ends the lineage and survives the
+    loss of executors, since it does not depend on their disks. It is kept until
+    `release`, because plans that read it may run at any later time.
     """
     spark = df.sparkSession
-    folder = shared_folder(spark)
-    if folder is None:
-        raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-    path = f"{folder}/mercastar/steps/{uuid.uuid4().hex}"
+    path = f"{workspace(spark)}/steps/{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def release(spark: SparkSession) -> None:
+    """Delete everything this application has left in its workspace."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(workspace(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from mercastar import fixed_values as fixed
 from mercastar.sources.testdata import PARAMETERS as P
 from oracles.star_sql import (
     band_numbers,
@@ -16,6 +15,43 @@ from oracles.star_sql import (
     share,
 )
 
+# Labels, bounds and score ranges, written out apart from the library's.
+RFM_SEGMENTS = (
+    ("Champions", (4, 5), (4, 5), (4, 5)),
+    ("Loyal Customers", (3, 5), (3, 5), (1, 5)),
+    ("Recent Customers", (4, 5), (1, 2), (1, 5)),
+    ("At Risk", (1, 2), (3, 5), (1, 5)),
+    ("Lost", (1, 1), (1, 1), (1, 5)),
+)
+PRICE_BANDS = (
+    (50, "1. Budget (< R$50)"),
+    (150, "2. Mid-Range (R$50-150)"),
+    (500, "3. Premium (R$150-500)"),
+    (None, "4. Luxury (R$500+)"),
+)
+DELAY_BANDS = (
+    (-7, "1. Very Early (7+ days early)"),
+    (-1, "2. Early (1-7 days early)"),
+    (0, "3. Exactly On Time"),
+    (3, "4. Slightly Late (1-3 days)"),
+    (7, "5. Late (4-7 days)"),
+    (None, "6. Very Late (7+ days)"),
+)
+DELIVERY_BANDS = (
+    (3, "1. Express (1-3 days)"),
+    (7, "2. Fast (4-7 days)"),
+    (14, "3. Standard (8-14 days)"),
+    (21, "4. Slow (15-21 days)"),
+    (30, "5. Very Slow (22-30 days)"),
+    (None, "6. Critical (31+ days)"),
+)
+BUYER_BANDS = (
+    (1, "1. One-Time Buyer"),
+    (2, "2. Bought Twice"),
+    (3, "3. Bought 3x"),
+    (None, "4. Loyal (4+ orders)"),
+)
+
 ORDERS = "count(DISTINCT order_id)"
 BUYERS = "count(DISTINCT customer_key)"
 DONE = "status = 'delivered'"
@@ -42,7 +78,7 @@ def rfm(recency: str, frequency: str, monetary: str) -> str:
     cases = " ".join(
         f"WHEN r_score BETWEEN {r[0]} AND {r[1]} AND f_score BETWEEN {f[0]} AND {f[1]} "
         f"AND m_score BETWEEN {m[0]} AND {m[1]} THEN '{label}'"
-        for label, r, f, m in fixed.RFM_SEGMENTS
+        for label, r, f, m in RFM_SEGMENTS
     )
     return f""",
 people AS (
@@ -54,7 +90,7 @@ scored AS (
   SELECT *, {recency} AS r_score, {frequency} AS f_score, {monetary} AS m_score FROM people
 ),
 segmented AS (
-  SELECT *, CASE {cases} ELSE '{fixed.RFM_DEFAULT}' END AS segment FROM scored
+  SELECT *, CASE {cases} ELSE 'Potential Loyalists' END AS segment FROM scored
 )
 """
 
@@ -133,13 +169,10 @@ RATING = (
     f"CASE WHEN {ON_TIME} >= {P.sla_excellent} THEN 'Excellent' "
     f"WHEN {ON_TIME} >= {P.sla_good} THEN 'Good' ELSE 'Needs Improvement' END"
 )
-PAYMENT_LABEL = (
-    "CASE kind "
-    + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in fixed.PAYMENT_LABELS)
-    + f" ELSE '{fixed.OTHER_PAYMENT}' END"
-)
-_SCORES = " ".join(f"WHEN {k} THEN '{v}'" for k, v in fixed.SCORE_LABELS)
-SCORE_LABEL = f"CASE score {_SCORES} END"
+PAYMENT_LABEL = """CASE kind WHEN 'credit_card' THEN 'Credit Card' WHEN 'boleto' THEN 'Boleto'
+  WHEN 'voucher' THEN 'Voucher' WHEN 'debit_card' THEN 'Debit Card' ELSE 'Other' END"""
+SCORE_LABEL = """CASE score WHEN 5 THEN '5 - Excellent' WHEN 4 THEN '4 - Good'
+  WHEN 3 THEN '3 - Neutral' WHEN 2 THEN '2 - Poor' WHEN 1 THEN '1 - Terrible' END"""
 STATE = {"state_code": "home_code", "state_name": "home_name", "macro_region": "home_macro"}
 STATE_METRICS = {
     "total_orders": ORDERS,
@@ -430,7 +463,7 @@ REPORTS = {
         f""", people AS (
           SELECT person, {ORDERS} AS n, sum(cents) AS cents FROM w WHERE {DONE} GROUP BY person
         )
-        SELECT {bands("n", fixed.BUYER_BANDS)} AS buyer_type, count(*) AS customer_count,
+        SELECT {bands("n", BUYER_BANDS)} AS buyer_type, count(*) AS customer_count,
                {share("count(*)")} AS pct_of_customers, {mean_money("cents")} AS avg_lifetime_value,
                {money("cents")} AS total_revenue_contribution
         FROM people GROUP BY 1"""
@@ -484,8 +517,8 @@ REPORTS = {
     ),
     "prd3_price_segments": report(
         {
-            "price_segment": bands("cents / 100", fixed.PRICE_BANDS, "<"),
-            "segment_order": band_numbers("cents / 100", fixed.PRICE_BANDS, "<"),
+            "price_segment": bands("cents / 100", PRICE_BANDS, "<"),
+            "segment_order": band_numbers("cents / 100", PRICE_BANDS, "<"),
             "items_sold": "count(*)",
             "pct_items": share("count(*)"),
             "total_revenue": money("cents"),
@@ -561,8 +594,8 @@ REPORTS = {
     ),
     "ops3_delay_review_impact": report(
         {
-            "delivery_status": bands("late", fixed.DELAY_BANDS),
-            "sort_order": band_numbers("late", fixed.DELAY_BANDS),
+            "delivery_status": bands("late", DELAY_BANDS),
+            "sort_order": band_numbers("late", DELAY_BANDS),
             "order_count": "count(*)",
             "pct_of_orders": share("count(*)"),
             "avg_review_score": SCORE,
@@ -582,7 +615,7 @@ REPORTS = {
     ),
     "ops5_delivery_histogram": report(
         {
-            "delivery_bucket": bands("took", fixed.DELIVERY_BANDS),
+            "delivery_bucket": bands("took", DELIVERY_BANDS),
             "order_count": "count(*)",
             "pct_of_orders": share("count(*)"),
             "avg_review_score": SCORE,

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from mercastar.fixed_values import MISSING_TOKENS, SAMPLE_FRACTION, SAMPLE_SEED
 from mercastar.sources.testdata import PARAMETERS as P
-from mercastar.sources.testdata import SAMPLE_MIN_ROWS
 from oracles.star_sql import (
     half_up,
     mean,
@@ -116,14 +115,15 @@ SAMPLE = f""", digested AS (
                        chr(1), city, chr(1), coalesce(state, chr(0)))) AS digest FROM s_geolocation
 ), sampled AS (
   SELECT * FROM digested
-  QUALIFY count(*) OVER () <= {SAMPLE_MIN_ROWS} OR row_number() OVER (ORDER BY digest)
+  QUALIFY row_number() OVER (ORDER BY digest)
     <= round_even(count(*) OVER () * {SAMPLE_FRACTION}::DOUBLE, 0)
 )
 SELECT """
-STAGING_TABLES["stg_geolocation"] = over_sources(
-    SAMPLE + "zip AS geolocation_zip_code_prefix, lat AS geolocation_lat, lng AS geolocation_lng, "
-    "city AS geolocation_city, state AS geolocation_state FROM sampled"
+_PLACES = (
+    "zip AS geolocation_zip_code_prefix, lat AS geolocation_lat, lng AS geolocation_lng, "
+    "city AS geolocation_city, state AS geolocation_state FROM "
 )
+STAGING_TABLES["stg_geolocation"] = over_sources("SELECT " + _PLACES + "s_geolocation")
 
 # Columns of every source as (name, type, SQL value), for the profiles.
 T, I, D, M, N = "string", "int", "double", "decimal(10,2)", "timestamp_ntz"
@@ -335,12 +335,7 @@ STAGED_COUNTS = over_sources(
             ("stg_customers", "s_customers", "count(*)"),
             ("stg_sellers", "s_sellers", "count(*)"),
             ("stg_products", "s_products", "count(*)"),
-            (
-                "stg_geolocation",
-                "s_geolocation",
-                f"CASE WHEN count(*) <= {SAMPLE_MIN_ROWS} THEN count(*) "
-                f"ELSE round_even(count(*) * {SAMPLE_FRACTION}::DOUBLE, 0)::BIGINT END",
-            ),
+            ("stg_geolocation", "s_geolocation", "count(*)"),
         )
     )
 )
@@ -539,7 +534,33 @@ OPERATORS = {
     "title_case": over_sources(
         f"SELECT DISTINCT city AS customer_city, {title('city')} AS clean_city FROM s_customers"
     ),
-    "sample_hash": STAGING_TABLES["stg_geolocation"],
+    "csv_orders": STAGING_TABLES["stg_orders"],
+    "csv_documents": f"""
+        SELECT doc_id, CASE WHEN text NOT IN ({_TOKENS}) THEN text END AS text,
+               CASE WHEN lang NOT IN ({_TOKENS}) THEN lang END AS lang,
+               CASE WHEN source NOT IN ({_TOKENS}) THEN source END AS source, n_chars
+        FROM documents""",
+    "sample_hash": over_sources(SAMPLE + _PLACES + "sampled"),
+    "state_table": """
+        WITH states(region_key, state_code, state_name, macro_region) AS (VALUES
+          (1, 'AC', 'Acre', 'Norte'), (2, 'AL', 'Alagoas', 'Nordeste'),
+          (3, 'AP', 'Amapá', 'Norte'), (4, 'AM', 'Amazonas', 'Norte'),
+          (5, 'BA', 'Bahia', 'Nordeste'), (6, 'CE', 'Ceará', 'Nordeste'),
+          (7, 'DF', 'Distrito Federal', 'Centro-Oeste'), (8, 'ES', 'Espírito Santo', 'Sudeste'),
+          (9, 'GO', 'Goiás', 'Centro-Oeste'), (10, 'MA', 'Maranhão', 'Nordeste'),
+          (11, 'MT', 'Mato Grosso', 'Centro-Oeste'), (12, 'MS', 'Mato Grosso do Sul', 'Centro-Oeste'),
+          (13, 'MG', 'Minas Gerais', 'Sudeste'), (14, 'PA', 'Pará', 'Norte'),
+          (15, 'PB', 'Paraíba', 'Nordeste'), (16, 'PR', 'Paraná', 'Sul'),
+          (17, 'PE', 'Pernambuco', 'Nordeste'), (18, 'PI', 'Piauí', 'Nordeste'),
+          (19, 'RJ', 'Rio de Janeiro', 'Sudeste'), (20, 'RN', 'Rio Grande do Norte', 'Nordeste'),
+          (21, 'RS', 'Rio Grande do Sul', 'Sul'), (22, 'RO', 'Rondônia', 'Norte'),
+          (23, 'RR', 'Roraima', 'Norte'), (24, 'SC', 'Santa Catarina', 'Sul'),
+          (25, 'SP', 'São Paulo', 'Sudeste'), (26, 'SE', 'Sergipe', 'Nordeste'),
+          (27, 'TO', 'Tocantins', 'Norte'))
+        SELECT region_key::BIGINT AS region_key, state_code, state_name, macro_region,
+               count(o_orderkey) AS orders
+        FROM states LEFT JOIN orders ON o_orderkey % 27 + 1 = region_key
+        GROUP BY 1, 2, 3, 4""",
     "global_ntile": """
         SELECT c_custkey,
                CAST(ntile(5) OVER (ORDER BY c_acctbal, c_custkey) AS BIGINT) AS poor_tile,
