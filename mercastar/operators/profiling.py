@@ -28,12 +28,20 @@ def _as_text(column: str, data_type) -> F.Column:
     return F.col(column).cast("string")
 
 
+def _short(text: F.Column) -> F.Column:
+    """The text, or its md5 where that is shorter: equal for equal texts.
+
+    Different long texts share a digest with a probability below n^2 / 2^129.
+    """
+    return F.when(F.octet_length(text) > 32, F.concat(F.lit("md5 "), F.md5(text.cast("binary")))).otherwise(text)
+
+
 def profile_columns(name: str, df: DataFrame) -> DataFrame:
     """One row per column: type, nulls, null percent, distinct values, min, max.
 
     Min and max are given for numbers and dates. Distinct values are counted by
     grouping (column, value) pairs, which collapses frequent values before the
-    shuffle and spreads all columns over all tasks.
+    shuffle and spreads all columns over all tasks; of long texts only digests move.
     """
     fields = list(df.schema)
     facts = []
@@ -73,7 +81,7 @@ def profile_columns(name: str, df: DataFrame) -> DataFrame:
                 *[
                     F.struct(
                         F.lit(i).alias("position"),
-                        F.col(field.name).cast("string").alias("value"),
+                        _short(F.col(field.name).cast("string")).alias("value"),
                     )
                     for i, field in enumerate(fields)
                 ]
@@ -101,9 +109,14 @@ def profile_columns(name: str, df: DataFrame) -> DataFrame:
 
 
 def profile_table(name: str, df: DataFrame) -> DataFrame:
-    """One row: rows, columns, full-row duplicates, columns that hold nulls."""
-    grouped = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_n"))
-    flags = [F.coalesce(F.max(F.col(c).isNull().cast("int")), F.lit(0)) for c in df.columns]
+    """One row: rows, columns, full-row duplicates, columns that hold nulls.
+
+    Rows are compared by the md5 of their JSON text, so only digests move.
+    """
+    row = F.md5(F.to_json(F.struct(*df.columns)).cast("binary"))
+    holes = [F.max(F.col(c).isNull().cast("int")).alias(f"_hole_{i}") for i, c in enumerate(df.columns)]
+    grouped = df.groupBy(row.alias("_row")).agg(F.count(F.lit(1)).alias("_n"), *holes)
+    flags = [F.coalesce(F.max(f"_hole_{i}"), F.lit(0)) for i in range(len(df.columns))]
     return grouped.agg(
         F.coalesce(F.sum("_n"), F.lit(0)).alias("row_count"),
         F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).alias("duplicate_count"),
@@ -168,26 +181,59 @@ def scores_out_of_range(sources: Mapping[str, DataFrame]) -> DataFrame:
     )
 
 
-def validate(name: str, df: DataFrame) -> list[str]:
-    """Warnings about one source, empty when all is well. Never raises on bad data."""
-    if df.isEmpty():
-        return [f"[{name}] EMPTY"]
-    one = {name: df}
-    warnings = []
-    if name in PRIMARY_KEYS:
-        row = primary_key_duplicates(one).first()
-        if row["duplicate_count"] > 0:
-            warnings.append(
-                f"[{name}] {row['duplicate_count']} duplicate rows on key {row['key_columns']}"
+def validate_all(sources: Mapping[str, DataFrame]) -> list[str]:
+    """Warnings about all sources, empty when all is well. Never raises on bad data.
+
+    One job counts everything: rows, rows beyond the first of a key, negative values
+    and scores out of range.
+    """
+    nothing = F.lit("").alias("column_name")
+    counts = [
+        df.agg(F.count(F.lit(1)).alias("n")).select(
+            F.lit(name).alias("table_name"), F.lit("rows").alias("kind"), nothing, "n"
+        )
+        for name, df in sources.items()
+    ]
+    if any(name in PRIMARY_KEYS for name in sources):
+        counts.append(
+            primary_key_duplicates(sources).select(
+                "table_name",
+                F.lit("copies").alias("kind"),
+                F.col("key_columns").alias("column_name"),
+                F.col("duplicate_count").alias("n"),
             )
-    if any(column in df.columns for column in NON_NEGATIVE):
-        for row in negative_values(one).where("negative_count > 0").collect():
-            warnings.append(
-                f"[{name}] {row['negative_count']} negative values in {row['column_name']}"
+        )
+    if any(c in df.columns for df in sources.values() for c in NON_NEGATIVE):
+        counts.append(
+            negative_values(sources).select(
+                "table_name", F.lit("negative").alias("kind"), "column_name", F.col("negative_count").alias("n")
             )
-    if "review_score" in df.columns:
-        wrong = scores_out_of_range(one).first()["invalid_count"]
-        if wrong > 0:
-            low, high = SCORE_RANGE
-            warnings.append(f"[{name}] {wrong} review scores outside {low}-{high}")
+        )
+    if any("review_score" in df.columns for df in sources.values()):
+        counts.append(
+            scores_out_of_range(sources).select(
+                "table_name", F.lit("range").alias("kind"), nothing, F.col("invalid_count").alias("n")
+            )
+        )
+    found = _stack(counts).collect()  # a few rows for each source
+    empty = {r["table_name"] for r in found if r["kind"] == "rows" and r["n"] == 0}
+    low, high = SCORE_RANGE
+    texts = {
+        "copies": "{n} duplicate rows on key {column}",
+        "negative": "{n} negative values in {column}",
+        "range": f"{{n}} review scores outside {low}-{high}",
+    }
+    warnings = []
+    for name in sources:
+        if name in empty:
+            warnings.append(f"[{name}] EMPTY")
+        for r in found:
+            if r["table_name"] == name and r["kind"] in texts and r["n"]:
+                said = texts[r["kind"]].format(n=r["n"], column=r["column_name"])
+                warnings.append(f"[{name}] {said}")
     return warnings
+
+
+def validate(name: str, df: DataFrame) -> list[str]:
+    """Warnings about one source."""
+    return validate_all({name: df})

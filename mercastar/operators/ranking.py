@@ -43,17 +43,10 @@ def global_rank(df: DataFrame, order: Sequence[str], name: str = "rank") -> Data
     )
 
 
-def tile_of(position, size, tiles: int):
-    """Tile 1..tiles of a zero-based position, as NTILE assigns it."""
-    size = size.cast("bigint")
-    base = F.floor(size / tiles)
-    larger = size % tiles  # the first tiles take one row more
-    edge = larger * (base + 1)
-    return (
-        F.when(position < edge, F.floor(position / (base + 1)) + 1)
-        .otherwise(larger + F.floor((position - edge) / F.nullif(base, F.lit(0))) + 1)
-        .cast("int")
-    )
+def _tile_starts(size: int, tiles: int) -> list[int]:
+    """Zero-based positions at which tiles 2 to `tiles` begin, as NTILE cuts them."""
+    base, larger = divmod(size, tiles)
+    return [t * base + min(t, larger) for t in range(1, tiles) if t * base + min(t, larger) < size]
 
 
 def global_ntile(
@@ -61,34 +54,32 @@ def global_ntile(
 ) -> DataFrame:
     """Add NTILE columns over the whole table.
 
-    `scores` maps an output column to (numeric column, ascending). Ties are
-    ordered by `entity`, which must be unique. All scores share one range
-    shuffle: each row becomes one narrow row per score, and only the first of
-    them carries the other columns along.
+    `scores` maps an output column to (numeric column, ascending). Ties are ordered by
+    `entity`, which must be unique. Only narrow (score, value, entity) rows are range
+    partitioned. The rows at which tiles begin, at most `tiles - 1` for a score, come
+    to the driver; every other row finds its tile by comparing itself with them, where
+    it is. `df` is read twice, so store it if it is costly.
     """
-    payload = F.struct(*[c for c in df.columns if c != entity])
     values = []
     for i, (column, ascending) in enumerate(scores.values()):
         value = F.col(column).cast("decimal(20,2)")
         value = value if ascending else (F.lit(0) - value).cast("decimal(20,2)")
-        carried = F.when(F.lit(i == 0), payload)
-        values.append(
-            F.struct(F.lit(i).alias("_score"), value.alias("_value"), carried.alias("_carried"))
-        )
-    narrow = df.select(entity, F.inline(F.array(*values)))
-    ranked = global_rank(narrow, ["_score", "_value", entity], "_position")
+        values.append(F.struct(F.lit(i).alias("_score"), value.alias("_value")))
+    narrow = df.select(F.col(entity).alias("_entity"), F.inline(F.array(*values)))
+    ranked = global_rank(narrow, ["_score", "_value", "_entity"], "_position")
 
-    # Every score ranks all entities: one count serves for all, and the entities
-    # of score i take the positions from i * count on.
-    count = ranked.count() // len(scores)
-    position = F.col("_position") - F.col("_score") * F.lit(count).cast("bigint")
-    tiled = ranked.withColumn("_tile", tile_of(position, F.lit(count), tiles))
-    folded = tiled.groupBy(entity).agg(
-        F.first("_carried", ignorenulls=True).alias("_carried"),
-        *[
-            F.max(F.when(F.col("_score") == i, F.col("_tile"))).alias(out)
-            for i, out in enumerate(scores)
-        ],
-    )
-    kept = [entity if c == entity else F.col(f"_carried.{c}") for c in df.columns]
-    return folded.select(*kept, *scores)
+    # Every score ranks all entities: score i takes the positions from i * count on.
+    count = df.count()
+    starts = _tile_starts(count, tiles)
+    wanted = [i * count + s for i in range(len(scores)) for s in starts]
+    cuts = ranked.where(F.col("_position").isin(wanted)).collect() if wanted else []
+    tiled = df
+    for i, out in enumerate(scores):
+        tile = F.lit(1)
+        for cut in (c for c in cuts if c["_score"] == i):
+            value, first = values[i].getField("_value"), F.lit(cut["_value"])
+            at_least = (F.col(entity) >= F.lit(cut["_entity"])) & value.eqNullSafe(first)
+            above = value > first if cut["_value"] is not None else value.isNotNull()
+            tile = tile + (F.coalesce(above, F.lit(False)) | at_least).cast("int")
+        tiled = tiled.withColumn(out, tile)
+    return tiled

@@ -278,7 +278,9 @@ def top_categories(w: Warehouse) -> DataFrame:
 
 
 def status_mix(w: Warehouse) -> DataFrame:
-    return w.fact.groupBy("order_status").agg(F.count(F.lit(1)).alias("item_rows"))
+    """Items by order state, most frequent first."""
+    mix = w.fact.groupBy("order_status").agg(F.count(F.lit(1)).alias("item_rows"))
+    return mix.orderBy(F.desc("item_rows"), "order_status")
 
 
 def fact_duplicates(w: Warehouse) -> DataFrame:

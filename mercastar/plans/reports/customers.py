@@ -24,6 +24,7 @@ from mercastar.plans.reports.scopes import (
     delivered,
     metrics,
     with_customer,
+    with_least_spelling,
     with_purchase_day,
     with_region,
 )
@@ -31,8 +32,6 @@ from mercastar.plans.warehouse import Warehouse
 
 PERSON = "customer_unique_id"
 STATE = ("state_code", "state_name", "macro_region")
-# Compares without case, accents and trailing blanks, as some databases do.
-LENIENT_COLLATION = "UNICODE_CI_AI_RTRIM"
 
 
 def state_revenue(w: Warehouse, p: ReportParameters) -> DataFrame:
@@ -64,14 +63,24 @@ def state_map(w: Warehouse, p: ReportParameters) -> DataFrame:
 
 
 def _purchases_per_person(w: Warehouse, p: ReportParameters) -> DataFrame:
-    """Recency, frequency and monetary value of every person."""
-    people = with_customer(with_purchase_day(delivered(w), w), w)
-    return (
-        people.groupBy(PERSON)
-        .agg(
+    """Recency, frequency and monetary value of every person; stored once for all reports."""
+
+    def build() -> DataFrame:
+        # An order has one customer and one day: orders collapse before they meet customers.
+        orders = (
+            delivered(w)
+            .groupBy("customer_key", "order_id", "purchase_time_key")
+            .agg(F.sum("price").alias("spent"))
+        )
+        people = with_customer(with_purchase_day(orders, w), w)
+        return people.groupBy(PERSON).agg(
             F.max("full_date").alias("last_purchase_date"),
-            *metrics(frequency="orders", monetary="price_sum"),
+            F.countDistinct("order_id").alias("frequency"),
+            F.sum("spent").cast("decimal(20,2)").alias("monetary"),
         )
+
+    return (
+        w.derived("purchases_per_person", build)
         .withColumn(
             "recency_days", F.datediff(F.lit(p.rfm_date).cast("date"), "last_purchase_date")
         )
@@ -280,17 +289,17 @@ def top_cities(w: Warehouse, p: ReportParameters, collate: bool = False) -> Data
     """Ten cities with the most people.
 
     With `collate`, spellings that differ in case, accents or trailing blanks
-    are one city, shown by its least spelling.
+    are one city, shown by the least spelling among all customers.
     """
     city = F.col("customer_city")
-    key = F.collate(city, LENIENT_COLLATION) if collate else city
-    least = [F.min(city).alias("city")] if collate else []
-    shown = "city" if collate else "city_key"
+    rows = with_customer(delivered(w), w)
+    if collate:
+        rows = with_least_spelling(rows, w.customer, "customer_city", "city_key")
+    else:
+        rows = rows.withColumn("city_key", city)
     return (
-        with_customer(delivered(w), w)
-        .groupBy(key.alias("city_key"), "customer_state")
+        rows.groupBy("city_key", "customer_state")
         .agg(
-            *least,
             *metrics(
                 unique_customers="people",
                 total_orders="orders",
@@ -299,7 +308,7 @@ def top_cities(w: Warehouse, p: ReportParameters, collate: bool = False) -> Data
             ),
         )
         .select(
-            F.concat(shown, F.lit(" - "), "customer_state").alias("city_state"),
+            F.concat("city_key", F.lit(" - "), "customer_state").alias("city_state"),
             "unique_customers",
             "total_orders",
             "total_revenue",

@@ -12,6 +12,7 @@ from mercastar.functions.time import month_label, quarter_label
 from mercastar.plans.parameters import ReportParameters
 from mercastar.plans.reports.scopes import (
     CATEGORY,
+    bought_before,
     delivered,
     metrics,
     sold,
@@ -160,7 +161,7 @@ def revenue_trend(w: Warehouse, p: ReportParameters) -> DataFrame:
     """
     cutoff = int(p.trend_cutoff.replace("-", ""))
     monthly = (
-        with_purchase_day(sold(w).where(F.col("purchase_time_key") < cutoff), w)
+        with_purchase_day(bought_before(sold(w), cutoff), w)
         .groupBy("year", "month")
         .agg(
             *metrics(

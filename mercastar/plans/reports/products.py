@@ -17,6 +17,7 @@ from mercastar.functions.time import month_label
 from mercastar.plans.parameters import ReportParameters
 from mercastar.plans.reports.scopes import (
     CATEGORY,
+    bought_before,
     delivered,
     metrics,
     with_product,
@@ -53,27 +54,24 @@ def category_leaderboard(w: Warehouse, p: ReportParameters) -> DataFrame:
     )
 
 
-def _category_months(w: Warehouse) -> DataFrame:
-    return with_product(with_purchase_day(delivered(w), w), w).groupBy("year", "month", CATEGORY)
-
-
 def category_trend(w: Warehouse, p: ReportParameters) -> DataFrame:
-    """Months of the five best categories, from one scan of the fact.
+    """Months of the five best categories.
 
-    Windows run over (category, month) totals, whose number is bounded by the
-    catalogue of categories times the calendar.
+    The five come first, from sums alone; only their items are counted by month.
     """
-    monthly = (
-        _category_months(w)
-        .agg(*metrics(orders="orders", revenue="price_sum"))
-        .where(F.col(CATEGORY).isNotNull())
+    rows = with_product(delivered(w), w).where(F.col(CATEGORY).isNotNull())
+    best = (
+        rows.groupBy(CATEGORY)
+        .agg(F.sum("price").alias("overall"))
+        .orderBy(F.desc("overall"), CATEGORY)
+        .limit(TREND_CATEGORIES)
+        .select(CATEGORY)
     )
-    overall = F.sum("revenue").over(Window.partitionBy(CATEGORY))
-    best = Window.orderBy(F.desc("overall"), CATEGORY)
+    # At most TREND_CATEGORIES rows are broadcast.
+    chosen = with_purchase_day(rows.join(F.broadcast(best), CATEGORY, "left_semi"), w)
     return (
-        monthly.withColumn("overall", overall)
-        .withColumn("place", F.dense_rank().over(best))
-        .where(F.col("place") <= TREND_CATEGORIES)
+        chosen.groupBy("year", "month", CATEGORY)
+        .agg(*metrics(orders="orders", revenue="price_sum"))
         .orderBy("year", "month", F.desc("revenue"), CATEGORY)
         .select(
             month_label(F.col("year"), F.col("month")).alias("period"),
@@ -151,10 +149,17 @@ def quality_matrix(w: Warehouse, p: ReportParameters) -> DataFrame:
 
 
 def hot_categories(w: Warehouse, p: ReportParameters) -> DataFrame:
-    """Growth of one month over the category's previous month with sales."""
+    """Growth of one month over the category's previous month with sales.
+
+    Later months change no growth and are not read.
+    """
+    year, month = map(int, p.hot_period.split("-"))
+    after = (year + month // 12) * 10_000 + (month % 12 + 1) * 100 + 1
+    rows = bought_before(delivered(w), after)
     # Unnamed categories keep their own group but share the shown name.
     monthly = (
-        _category_months(w)
+        with_product(with_purchase_day(rows, w), w)
+        .groupBy("year", "month", CATEGORY)
         .agg(F.sum("price").alias("current_revenue"))
         .withColumn("category", F.coalesce(CATEGORY, F.lit(UNNAMED)))
     )

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from mercastar.fixed_values import DELIVERED, SOLD
@@ -25,6 +25,13 @@ def arrived(w: Warehouse) -> DataFrame:
     return delivered(w).where(F.col("delivery_days").isNotNull())
 
 
+def bought_before(rows: DataFrame, time_key: int) -> DataFrame:
+    """Rows bought before a day, given as yyyymmdd; the year lets the scan skip folders."""
+    return rows.where(
+        (F.col("purchase_time_key") < time_key) & (F.col("purchase_year") <= time_key // 10_000)
+    )
+
+
 def with_purchase_day(rows: DataFrame, w: Warehouse) -> DataFrame:
     return rows.join(w.time.withColumnRenamed("time_key", "purchase_time_key"), "purchase_time_key")
 
@@ -46,6 +53,22 @@ def with_region(rows: DataFrame, w: Warehouse, role: str) -> DataFrame:
     return rows.join(w.dim_region.withColumnRenamed("region_key", role), role)
 
 
+# Compares without case, accents and trailing blanks, as some databases do.
+LENIENT_COLLATION = "UNICODE_CI_AI_RTRIM"
+
+
+def with_least_spelling(rows: DataFrame, dim: DataFrame, column: str, name: str) -> DataFrame:
+    """Add `name`: the least of all spellings in `dim` that are equal to `column` leniently.
+
+    Collated texts cannot be hash-aggregated, so spellings are brought together once,
+    over the distinct ones of the dimension, and rows are grouped by plain text.
+    """
+    alike = Window.partitionBy(F.collate(column, LENIENT_COLLATION))
+    spellings = dim.select(column).where(F.col(column).isNotNull()).distinct()
+    least = spellings.select(column, F.min(column).over(alike).alias(name))
+    return rows.join(least, column, "left")
+
+
 # Metric by concept. A report picks concepts and names its own columns.
 METRICS = {
     "items": lambda: items(),

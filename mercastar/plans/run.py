@@ -8,7 +8,7 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 
-from mercastar.operators.profiling import validate
+from mercastar.operators.profiling import validate_all
 from mercastar.plans.parameters import ReportParameters
 from mercastar.plans.quality import run_checks, verdict
 from mercastar.plans.staging import load_staging
@@ -46,19 +46,22 @@ def run(
     parameters: ReportParameters | None = None,
     files: dict[str, str] | None = None,
     loaded_at: datetime | None = None,
+    location_fraction: float | None = None,
 ) -> RunResult:
     """Extract, validate, stage, build the star schema, check it.
 
     Warnings about the sources never stop a run, and failed checks only show in
-    the result. The star schema is built from the sources, not from staging,
-    which drops repeated orders and items that the fact keeps.
+    the result. Orders and items of the star schema come from the sources, since
+    staging drops repeated ones that the fact keeps; customers, products and sellers
+    come from staging. All locations are read, unless `location_fraction` is given.
     """
     parameters = parameters or ReportParameters()
     target = target_folder.rstrip("/")
-    sources = land(spark, read_sources(spark, source_folder, files), f"{target}/raw")
-    warnings = [text for name, df in sources.items() for text in validate(name, df)]
+    read = read_sources(spark, source_folder, files, location_fraction)
+    sources = land(spark, read, f"{target}/raw")
+    warnings = validate_all(sources)
     staging = load_staging(spark, sources, f"{target}/staging", loaded_at)
-    warehouse = Warehouse(sources, folder=f"{target}/warehouse")
+    warehouse = Warehouse(sources, folder=f"{target}/warehouse", staging=staging)
     warehouse.load()
     path = f"{target}/quality"
     write_parquet(run_checks(warehouse, staging, parameters), path)

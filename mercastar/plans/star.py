@@ -13,7 +13,6 @@ from mercastar.functions.text import state_code, title_case
 from mercastar.functions.time import date_key, floor_days
 from mercastar.operators.dedup import first_per_key
 from mercastar.operators.keys import with_dense_key
-from mercastar.plans.staging import translated, whole_number
 from mercastar.schemas import WAREHOUSE, conform
 
 CALENDAR_SOURCES = (
@@ -21,7 +20,6 @@ CALENDAR_SOURCES = (
     "order_delivered_customer_date",
     "order_estimated_delivery_date",
 )
-SIZES = ("product_weight_g", "product_length_cm", "product_height_cm", "product_width_cm")
 
 
 def dim_time(orders: DataFrame) -> DataFrame:
@@ -59,7 +57,8 @@ def dim_region(spark: SparkSession) -> DataFrame:
 
 
 def dim_customer(customers: DataFrame) -> DataFrame:
-    clean = first_per_key(customers, ["customer_id"]).withColumns(
+    """`customers` have one row per id, as staged."""
+    clean = customers.withColumns(
         {
             "customer_city": title_case(F.col("customer_city")),
             "customer_state": state_code(F.col("customer_state")),
@@ -70,15 +69,14 @@ def dim_customer(customers: DataFrame) -> DataFrame:
     )
 
 
-def dim_product(products: DataFrame, translation: DataFrame) -> DataFrame:
-    clean = translated(first_per_key(products, ["product_id"]), translation).withColumns(
-        {c: whole_number(F.col(c)) for c in SIZES}
-    )
-    return conform(with_dense_key(clean, "product_id", "product_key"), WAREHOUSE["dim_product"])
+def dim_product(products: DataFrame) -> DataFrame:
+    """`products` have one row per id, whole numbers and an English category, as staged."""
+    return conform(with_dense_key(products, "product_id", "product_key"), WAREHOUSE["dim_product"])
 
 
 def dim_seller(sellers: DataFrame) -> DataFrame:
-    clean = first_per_key(sellers, ["seller_id"]).withColumns(
+    """`sellers` have one row per id, as staged."""
+    clean = sellers.withColumns(
         {
             "seller_city": title_case(F.col("seller_city")),
             "seller_state": state_code(F.col("seller_state")),

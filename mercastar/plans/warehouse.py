@@ -4,24 +4,38 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 from mercastar.plans import star
-from mercastar.schemas import WAREHOUSE
+from mercastar.plans.staging import build_staging
+from mercastar.schemas import STAGING, WAREHOUSE
 from mercastar.sources.sinks import read_parquet, write_parquet, write_table
 
 # Tables of one bucket count on customer_key join without a shuffle.
 BUCKETED = ("dim_customer", "fact_orders")
+YEAR = "purchase_year"
 
 
 def _laid_out(name: str, df: DataFrame) -> DataFrame:
     """Rows as they are to lie in files.
 
-    Items of an order go together, which lets distinct orders collapse before a
-    shuffle. Rebalancing evens out file sizes and splits an order too large for
-    one task.
+    The fact goes into a folder for each year of purchase, so that a bound on the
+    purchase date skips folders. Inside, items of an order lie together (an order has
+    one year), which lets distinct orders collapse before a shuffle. Rebalancing evens
+    out file sizes and splits an order too large for one task.
     """
-    return df.hint("rebalance", "order_id") if name == "fact_orders" else df
+    return df.hint("rebalance", YEAR, "order_id") if name == "fact_orders" else df
+
+
+def _year() -> Column:
+    return F.expr("purchase_time_key DIV 10000").cast("int")
+
+
+def _stored_schema(name: str) -> StructType:
+    extra = [StructField(YEAR, IntegerType())] if name == "fact_orders" else []
+    return StructType([*WAREHOUSE[name].fields, *extra])
 
 
 class Warehouse:
@@ -30,6 +44,9 @@ class Warehouse:
     With a folder, a table is written there once and read from there on, so the
     cost of keys and joins is paid once and not per report; dimensions are stored
     before the fact that needs them. Without a folder, tables stay lazy plans.
+
+    Customers, products and sellers come from their staging tables, so that their
+    copies are dropped once; orders and items are taken as they are.
     """
 
     def __init__(
@@ -37,8 +54,12 @@ class Warehouse:
         sources: Mapping[str, DataFrame],
         region: DataFrame | None = None,
         folder: str | None = None,
+        staging: Mapping[str, DataFrame] | None = None,
     ):
         self.sources = sources
+        self._staging = dict(staging or {})
+        self._derived: dict[str, DataFrame] = {}
+        self._opened = False  # opened tables are read only
         self.region = region
         self.folder = folder.rstrip("/") if folder else None
         self._tables: dict[str, DataFrame] = {}
@@ -47,8 +68,11 @@ class Warehouse:
     def stored(cls, spark: SparkSession, folder: str) -> Warehouse:
         """Open tables that an earlier load wrote."""
         warehouse = cls({}, folder=folder)
-        for name, schema in WAREHOUSE.items():
-            warehouse._tables[name] = read_parquet(spark, f"{warehouse.folder}/{name}", schema)
+        warehouse._opened = True
+        for name in WAREHOUSE:
+            warehouse._tables[name] = read_parquet(
+                spark, f"{warehouse.folder}/{name}", _stored_schema(name)
+            )
         return warehouse
 
     @classmethod
@@ -60,13 +84,17 @@ class Warehouse:
         return warehouse
 
     def table(self, name: str) -> DataFrame:
+        """A table with the columns of its schema."""
+        return self._table(name).select(*WAREHOUSE[name].names)
+
+    def _table(self, name: str) -> DataFrame:
         if name not in self._tables:
             df = self._plan(name)
             if self.folder:
                 path = f"{self.folder}/{name}"
                 spark = df.sparkSession
-                write_parquet(_laid_out(name, df), path)
-                df = read_parquet(spark, path, WAREHOUSE[name])
+                write_parquet(_laid_out(name, df), path, YEAR if name == "fact_orders" else None)
+                df = read_parquet(spark, path, _stored_schema(name))
             self._tables[name] = df
         return self._tables[name]
 
@@ -77,15 +105,37 @@ class Warehouse:
             "dim_region": lambda: (
                 star.dim_region(s["orders"].sparkSession) if self.region is None else self.region
             ),
-            "dim_customer": lambda: star.dim_customer(s["customers"]),
-            "dim_product": lambda: star.dim_product(s["products"], s["translation"]),
-            "dim_seller": lambda: star.dim_seller(s["sellers"]),
+            "dim_customer": lambda: star.dim_customer(self._unique("stg_customers")),
+            "dim_product": lambda: star.dim_product(self._unique("stg_products")),
+            "dim_seller": lambda: star.dim_seller(self._unique("stg_sellers")),
             "fact_orders": lambda: star.fact_orders(
                 s, self.customer, self.product, self.seller, self.dim_region
-            ),
+            ).withColumn(YEAR, _year()),
         }
         return plans[name]()
 
+    def _unique(self, name: str) -> DataFrame:
+        """A staging table, which has one row per key: given, or built and stored here."""
+        if name not in self._staging:
+            df = build_staging(self.sources)[name]
+            if self.folder:
+                path = f"{self.folder}/unique/{name}"
+                write_parquet(df, path)
+                df = read_parquet(df.sparkSession, path, STAGING[name])
+            self._staging[name] = df
+        return self._staging[name]
+
+    def derived(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+        """A table that several reports derive from the star schema, built at first use."""
+        if name not in self._derived:
+            df = build()
+            if self.folder and not self._opened:
+                path = f"{self.folder}/derived/{name}"
+                write_parquet(df, path)
+                df = read_parquet(df.sparkSession, path, df.schema)
+            self._derived[name] = df
+        return self._derived[name]
+
     def load(self) -> dict[str, DataFrame]:
         """All tables, dimensions first."""
         return {name: self.table(name) for name in WAREHOUSE}
@@ -109,7 +159,9 @@ class Warehouse:
 
     @property
     def fact(self) -> DataFrame:
-        return self.table("fact_orders")
+        """The fact with the year of purchase."""
+        df = self._table("fact_orders")
+        return df if YEAR in df.columns else df.withColumn(YEAR, _year())
 
     @property
     def time(self) -> DataFrame:
