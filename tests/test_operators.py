@@ -33,6 +33,12 @@ def test_tiles_equal_the_built_in(spark, count):
     assert sorted(ours.collect()) == sorted(expected.collect())
 
 
+def test_tiles_move_no_payload(spark):
+    df = spark.range(100).select("id", F.col("id").alias("v"), F.lit("x" * 50).alias("payload"))
+    plan = global_ntile(df, "id", {"a": ("v", True)}, 5)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan
+
+
 def test_rank_spreads_one_heavy_value(spark):
     """All rows share the first sort column; the second still splits them."""
     df = spark.range(5000).select(F.lit(1).alias("v"), F.col("id"))
@@ -71,12 +77,14 @@ def test_duplicate_rows(spark):
 
 def test_sample_is_exact_and_repeats(spark):
     df = spark.range(1234).select("id", (F.col("id") % 7).cast("string").alias("t"))
-    sample = exact_sample(df, 0.2, 42, 100)
+    sample = exact_sample(df, 0.2, 42)
     assert sample.count() == round(1234 * 0.2)
-    again = exact_sample(df.repartition(3), 0.2, 42, 100)
+    again = exact_sample(df.repartition(3), 0.2, 42)
     assert sorted(sample.collect()) == sorted(again.collect())
-    assert exact_sample(df, 0.2, 42, 1234).count() == 1234
-    assert sorted(exact_sample(df, 0.2, 7, 100).collect()) != sorted(sample.collect())
+    assert exact_sample(df, 1.0, 42).count() == 1234
+    assert exact_sample(df, 0.0, 42).count() == 0
+    assert exact_sample(df.limit(10), 0.2, 42).count() == 2  # no table is too small
+    assert sorted(exact_sample(df, 0.2, 7).collect()) != sorted(sample.collect())
 
 
 def test_sample_of_copies_is_exact(spark):
@@ -85,11 +93,11 @@ def test_sample_of_copies_is_exact(spark):
     others = spark.range(1000).select(F.col("id").cast("string").alias("t"))
     df = copies.union(others)
     for seed in (1, 2, 3):
-        assert exact_sample(df, 0.5, seed, 0).count() == 125_500
+        assert exact_sample(df, 0.5, seed).count() == 125_500
 
 
 def test_sample_of_nothing(spark):
-    assert exact_sample(spark.range(0), 0.2, 42, 0).count() == 0
+    assert exact_sample(spark.range(0), 0.2, 42).count() == 0
 
 
 @pytest.mark.parametrize(

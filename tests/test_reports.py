@@ -112,6 +112,46 @@ def plan_of(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
+# Columns as the reports show them.
+COLUMNS = {
+    "q3_revenue_by_month": "year month month_name year_month total_orders total_items "
+    "product_revenue freight_revenue total_revenue avg_review_score",
+    "q3_payment_methods": "payment_type orders pct_orders total_payment avg_installments",
+    "ex5_payment_mix": "payment_method order_count share_pct avg_payment_value avg_installments "
+    "total_payment_volume",
+    "ex6_weekday_pattern": "day_of_week day_name day_type total_orders total_revenue "
+    "avg_order_value orders_share_pct",
+    "cus1_rfm_segments": "segment_label customer_count pct_of_customers avg_recency_days avg_orders "
+    "avg_spend_per_customer total_revenue_from_segment",
+    "cus5_review_distribution": "review_score score_label review_count pct_of_reviews",
+    "prd1_category_leaderboard": "category items_sold unique_orders unique_buyers total_revenue "
+    "revenue_share_pct avg_price avg_review_score avg_delivery_days",
+    "prd4_quality_matrix": "category items_sold total_revenue avg_price avg_review_score "
+    "avg_delivery_days on_time_pct quality_score_100",
+    "ops5_delivery_histogram": "delivery_bucket order_count pct_of_orders avg_review_score "
+    "avg_delay_days",
+}
+
+
+@pytest.mark.parametrize("name", sorted(COLUMNS))
+def test_columns_are_in_the_shown_order(stored, name):
+    assert REPORTS[name](stored, DEFAULTS).columns == COLUMNS[name].split()
+
+
+def test_collated_cities_are_grouped_by_plain_text(stored):
+    plan = plan_of(REPORTS["cus6_top_cities_collated"](stored, DEFAULTS))
+    assert "SortAggregate" not in plan and "HashAggregate" in plan
+
+
+def test_date_bounds_skip_folders(stored):
+    for name in ("ex2_revenue_trend", "prd5_hot_categories"):
+        scan = next(
+            line for line in plan_of(REPORTS[name](stored, DEFAULTS)).splitlines()
+            if "FileScan" in line and "fact_orders" in line
+        )
+        assert "purchase_year" in scan.split("PartitionFilters:")[1].split("PushedFilters")[0]
+
+
 @pytest.mark.parametrize("name", sorted(REPORTS))
 def test_plans_stay_in_the_engine_and_scale(stored, name):
     plan = plan_of(presentable(REPORTS[name](stored, DEFAULTS)))

@@ -97,6 +97,58 @@ def test_csv_with_a_missing_column_is_refused(spark, tmp_path):
         read_source(spark, str(path), "sellers")
 
 
+ITEMS = "order_id,order_item_id,product_id,seller_id,shipping_limit_date,price,freight_value\n"
+
+
+def test_csv_columns_are_bound_by_name_in_every_file(spark, tmp_path):
+    (tmp_path / "a_sellers_dataset.csv").write_text(
+        "seller_id,seller_zip_code_prefix,seller_city,seller_state\ns1,01000,rio,RJ\n"
+    )
+    (tmp_path / "b_sellers_dataset.csv").write_text(
+        "seller_state,extra,seller_city,seller_id,seller_zip_code_prefix\nSP,9,santos,s2,02000\n"
+    )
+    rows = read_source(spark, str(tmp_path / "*_sellers_dataset.csv"), "sellers").collect()
+    assert sorted(tuple(r) for r in rows) == [
+        ("s1", "01000", "rio", "RJ"),
+        ("s2", "02000", "santos", "SP"),
+    ]
+
+
+@pytest.mark.parametrize(
+    "line",
+    [
+        "o1,1",  # short
+        "o1,1,p1,s1,2018-01-03,1,1,1",  # long
+        "o1,1.7,p1,s1,2018-01-03,1,1",  # a fraction of an item
+        "o1,1,p1,s1,2018-01-03,12.345,1",  # a tenth of a cent
+    ],
+)
+def test_csv_rows_that_do_not_fit_fail(spark, tmp_path, line):
+    path = tmp_path / "x_order_items_dataset.csv"
+    path.write_text(ITEMS + line + "\n")
+    with pytest.raises(Exception, match="MALFORMED|USER_RAISED|no int|no decimal"):
+        read_source(spark, str(path), "order_items").collect()
+
+
+def test_csv_numbers_may_have_zeros_at_the_end(spark, tmp_path):
+    path = tmp_path / "x_order_items_dataset.csv"
+    path.write_text(ITEMS + "o1,1.0,p1,s1,2018-01-03,12.3400,\n")
+    row = read_source(spark, str(path), "order_items").first()
+    assert (row["order_item_id"], row["price"], row["freight_value"]) == (1, Decimal("12.34"), None)
+
+
+def test_all_locations_are_read_unless_a_fraction_is_asked_for(spark, folder, tmp_path):
+    place = tmp_path / "many"
+    place.mkdir()
+    for name, text in CSV.items():
+        (place / name).write_text(text, encoding="utf-8")
+    header = CSV["shop_geolocation_dataset.csv"].split("\n")[0]
+    lines = [f"{n:05},-23.5,-46.6,são paulo,SP" for n in range(50)]
+    (place / "shop_geolocation_dataset.csv").write_text("\n".join([header, *lines]) + "\n", encoding="utf-8")
+    assert read_sources(spark, str(place))["geolocation"].count() == 50
+    assert read_sources(spark, str(place), sample_fraction=0.2)["geolocation"].count() == 10
+
+
 def test_csv_with_an_unreadable_number_fails(spark, tmp_path):
     path = tmp_path / "x_order_payments_dataset.csv"
     path.write_text(
@@ -125,6 +177,14 @@ def test_whole_run_and_rerun(spark, folder, tmp_path):
     assert sorted(reopened.fact.collect()) == sorted(result.warehouse.fact.collect())
 
 
+def test_a_run_drops_copies_of_dimensions_once(spark, tmp_path):
+    """The stored dimensions come from stored staging tables: their plans group nothing."""
+    w = Warehouse(small_sources(spark), folder=str(tmp_path))
+    for name in ("dim_customer", "dim_product", "dim_seller"):
+        plan = w._plan(name)._jdf.queryExecution().optimizedPlan().toString()
+        assert "_row" not in plan and "min(struct" not in plan, plan
+
+
 def test_checks_are_24_and_all_pass_on_good_data(spark):
     sources = small_sources(spark)
     parameters = ReportParameters(minimum_rows=tuple((name, 1) for name in WAREHOUSE))
