@@ -6,7 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from mercastar.llm.columns import quoted
@@ -61,7 +61,8 @@ def _signatures(sets: Shingles, rows: np.ndarray, up: int, seed: int):
         return np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.int64), rows[:0]
     inside = np.arange(len(which)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
     elements = sets.hashes[sets.offsets[rows][which] + inside]
-    spread = mix(elements ^ (np.uint64(seed + 1) * MIX_1)) >> np.uint64(32)
+    salt = np.uint64((seed + 1) * int(MIX_1) & 0xFFFFFFFFFFFFFFFF)
+    spread = mix(elements ^ salt) >> np.uint64(32)
     part = ((spread * parts[which].astype(np.uint64)) >> np.uint64(32)).astype(np.int64)
     slot = base[which] + part
     sums = np.zeros(base[-1], np.uint64)
@@ -235,6 +236,131 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return durable(both.mapInArrow(_linked, "a bigint, b bigint"))
 
 
+def _rarest(parts: DataFrame) -> DataFrame:
+    """`parts` without the most frequent ones a class can spare.
+
+    `parts` are distinct (part, class, spare, ...) of the parts that several classes
+    have; those of one class alone come first in the order and need not be listed. If
+    two classes share more parts than either can spare, then in any common order what
+    is left of the two still shares one. Adds `place`: how far a part is from the most
+    frequent one of its class, and `shared`: the parts a class is listed with.
+    """
+    often = parts.groupBy("part").agg(F.count(F.lit(1)).alias("classes"))
+    own = Window.partitionBy("class", "spare")
+    ranked = parts.join(often, "part").withColumns(
+        {
+            "place": F.row_number().over(own.orderBy(F.col("classes").desc(), "part")),
+            "shared": F.count(F.lit(1)).over(own),
+        }
+    )
+    return durable(ranked.where(F.col("place") > F.col("spare")).drop("classes"))
+
+
+def _stars(kept: DataFrame) -> DataFrame:
+    """One pair `(a, b)` for each class of a part: with the least class of the part."""
+    hubs = kept.groupBy("part").agg(F.min("class").alias("hub"))
+    pairs = kept.join(hubs, "part").where(F.col("hub") < F.col("class"))
+    return durable(pairs.select(F.col("hub").alias("a"), F.col("class").alias("b")).distinct())
+
+
+def _rooted(kept: DataFrame, roots: DataFrame) -> DataFrame:
+    """`kept` with the component of each class, for the parts that lie in several components."""
+    labelled = kept.join(roots, kept["class"] == roots["node"], "left").select(
+        *kept.columns, F.coalesce("root", "class").alias("root")
+    )
+    several = labelled.groupBy("part").agg(F.min("root").alias("low"), F.max("root").alias("high"))
+    return durable(labelled.join(several.where(F.col("low") != F.col("high")).select("part"), "part"))
+
+
+def _elements(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Every shingle of a class as a part of its own.
+
+    A partner shares at least 4 / 5 of the shingles, so all but a fifth and one can be
+    spared.
+    """
+    for batch in batches:
+        raw = [b.as_buffer() for b in batch.column("elements")]
+        sizes = np.array([len(b) // 8 for b in raw], np.int64)
+        spare = -(-SIMILAR * sizes // OF) - 1
+        yield pa.RecordBatch.from_arrays(
+            [
+                pa.array(np.concatenate([np.frombuffer(b, np.int64) for b in raw] or [np.zeros(0, np.int64)])),
+                pa.array(np.repeat(batch.column("class").to_numpy(), sizes)),
+                pa.array(np.repeat(spare, sizes).astype(np.int32)),
+                pa.array(np.repeat(sizes, sizes)),
+            ],
+            ["part", "class", "spare", "size"],
+        )
+
+
+def _possible(a: str, b: str) -> Column:
+    """Two sets may be similar, if this is the rarest shingle that both have.
+
+    Of each set only this shingle and its more frequent ones, `place` in number, can
+    then be in the intersection; linked sets share at least 4 / 9 of the sum of their
+    sizes. Of a linked pair this holds at its rarest common shingle.
+    """
+    common = F.least(f"place{a}", f"place{b}")
+    return common * DIFFERING >= (F.col(f"size{a}") + F.col(f"size{b}")) * SIMILAR
+
+
+def _named(rows: DataFrame, mark: str) -> DataFrame:
+    kept = ("class", "size", "place", *(["root"] if "root" in rows.columns else []))
+    return rows.select("part", *[F.col(c).alias(f"{c}{mark}") for c in kept])
+
+
+def _pair(a: str, b: str) -> list[Column]:
+    return [F.least(f"class{a}", f"class{b}").alias("a"), F.greatest(f"class{a}", f"class{b}").alias("b")]
+
+
+def _centred_stars(kept: DataFrame) -> DataFrame:
+    """Pairs of each class with the class of the part that has the fewest shingles of its own.
+
+    Among near copies of one text that is the least edited one, which most others are
+    similar to.
+    """
+    apart = ((F.col("size") - F.col("shared")) * 1_000_000 / F.col("size")).cast("bigint")
+    hub = F.min(F.struct(apart.alias("apart"), "class", "size", "place")).alias("hub")
+    hubs = kept.groupBy("part").agg(hub).select(
+        "part", *[F.col(f"hub.{c}").alias(f"{c}_b") for c in ("class", "size", "place")]
+    )
+    pairs = _named(kept, "_a").join(hubs, "part")
+    pairs = pairs.where(F.col("class_a") != F.col("class_b"))
+    return durable(pairs.select(*_pair("_a", "_b")).distinct())
+
+
+def _across(kept: DataFrame, roots: DataFrame) -> DataFrame:
+    """Pairs of classes of one part in different components that may be similar."""
+    open_ = _rooted(kept, roots)
+    pairs = _named(open_, "_a").join(_named(open_, "_b"), "part")
+    pairs = pairs.where((F.col("root_a") < F.col("root_b")) & _possible("_a", "_b"))
+    return pairs.select(*_pair("_a", "_b")).distinct()
+
+
+def _links(kept: DataFrame, sets: DataFrame) -> DataFrame:
+    """Links enough to connect all similar classes, from candidates that share a signature.
+
+    A signature ties its classes to its least class: one pair for each member, never
+    all pairs of a group. Only where it still joins several components, its classes
+    are looked at more finely: each shingle is a partition of its own, and a class
+    keeps its rarest fifth of them (and one). Each shingle ties its classes to the one
+    that is least apart from the rest. What then still lies across components, and is
+    not ruled out by the place of the common shingle, is compared pair by pair.
+    """
+    stars = _stars(kept)
+    links = _verified(stars, sets)
+    open_ = _rooted(kept, components(links)).select("class").distinct()
+    fine = sets.join(open_, "class").select("class", "elements")
+    parts = durable(fine.mapInArrow(_elements, "part bigint, class bigint, spare int, size bigint"))
+    several = parts.groupBy("part").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("part")
+    kept = _rarest(parts.join(several, "part"))
+    more = durable(_centred_stars(kept).join(stars, ["a", "b"], "left_anti"))
+    links = durable(links.unionByName(_verified(more, sets)))
+    rest = _across(kept, components(links))
+    rest = rest.join(stars.unionByName(more), ["a", "b"], "left_anti")
+    return links.unionByName(_verified(rest, sets))
+
+
 def link_documents(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Components of the documents whose shingle sets have a Jaccard similarity of 0.8 or more.
 
@@ -245,30 +371,17 @@ def link_documents(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     never the least unless all are NULL. Repeated rows are linked with each other. An
     empty table gives no rows.
 
-    1. PartEnum: every class gets one signature for each nonempty partition of the
-       shingle domain; linked classes share one. Of the shared signatures a class may
-       leave out as many as it has to spare, and leaves out the most frequent: in the
-       order of frequency, the rarest signatures of two linked classes still meet.
-    2. Each signature ties its classes to its least class: one pair for each member,
-       never all pairs of a group. The pairs are compared exactly.
-    3. Only where a signature still joins different components, pairs across the
-       components are compared too, so that no link is lost.
+    PartEnum: every class gets one signature for each nonempty partition of the shingle
+    domain; linked classes share one. Of the shared signatures a class may leave out
+    as many as it has to spare, and leaves out the most frequent (`_rarest`). What
+    shares one of the rest is compared exactly (`_links`), as far as components need
+    it, so that no link between different components is lost.
     """
     body = docs.select(F.col(quoted(key)).alias("key"), F.col(quoted(text)).alias("text"))
     emitted = body.select("text").mapInArrow(_emit_signatures, "sig bigint, class bigint, spare int")
     dealt = emitted.repartition("sig").sortWithinPartitions("sig", "class")
     shared = durable(dealt.mapInArrow(_shared, "sig bigint, class bigint, spare int"))
-
-    often = shared.groupBy("sig").agg(F.count(F.lit(1)).alias("classes"))
-    ranked = shared.join(often, "sig").withColumn(
-        "place", F.row_number().over(Window.partitionBy("class", "spare").orderBy(F.col("classes").desc(), "sig"))
-    )
-    kept = durable(ranked.where(F.col("place") > F.col("spare")).select("sig", "class"))
-    hubs = kept.groupBy("sig").agg(F.min("class").alias("hub"))
-    stars = durable(
-        kept.join(hubs, "sig").where(F.col("hub") < F.col("class"))
-        .select(F.col("hub").alias("a"), F.col("class").alias("b")).distinct()
-    )
+    kept = _rarest(shared.withColumnRenamed("sig", "part"))
 
     # Only sets that some pair names have to move.
     named = kept.select("class").distinct()
@@ -282,23 +395,7 @@ def link_documents(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
         members.where(F.col("elements").isNotNull()).groupBy("class").agg(F.any_value("elements").alias("elements"))
     )
 
-    links = _verified(stars, sets)
-    roots = components(links)
-    labelled = kept.join(roots, kept["class"] == roots["node"], "left").select(
-        "sig", "class", F.coalesce("root", "class").alias("root")
-    )
-    mixed = labelled.groupBy("sig").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.min("class").alias("hub"))
-    mixed = mixed.where(F.col("low") != F.col("high")).select("sig", "hub")
-    # Pairs with the hub have been compared.
-    open_ = durable(labelled.join(mixed, "sig").where(F.col("class") != F.col("hub")).select("sig", "class", "root"))
-    other = open_.select("sig", F.col("class").alias("class_b"), F.col("root").alias("root_b"))
-    across = open_.join(other, "sig").where(F.col("root") < F.col("root_b"))
-    across = across.select(
-        F.least("class", "class_b").alias("a"), F.greatest("class", "class_b").alias("b")
-    ).distinct()
-    more = _verified(across.join(stars, ["a", "b"], "left_anti"), sets)
-    if not more.isEmpty():
-        roots = components(links.unionByName(more))
+    roots = components(_links(kept, sets))
 
     least = members.where(F.col("class").isNotNull()).groupBy("class").agg(F.min("key").alias("key"))
     rooted = durable(
