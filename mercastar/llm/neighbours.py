@@ -254,11 +254,13 @@ def build_index(vectors: DataFrame, k: int) -> DataFrame:
 def search(index: DataFrame, queries: DataFrame, k: int, beam: int = SEARCH_BEAM) -> DataFrame:
     """The k nearest indexed vectors of each query, by largest inner product.
 
-    `queries` are usable vectors. Blocks of queries are searched in every shard of
+    `queries` are usable vectors; of several with one id the least counts. Blocks of queries are searched in every shard of
     their dimension; a shard hands on at most k results of a query. Returns
     `query_id, rank, vec_id, score`, nearest first, ties to smaller ids; the query's
     own id is no result.
     """
+    queries = queries.groupBy("vec_id").agg(F.min("embedding").alias("embedding"))
+    queries = queries.withColumn("dim", F.size("embedding"))
     count = queries.count()
     blocks = max(1, math.ceil(count / BLOCK_QUERIES))
     asked = queries.select(

@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import random
+
 import numpy as np
 import pytest
 
@@ -8,11 +10,13 @@ from mercastar.llm import mixing as M
 FACTORS = {"good": 1.0, "bad": 0.25}
 
 
-def corpus(spark, words, n=120):
+def corpus(spark, words, n=800):
+    """Texts over sixty words, a quarter of them with four bad ones."""
+    rng, stock = random.Random(4), words(60).split()
     rows, labels = [], []
     for i in range(n):
         bad = i % 4 == 0
-        rows.append((i, words(40) + (" awful nasty awful vile" if bad else ""), "old"))
+        rows.append((i, " ".join(rng.choice(stock) for _ in range(40)) + (" awful nasty awful vile" if bad else ""), "old"))
         if i % 2 == 0:
             labels.append((i, "bad" if bad else "good"))
     docs = spark.createDataFrame(rows, "doc_id bigint, text string, rate string")
@@ -43,8 +47,9 @@ def test_rates_equal_a_plain_descent_and_reach_the_targets(spark, words):
     assert reached == pytest.approx(present * np.array([1.0, 0.25]), rel=0.02)
     bad = np.array([r.doc_id % 4 == 0 for r in out])
     assert (posterior[:, 1] > 0.5)[bad].mean() > 0.9 and (posterior[:, 1] < 0.5)[~bad].mean() > 0.9
-    assert rate[~bad].min() > 0.9 and rate[bad].mean() < 0.5
-    assert {r.n_copies for r in out if r.doc_id % 4} <= {1, 2}
+    assert rate[~bad].mean() > 0.95 and rate[bad].mean() < 0.5
+    kept = np.array([r.n_copies > 0 for r in out])
+    assert kept[~bad].mean() > 0.95 and kept[bad].mean() < 0.5
 
 
 def test_posterior_equals_naive_bayes_by_hand(spark, words):
