@@ -96,8 +96,10 @@ def find_hits(
     """
     windows = benchmark_windows(benchmark, item, benchmark_text)
     shape = windows.agg(
-        F.count_distinct("phrase").alias("phrases"), F.collect_set("n").alias("lengths")
-    ).first()  # one row: a count and at most 13 lengths
+        F.count_distinct("phrase").alias("phrases"),
+        F.count(F.lit(1)).alias("rows"),
+        F.collect_set("n").alias("lengths"),
+    ).first()  # one row: two counts and at most 13 lengths
     lengths = sorted(shape["lengths"]) or [WINDOW]
     bits = LEAST_BITS
     while bits < min(MOST_BITS, BITS_PER_PREFIX * shape["phrases"]):
@@ -127,19 +129,14 @@ def find_hits(
     )
     spots = spots.select("digest", "at", F.explode(phrase).alias("phrase"))
 
-    wanted = windows.groupBy("phrase").agg(F.any_value("n").alias("n"))
-    members = windows.select("phrase", "item")
-    if shape["phrases"] <= BROADCAST_WINDOWS:
+    wanted = windows.select("phrase", "n", "item")
+    if shape["rows"] <= BROADCAST_WINDOWS:
         wanted = F.broadcast(wanted)
-    hits = spots.join(wanted, "phrase").groupBy("digest", "at", "phrase").agg(F.any_value("n").alias("n"))
-    spans = hits.groupBy("digest").agg(
-        F.array_sort(F.collect_set(F.struct(F.col("at"), F.col("n")))).alias("spans")
+    # Copies of a text collapse in each task: the sets are of places and items of one text.
+    return spots.join(wanted, "phrase").groupBy("digest").agg(
+        F.array_sort(F.collect_set(F.struct(F.col("at"), F.col("n")))).alias("spans"),
+        F.array_sort(F.collect_set("item")).alias("items"),
     )
-    named = (
-        hits.select("digest", "phrase").distinct().join(members, "phrase")
-        .groupBy("digest").agg(F.array_sort(F.collect_set("item")).alias("items"))
-    )
-    return spans.join(named, "digest", "left").select("digest", "spans", "items")
 
 
 def covered(spans: Column) -> Column:
