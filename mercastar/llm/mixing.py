@@ -6,13 +6,14 @@ import math
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from mercastar.llm.columns import packed, quoted, unpacked
 from mercastar.storage import durable
 
 BINS = 8192
+HASH_STEPS = 1 << 30
 ROWS_PER_DOMAIN = 6000  # bound of the labelled sample, for each domain
 SMOOTHING = 1.0
 TEMPERATURE = 2.0
@@ -77,15 +78,18 @@ def fit_domains(
     """Learn the domains from labelled documents.
 
     `labelled` has `key` and `domain`; labels outside `domains`, NULL keys and NULL
-    labels are ignored. Priors count all labels. Features are counted over a bounded
-    sample: the `rows_per_domain` labels of a domain with the least hash of the key,
-    so the table that is broadcast has at most domains x rows_per_domain rows.
+    labels are ignored, and so are repeated labels. Priors count all labels. Features are
+    counted over a bounded sample: of each domain the labels whose hash of the key is
+    below a threshold that lets about `rows_per_domain` through, so the table that is
+    broadcast has about domains x rows_per_domain rows at most.
     """
     named = labelled.select(F.col(quoted(key)).alias("key"), F.col("domain").alias("domain"))
-    named = named.where(F.col("key").isNotNull() & F.col("domain").isin(*domains))
+    named = named.where(F.col("key").isNotNull() & F.col("domain").isin(*domains)).distinct()
     found = {r["domain"]: r["n"] for r in named.groupBy("domain").agg(F.count(F.lit(1)).alias("n")).collect()}
-    least = Window.partitionBy("domain").orderBy(F.xxhash64("key"), "key")
-    sample = named.withColumn("n", F.row_number().over(least)).where(F.col("n") <= rows_per_domain)
+    luck, limit = F.pmod(F.xxhash64("key"), F.lit(HASH_STEPS)), F.lit(-1)
+    for d, n in found.items():
+        limit = F.when(F.col("domain") == d, F.lit(min(HASH_STEPS, HASH_STEPS * rows_per_domain // n))).otherwise(limit)
+    sample = named.where(luck < limit)
     bodies = docs.select(F.col(quoted(key)).alias("key"), F.col(quoted(text)).alias("text"))
     bins = bodies.join(F.broadcast(sample.select("key", "domain")), "key").select(
         "domain", F.explode(_features(_tokens(F.col("text")))).alias("bin")
