@@ -7,11 +7,12 @@ folder and read again, so a lost executor costs at most the running stage.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from mercastar.llm import decontamination, jaccard, language, mixing, sharding
 from mercastar.llm.queries import MIXTURE, domain_labels, table
+from mercastar.llm.workers import find_package
 from mercastar.storage import durable
 
 # Classifiers and iterated fits have no SQL; tests compare the stages with brute force.
@@ -28,14 +29,16 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each component of similar texts: the one with the least id.
 
-    Documents without an id are kept where all they are linked with have none.
-    Rows that repeat an id are one document; the first by text stays.
+    Rows that repeat an id are one document; the first by text and source stays. Rows
+    without an id cannot be told apart by it and stay.
     """
     linked = jaccard.link_documents(docs)
     named = docs.where(F.col("doc_id").isNotNull())
     first = linked.where(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
-    kept = named.join(first, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return kept.unionByName(docs.where(F.col("doc_id").isNull())).select(*docs.columns)
+    line = Window.partitionBy("doc_id").orderBy("text", "source")
+    kept = named.join(first, "doc_id", "left_semi").withColumn("_n", F.row_number().over(line))
+    kept = kept.where(F.col("_n") == 1).select(*docs.columns)
+    return kept.unionByName(docs.where(F.col("doc_id").isNull()))
 
 
 def drop_benchmark_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -65,6 +68,7 @@ STAGES = [
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    find_package(spark)
     docs = table(spark, sf_dir, "documents")
     for _, stage in STAGES:
         docs = durable(stage(spark, docs, sf_dir))
