@@ -16,11 +16,21 @@ DAYS = 73049
 DAY_SIDES = (270, 271)  # the least rectangle of nearly equal sides that holds DAYS
 WALK = 16  # steps outside the calendar before giving up: probability below 1e-40
 
+# After +1, ten digits of any value. Without it, the area stands in parentheses or the groups
+# apart: 3-3-4, perhaps after a 1. Groups apart by blanks alone must begin with 2 to 9, as
+# columns of numbers look alike; ten bare digits are taken for another number.
+PHONE = (
+    r"(?<![0-9])\+1[ .-]{0,3}\(?[0-9]{3}\)?[ .-]{0,3}[0-9]{3}[ .-]{0,3}[0-9]{4}(?![0-9])"
+    r"|(?<![0-9+])(?<![0-9][.-])(?:1[ .-]{0,3})?"
+    r"(?:\([0-9]{3}\)[ .-]{0,3}[0-9]{3}[ .-]{0,3}[0-9]{4}|[0-9]{3}[ .-][0-9]{3}[.-][0-9]{4}"
+    r"|[2-9][0-9]{2}[ .-][2-9][0-9]{2} [0-9]{4})(?![0-9])"
+)
+
 # Fixed formats, tried in this order at each place of a text.
 PATTERNS = {
     "email": r"[A-Za-z0-9._%+-]{1,64}@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+",
     "iban": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:[A-Z0-9]{11,30}|(?: [A-Z0-9]{4}){2,7}(?: [A-Z0-9]{1,3})?)(?![A-Za-z0-9])",
-    "phone": r"(?<![0-9])\+1 ?\(?[2-9][0-9]{2}\)?[ .-]?[2-9][0-9]{2}[ .-]?[0-9]{4}(?![0-9])",
+    "phone": PHONE,
     "card": r"(?<![0-9-])(?:[0-9]{13,19}|[0-9]{4}(?:[ -][0-9]{4}){3}|[0-9]{4}[ -][0-9]{6}[ -][0-9]{5})(?![0-9])",
     "ssn": r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])",
     "ip": r"(?<![0-9.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?![0-9.]*[0-9])",
@@ -151,19 +161,25 @@ def _iban(text: Column, key: str) -> Column:
 
 
 def _phone(text: Column, key: str) -> Column:
-    """Ten digits whose area and exchange begin with 2 to 9; the country code stays."""
+    """The last ten digits; a country code stays.
+
+    Area and exchange stay at or above 200, or below: valid numbers become valid ones, and
+    the others are permuted among themselves.
+    """
     def new(d: Column) -> Column:
-        area = _number(F.substring(d, 2, 3)) - 200
-        rest = (_number(F.substring(d, 5, 3)) - 200) * 10_000 + _number(F.substring(d, 8, 4))
-        pair = _feistel(area, (800, 8_000_000), rest, key, F.lit("phone"))
+        area, exchange = _number(F.substring(d, -10, 3)), _number(F.substring(d, -7, 3))
+        low_a, low_b = (F.when(x >= 200, 200).otherwise(0) for x in (area, exchange))
+        size_a, size_b = (F.when(x >= 200, 800).otherwise(200).cast("bigint") for x in (area, exchange))
+        rest = (exchange - low_b) * 10_000 + _number(F.substring(d, -4, 4))
+        pair = _feistel(area - low_a, (size_a, size_b * 10_000), rest, key, F.lit("phone"))
         return _once(
             pair,
             lambda p: _laid_out(
                 text,
                 F.concat(
-                    F.lit("1"),
-                    (p["a"] + 200).cast("string"),
-                    (F.floor(p["b"] / 10_000) + 200).cast("string"),
+                    F.substring(d, F.lit(1), F.length(d) - 10),
+                    _padded(p["a"] + low_a, 3),
+                    _padded(F.floor(p["b"] / 10_000) + low_b, 3),
                     _padded(p["b"] % 10_000, 4),
                 ),
                 "[0-9]",
@@ -302,8 +318,8 @@ def pseudonymize(df: DataFrame, key: str, text: str = "text") -> DataFrame:
     """Replace personal numbers and dates in `text` by keyed pseudonyms of the same format.
 
     Found and validated: payment cards (Luhn), IBANs (mod 97), North American phone
-    numbers, US social security numbers, IPv4 addresses, calendar days of 1900 to
-    2099; beside them e-mail names. A Feistel network permutes the valid values of
+    numbers (with +1, or written in groups; see PHONE), US social security numbers, IPv4
+    addresses, calendar days of 1900 to 2099; beside them e-mail names. A Feistel network permutes the valid values of
     each format, so equal values get equal pseudonyms in all documents, different
     ones different pseudonyms, and check digits are right again. Punctuation inside a
     value stays in place. What fails validation stays.

@@ -59,6 +59,27 @@ def test_invalid_values_stay(spark, documents):
     assert run(documents, *texts) == [(t, []) for t in texts]
 
 
+def test_phone_numbers_of_all_forms(spark, documents):
+    forms = [
+        "+1 (202) 555-0143", "+1-202-555-0143", "+1.202.555.0143", "+12025550143", "+1  202 555 0143", "(202) 555-0143",
+        "(202)555-0143", "202-555-0143", "202.555.0143", "202 555-0143", "202 555 0143", "1-202-555-0143", "1 (202) 555-0143",
+    ]
+    out = run(documents, *[f"call {f}, now" for f in forms])
+    assert [found for _, found in out] == [["phone"]] * len(forms)
+    assert len({re.sub(r"\D", "", text)[-10:] for text, _ in out}) == 1  # one number, one pseudonym
+    for form, (text, _) in zip(forms, out, strict=True):
+        assert form not in text and re.sub(r"\d", "0", text) == re.sub(r"\d", "0", f"call {form}, now")
+        assert re.search(PATTERNS["phone"], text)
+    areas = [f"+1 ({a:03}) {e:03}-7713" for a in (0, 17, 132, 199, 200, 999) for e in (0, 199, 200, 555)]
+    text, found = run(documents, " ; ".join(areas))[0]
+    new = text.split(" ; ")
+    assert found == ["phone"] * len(areas) and len(set(new)) == len(areas) and not set(new) & set(areas)
+    for a, b in zip(areas, new, strict=True):
+        assert (a[4] < "2", a[9] < "2") == (b[4] < "2", b[9] < "2")
+    others = ["100 200 3000", "2025550143", "+44-202-555-0143", "9202-555-0143", "202-555-01439"]
+    assert run(documents, *others) == [(t, []) for t in others]
+
+
 def test_nulls_empty_long_and_clashing_names(spark, documents):
     long = "x " * 60_000 + "1.2.3.4"
     docs = documents(None, "", long, "no numbers", found="old", _text="old")
