@@ -36,7 +36,23 @@ PATTERNS = {
     "ip": r"(?<![0-9.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?![0-9.]*[0-9])",
     "date": r"(?<![0-9-])[0-9]{4}-[0-9]{2}-[0-9]{2}(?![0-9-])|(?<![0-9./])[0-9]{2}([./])[0-9]{2}\1[0-9]{4}(?![0-9])",
 }
-ANY = "(" + "|".join(f"(?:{p})" for p in PATTERNS.values()).replace(r"\1", r"\2") + ")"
+# The same, with the valid IBANs of the text in place of their pattern.
+BEFORE_IBAN, AFTER_IBAN = (
+    "|".join(f"(?:{PATTERNS[kind]})" for kind in kinds).replace(r"\1", r"\2")
+    for kinds in (("email",), ("phone", "card", "ssn", "ip", "date"))
+)
+# Every place at which an IBAN may begin, also inside another candidate.
+IBAN_STARTS = f"(?=({PATTERNS['iban']}))"
+LEAST_IBAN = 15  # of a prefix that is tried when the whole candidate fails
+
+# Characters of an IBAN by country.
+IBAN_SIZES = {
+    15: "NO", 16: "BE", 18: "DK FI FO GL NL SD", 19: "MK SI",
+    20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV", 22: "BG BH CR DE GB GE IE ME RS VA",
+    23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST",
+    26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HN HU LB NI PL SV",
+    29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU",
+}
 
 
 def _digits(text: Column) -> Column:
@@ -160,6 +176,57 @@ def _iban(text: Column, key: str) -> Column:
     return _once(F.replace(text, F.lit(" "), F.lit("")), new)
 
 
+def _ibans(text: Column) -> Column:
+    """The valid IBANs of a text, each once, the longest first.
+
+    A candidate may run on into what follows it: of its prefixes by group, that of the
+    country's length is taken if it is valid, else the longest valid one.
+    """
+    pairs = [F.lit(x) for size, names in IBAN_SIZES.items() for c in names.split() for x in (c, size)]
+    sizes = F.create_map(*pairs)
+
+    def best(candidate: Column) -> Column:
+        def valid(groups: Column) -> Column:
+            def prefix(n: Column) -> Column:
+                return F.struct(
+                    F.array_join(F.slice(groups, F.lit(1), n), " ").alias("text"),
+                    F.array_join(F.slice(groups, F.lit(1), n), "").alias("plain"),
+                )
+
+            n = F.size(groups)
+            tried = F.transform(F.sequence(n, F.least(n, F.lit(3)), F.lit(-1)), prefix)
+            return F.filter(
+                tried,
+                lambda p: ((F.length(p["plain"]) >= LEAST_IBAN) | (p["text"] == candidate))
+                & (_mod_97(F.concat(F.substring(p["plain"], F.lit(5), F.length(p["plain"])), F.substring(p["plain"], 1, 4))) == 1),
+            )
+
+        def pick(found: Column) -> Column:
+            proper = F.filter(found, lambda p: F.length(p["plain"]) == sizes[F.substring(candidate, 1, 2)])
+            return F.coalesce(F.get(proper, F.lit(0)), F.get(found, F.lit(0)))["text"]
+
+        return _once(_once(F.split(candidate, " "), valid), pick)
+
+    found = F.transform(F.regexp_extract_all(text, F.lit(IBAN_STARTS), F.lit(1)), best)
+    line = F.transform(
+        F.array_distinct(F.filter(found, lambda x: x.isNotNull())),
+        lambda x: F.struct((-F.length(x)).alias("size"), x.alias("text")),
+    )
+    return F.transform(F.array_sort(line), lambda x: x["text"])
+
+
+def _formats(text: Column) -> Column:
+    """The pattern of everything to be found in a text, in one group."""
+    ibans = F.when(text.rlike(PATTERNS["iban"]), F.array_join(_ibans(text), "|"))
+    return _once(
+        ibans,
+        lambda x: F.when(
+            x != "",
+            F.concat(F.lit(f"({BEFORE_IBAN}|(?<![A-Za-z0-9])(?:"), x, F.lit(f")(?![A-Za-z0-9])|{AFTER_IBAN})")),
+        ).otherwise(f"({BEFORE_IBAN}|{AFTER_IBAN})"),
+    )
+
+
 def _phone(text: Column, key: str) -> Column:
     """The last ten digits; a country code stays.
 
@@ -321,7 +388,9 @@ def pseudonymize(df: DataFrame, key: str, text: str = "text") -> DataFrame:
     numbers (with +1, or written in groups; see PHONE), US social security numbers, IPv4
     addresses, calendar days of 1900 to 2099; beside them e-mail names. A Feistel network permutes the valid values of
     each format, so equal values get equal pseudonyms in all documents, different
-    ones different pseudonyms, and check digits are right again. Punctuation inside a
+    ones different pseudonyms, and check digits are right again. An IBAN ends where its
+    check digits are right, whatever groups of capitals or digits follow; what only looks
+    like one hides nothing. Punctuation inside a
     value stays in place. What fails validation stays.
 
     `found` (array of kinds, in order of place) is added; an input column of that name
@@ -330,9 +399,11 @@ def pseudonymize(df: DataFrame, key: str, text: str = "text") -> DataFrame:
     """
     columns = df.columns
     body = F.col(quoted(text))
-    rows = packed(df, _text=body, _parts=F.when(body.rlike("[0-9@]"), F.regexp_extract_all(body, F.lit(ANY), F.lit(1))))
+    some = body.rlike("[0-9@]")
+    rows = packed(df, _text=body, _any=F.when(some, _formats(body)))
+    rows = rows.withColumn("_parts", F.regexp_extract_all("_text", F.col("_any"), F.lit(1)))
     rows = rows.withColumn("_new", F.transform("_parts", lambda v: pseudonym(v, key)))
-    between = F.split("_text", ANY, -1)
+    between = F.split("_text", F.col("_any"), -1)
     whole = F.array_join(
         F.zip_with(between, "_new", lambda gap, new: F.concat(gap, F.coalesce(new["text"], F.lit("")))), ""
     )

@@ -80,6 +80,23 @@ def test_phone_numbers_of_all_forms(spark, documents):
     assert run(documents, *others) == [(t, []) for t in others]
 
 
+def test_ibans_end_before_what_follows(spark, documents):
+    es, at, be = "ES91 2100 0418 4502 0005 1332", "AT61 1904 3002 3457 3201", "BE68 5390 0754 7034"
+    texts = [
+        f"{es} 2024-01-05", f"{at} BIC", f"{at} BIC GIBA ATWW", f"{be} EUR 1999", f"{es} {at} {be}", es.replace(" ", "") + " 2024-01-05",
+        "AB12 1234 5678 2024-01-05", f"AB12 CD34 {at}", f"{at} 42.144.35.254",
+    ]
+    kinds = [["iban", "date"], ["iban"], ["iban"], ["iban"], ["iban"] * 3, ["iban", "date"], ["date"], ["iban"], ["iban", "ip"]]
+    out = run(documents, *texts)
+    assert [found for _, found in out] == kinds
+    new = {es: out[0][0][: len(es)], at: out[1][0][: len(at)], be: out[3][0][: len(be)]}
+    for old, text in new.items():
+        assert old != text and mod97(text) == 1 and [*map(len, old.split())] == [*map(len, text.split())]
+    assert out[1][0] == f"{new[at]} BIC" and out[2][0] == f"{new[at]} BIC GIBA ATWW" and out[3][0] == f"{new[be]} EUR 1999"
+    assert out[4][0] == " ".join(new[x] for x in (es, at, be))
+    assert "2024-01-05" not in out[0][0] + out[5][0] + out[6][0] and out[7][0] == f"AB12 CD34 {new[at]}"
+
+
 def test_nulls_empty_long_and_clashing_names(spark, documents):
     long = "x " * 60_000 + "1.2.3.4"
     docs = documents(None, "", long, "no numbers", found="old", _text="old")
