@@ -12,11 +12,12 @@ from pyspark.sql import functions as F
 from mercastar.llm.columns import packed, quoted, unpacked
 from mercastar.storage import durable
 
-BINS = 8192
+BINS = 1 << 16  # a long text has thousands of words, and shares few bins by chance
 HASH_STEPS = 1 << 30
 ROWS_PER_DOMAIN = 6000  # bound of the labelled sample, for each domain
 SMOOTHING = 1.0
-TEMPERATURE = 2.0
+SIGNIFICANCE = 5.0  # standard deviations from which a bin tells domains apart; chance passes none of BINS
+TEMPERATURE = 1.0  # only telling bins are weighed, each once: the odds are not softened
 ITERATIONS = 25
 TOLERANCE = 1e-4  # of all tokens; the descent stops when no domain is farther off
 KEPT_FROM = 0.95
@@ -28,20 +29,36 @@ def _tokens(text: Column) -> Column:
 
 
 def _features(tokens: Column) -> Column:
-    """Two hashed features of a token: the word without case and outer marks, and its end."""
+    """Hashed words of a text without case and outer marks, each bin once."""
     words = F.transform(
         tokens, lambda t: F.pmod(F.xxhash64(F.rtrim(F.lower(t), F.lit(ENDS))), F.lit(BINS)).cast("int")
     )
-    ends = F.transform(
-        tokens,
-        lambda t: F.pmod(F.xxhash64(F.lit("end"), F.substring(t, -2, 2)), F.lit(BINS)).cast("int"),
-    )
-    return F.concat(words, ends)
+    return F.array_distinct(words)
+
+
+def _tells(counts: Sequence[int], sizes: Sequence[int]) -> bool:
+    """Whether documents with a bin differ in share between domains, by a likelihood ratio test.
+
+    The chi square bound is that of Wilson and Hilferty.
+    """
+    seen, whole = sum(counts), sum(sizes)
+    ratio = 0.0
+    for n, size in zip(counts, sizes, strict=True):
+        for observed, share in ((n, seen / whole), (size - n, 1 - seen / whole)):
+            if observed > 0:
+                ratio += 2 * observed * math.log(observed / (size * share))
+    free = max(1, sum(size > 0 for size in sizes) - 1)
+    bound = free * (1 - 2 / (9 * free) + SIGNIFICANCE * math.sqrt(2 / (9 * free))) ** 3
+    return ratio > bound
 
 
 @dataclass(frozen=True)
 class DomainModel:
-    """Naive Bayes over hashed features; weights are log odds against the first domain."""
+    """Naive Bayes over hashed words that tell domains apart, by documents that have them.
+
+    Priors hold the evidence of a text without any of these words, and a weight what the
+    presence of one changes; both are log odds against the first domain.
+    """
 
     domains: tuple[str, ...]
     priors: tuple[float, ...]
@@ -53,7 +70,7 @@ class DomainModel:
         def scores(bins: Column) -> Column:
             odds = [F.lit(0.0)]
             for prior, weights in zip(self.priors[1:], self.weights[1:], strict=True):
-                table = F.split(F.lit(",".join(f"{w:.4f}" for w in weights)), ",").cast("array<double>")
+                table = F.split(F.lit(",".join(f"{w:.4f}" if w else "0" for w in weights)), ",").cast("array<double>")
                 odds.append(F.aggregate(bins, F.lit(prior), _adder(table)))
             return F.array(*odds)
 
@@ -78,8 +95,9 @@ def fit_domains(
     """Learn the domains from labelled documents.
 
     `labelled` has `key` and `domain`; labels outside `domains`, NULL keys and NULL
-    labels are ignored, and so are repeated labels. Priors count all labels. Features are
-    counted over a bounded sample: of each domain the labels whose hash of the key is
+    labels are ignored, and so are repeated labels. Priors count all labels. Documents
+    that have a feature are counted over a bounded sample, and only features whose counts
+    differ significantly between the domains are weighed. The sample: of each domain the labels whose hash of the key is
     below a threshold that lets about `rows_per_domain` through, so the table that is
     broadcast has about domains x rows_per_domain rows at most.
     """
@@ -92,17 +110,23 @@ def fit_domains(
     sample = named.where(luck < limit)
     bodies = docs.select(F.col(quoted(key)).alias("key"), F.col(quoted(text)).alias("text"))
     bins = bodies.join(F.broadcast(sample.select("key", "domain")), "key").select(
-        "domain", F.explode(_features(_tokens(F.col("text")))).alias("bin")
+        "domain", F.explode(F.concat(F.array(F.lit(-1)), _features(_tokens(F.col("text"))))).alias("bin")
     )
+    sizes = dict.fromkeys(domains, 0)
     counts = {d: [0] * BINS for d in domains}
     for row in bins.groupBy("domain", "bin").agg(F.count(F.lit(1)).alias("n")).collect():
-        counts[row["domain"]][row["bin"]] = row["n"]  # at most BINS rows for each domain
-    logs = []
+        if row["bin"] < 0:
+            sizes[row["domain"]] = row["n"]
+        else:
+            counts[row["domain"]][row["bin"]] = row["n"]  # at most BINS rows for each domain
+    telling = [any(c) and _tells(c, list(sizes.values())) for c in zip(*counts.values(), strict=True)]
+    logs, absent = [], []
     for d in domains:
-        whole = sum(counts[d]) + SMOOTHING * BINS
-        logs.append([math.log((n + SMOOTHING) / whole) for n in counts[d]])
+        shares = [(n + SMOOTHING) / (sizes[d] + 2 * SMOOTHING) if t else 0.5 for n, t in zip(counts[d], telling, strict=True)]
+        logs.append([math.log(p / (1 - p)) for p in shares])
+        absent.append(sum(math.log(1 - p) for p, t in zip(shares, telling, strict=True) if t))
     labels = sum(found.values()) + len(domains)
-    priors = [math.log((found.get(d, 0) + 1) / labels) for d in domains]
+    priors = [math.log((found.get(d, 0) + 1) / labels) + a for d, a in zip(domains, absent, strict=True)]
     return DomainModel(
         tuple(domains),
         tuple(p - priors[0] for p in priors),

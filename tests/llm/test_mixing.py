@@ -61,6 +61,27 @@ def test_posterior_equals_naive_bayes_by_hand(spark, words):
     assert row.posterior[1] == pytest.approx(1 / (1 + np.exp(-odds / M.TEMPERATURE)), rel=1e-6)
 
 
+def test_rare_domain_is_told_from_labels_left_out(spark):
+    """Long texts of many words, one in twenty with four of ten abusive words; half of the labels are held out."""
+    rng = random.Random(9)
+    stock = [f"{a}{b}{c}" for a in "bdfgklmn" for b in ("a", "ei", "o", "u") for c in ("ran", "sel", "tig", "vor", "lum", "nex")]
+    abuse = [f"vile{i}" for i in range(10)]
+    rows, domain = [], {}
+    for i in range(1200):
+        bad = i % 20 == 0
+        text = [rng.choice(stock) + rng.choice(stock) for _ in range(200)] + (rng.sample(abuse, 4) if bad else [])
+        rng.shuffle(text)
+        rows.append((i, " ".join(text)))
+        domain[i] = "bad" if bad else rng.choice(["good", "poor"])
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    labels = spark.createDataFrame([(i, d) for i, d in domain.items() if i // 20 % 2], "doc_id bigint, domain string")
+    out = M.mix(docs, labels, {"good": 1.0, "poor": 1.0, "bad": 0.1}).where("floor(doc_id / 20) % 2 = 0").collect()
+    bad = np.array([domain[r.doc_id] == "bad" for r in out])
+    p, kept = np.array([r.posterior[2] for r in out]), np.array([r.n_copies > 0 for r in out])
+    assert (p > 0.5)[bad].mean() >= 0.9 and (p > 0.5)[~bad].mean() <= 0.02
+    assert kept[bad].mean() <= 0.2 and kept[~bad].mean() >= 0.9
+
+
 def test_nulls_empty_no_labels_and_repeated_rows(spark, words):
     docs, labels = corpus(spark, words, 16)
     odd = spark.createDataFrame([(None, None, None), (99, "", None), (98, "x " * 50_000, None), (98, "x " * 50_000, None)], docs.schema)
