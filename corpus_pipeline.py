@@ -20,8 +20,14 @@ ORACLE_SQL = None
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language is found, with that language; those without a letter go."""
-    found = language.identify(docs, language.fit_languages(docs))
+    """Documents with the language found; those without a letter go.
+
+    Where no label is left to learn from, the others keep the language they came with.
+    """
+    model = language.fit_languages(docs)
+    if not model.languages:
+        return docs.where(F.col("text").rlike(r"\p{L}"))
+    found = language.identify(docs, model)
     kept = found.where(F.col("lang_pred") != language.UNKNOWN).withColumn("lang", F.col("lang_pred"))
     return kept.select(*docs.columns)
 

@@ -80,3 +80,10 @@ def test_stages_take_odd_rows(spark, small):
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, docs, small).count() <= 4
         assert stage(spark, docs.where("doc_id < 0"), small).count() == 0
+
+
+def test_no_learnable_language_keeps_the_corpus(spark, small):
+    schema = table(spark, small, "documents").schema
+    rows = [(1, "a b c", None, "s", 5), (2, "12 34", None, "s", 5), (3, "d e f", None, "s", 5), (4, None, None, "s", 0)]
+    out = corpus_pipeline.identify_language(spark, spark.createDataFrame(rows, schema), small).collect()
+    assert sorted((r.doc_id, r.lang) for r in out) == [(1, None), (3, None)]
