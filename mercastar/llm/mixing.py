@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import warnings
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
@@ -19,7 +20,8 @@ SMOOTHING = 1.0
 SIGNIFICANCE = 5.0  # standard deviations from which a bin tells domains apart; chance passes none of BINS
 TEMPERATURE = 1.0  # only telling bins are weighed, each once: the odds are not softened
 ITERATIONS = 25
-TOLERANCE = 1e-4  # of all tokens; the descent stops when no domain is farther off
+TOLERANCE = 1e-4  # of all tokens; the descent stops when no domain is farther off,
+OWN_TOLERANCE = 0.02  # nor farther off its own target than this part of it
 KEPT_FROM = 0.95
 ENDS = ".,;:!?\"'()"
 
@@ -150,7 +152,7 @@ def with_memberships(docs: DataFrame, model: DomainModel, text: str = "text") ->
     )
 
 
-def _rate(history: Sequence[Sequence[float]]) -> Column:
+def _rate(history: Sequence[Sequence[float]], most: float | None = None) -> Column:
     """The rate of a document after the steps of `history`, from its posterior alone."""
     if not history:
         return F.lit(1.0)
@@ -158,7 +160,8 @@ def _rate(history: Sequence[Sequence[float]]) -> Column:
 
     def move(rate: Column, step: Column) -> Column:
         slopes = F.zip_with("posterior", step, lambda p, e: p * e)
-        return F.greatest(F.lit(0.0), rate - F.aggregate(slopes, F.lit(0.0), lambda s, x: s + x))
+        moved = F.greatest(F.lit(0.0), rate - F.aggregate(slopes, F.lit(0.0), lambda s, x: s + x))
+        return moved if most is None else F.least(F.lit(float(most)), moved)
 
     return F.aggregate(steps, F.lit(1.0), move)
 
@@ -170,7 +173,14 @@ def _totals(members: DataFrame, rate: Column, k: int) -> list[float]:
     return [row[f"t{i}"] for i in range(k)]
 
 
-def fit_rates(members: DataFrame, factors: Sequence[float]) -> tuple[Column, list[float], list[float]]:
+def _off(reached: Sequence[float], targets: Sequence[float]) -> float:
+    """The largest error as a part of the domain's own target, of domains that have one."""
+    return max([abs(s - t) / t for s, t in zip(reached, targets, strict=True) if t > 0], default=0.0)
+
+
+def fit_rates(
+    members: DataFrame, factors: Sequence[float], most: float | None = None
+) -> tuple[Column, list[float], list[float]]:
     """Nonnegative document rates by projected gradient descent on least squares.
 
     `members` is a stored table with `n_tokens` and `posterior`. The target of domain
@@ -179,7 +189,7 @@ def fit_rates(members: DataFrame, factors: Sequence[float]) -> tuple[Column, lis
     (S_k(r) - T_k)^2 / S_k(1), from r = 1, with step 1 / S_k(1): each step subtracts
     from r_i the posterior mean of the relative errors, and cuts at zero. In this
     metric the largest curvature is 1, so the steps never overshoot, and a rate moves
-    from 1 only as far as the targets ask.
+    from 1 only as far as the targets ask. With `most`, rates are cut there as well.
 
     A pass over the table gives one total for each domain; the rate of a document is a
     function of its posterior and of the errors of all passes. Returns that function,
@@ -191,18 +201,20 @@ def fit_rates(members: DataFrame, factors: Sequence[float]) -> tuple[Column, lis
     history: list[list[float]] = []
     reached = present
     for _ in range(ITERATIONS):
-        if max(abs(s - t) for s, t in zip(reached, targets, strict=True)) <= TOLERANCE * sum(present):
+        if max(abs(s - t) for s, t in zip(reached, targets, strict=True)) <= TOLERANCE * sum(present) and (
+            _off(reached, targets) <= OWN_TOLERANCE
+        ):
             break
         history.append(
             [(s - t) / p if p > 0 else 0.0 for s, t, p in zip(reached, targets, present, strict=True)]
         )
-        reached = _totals(members, _rate(history), k)
-    return _rate(history), reached, targets
+        reached = _totals(members, _rate(history, most), k)
+    return _rate(history, most), reached, targets
 
 
 def mix(
     docs: DataFrame, labelled: DataFrame, factors: Mapping[str, float], key: str = "doc_id",
-    text: str = "text", keep: Sequence[str] | None = None,
+    text: str = "text", keep: Sequence[str] | None = None, most: float | None = None,
 ) -> DataFrame:
     """Rate every document so that soft domains reach `factors` times their present tokens.
 
@@ -210,7 +222,8 @@ def mix(
     more) and `n_copies`: the whole part of the rate, plus one if the rest exceeds a
     fixed hash of the key in [0, 1); a rate of KEPT_FROM to 1 gives one copy. `keep`
     names the input columns to return (all by default); input columns with the names
-    of results are replaced.
+    of results are replaced. No rate is above `most`, if it is given. A warning
+    names reached and asked totals when a domain is farther off its target than OWN_TOLERANCE.
 
     NULL or empty texts have no tokens and the posterior of the priors, so their rate
     follows the targets of the priors. NULL keys are rated and share one hash. Repeated
@@ -229,7 +242,10 @@ def mix(
             posterior=F.col("posterior"),
         )
     )
-    rate, _, _ = fit_rates(members, [factors[n] for n in names])
+    rate, reached, targets = fit_rates(members, [factors[n] for n in names], most)
+    if _off(reached, targets) > OWN_TOLERANCE:
+        parts = (f"{n} {r:.6g} of {t:.6g}" for n, r, t in zip(names, reached, targets, strict=True))
+        warnings.warn("targets not reached, expected tokens: " + ", ".join(parts), stacklevel=2)
     rated = members.withColumn("_rate", rate)
     luck = F.pmod(F.xxhash64("_key"), F.lit(1 << 20)) / F.lit(float(1 << 20))
     whole = F.floor("_rate")

@@ -82,6 +82,26 @@ def test_rare_domain_is_told_from_labels_left_out(spark):
     assert kept[bad].mean() <= 0.2 and kept[~bad].mean() >= 0.9
 
 
+def members(spark, *rows):
+    return spark.createDataFrame(list(rows), "n_tokens bigint, posterior array<double>")
+
+
+def test_small_domain_reaches_its_own_target(spark):
+    _, reached, targets = M.fit_rates(members(spark, (10_000_000, [1.0, 0.0]), (100, [0.0, 1.0])), [1.0, 0.1])
+    assert reached == pytest.approx(targets, rel=M.OWN_TOLERANCE)
+
+
+def test_rates_are_bounded_in_the_fit_and_missed_targets_are_told(spark, words):
+    mixed = members(spark, (1000, [0.9, 0.1]), (1000, [0.2, 0.8]))
+    rate, reached, targets = M.fit_rates(mixed, [1.0, 0.1], most=1.0)
+    rates = [r.rate for r in mixed.select(rate.alias("rate")).collect()]
+    assert max(rates) <= 1.0 and reached[0] == pytest.approx(900 * rates[0] + 200 * rates[1])
+    docs, labels = corpus(spark, words, 80)
+    with pytest.warns(UserWarning, match="targets not reached"):
+        out = M.mix(docs, labels, {"good": 3.0, "bad": 1.0}, most=1.0).collect()
+    assert all(r.rate <= 1.0 and r.n_copies <= 1 for r in out)
+
+
 def test_nulls_empty_no_labels_and_repeated_rows(spark, words):
     docs, labels = corpus(spark, words, 16)
     odd = spark.createDataFrame([(None, None, None), (99, "", None), (98, "x " * 50_000, None), (98, "x " * 50_000, None)], docs.schema)
