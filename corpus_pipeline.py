@@ -54,8 +54,8 @@ def drop_benchmark_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def mix_domains(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents drawn at the rates that bring the domains to their targets, once each."""
-    mixed = mixing.mix(docs, domain_labels(spark, sf_dir), MIXTURE)
+    """Documents drawn at the rates, of 1 at most, that bring the domains closest to their targets."""
+    mixed = mixing.mix(docs, domain_labels(spark, sf_dir), MIXTURE, most=1.0)
     return mixed.where(F.col("n_copies") > 0).select(*docs.columns)
 
 

@@ -87,3 +87,15 @@ def test_no_learnable_language_keeps_the_corpus(spark, small):
     rows = [(1, "a b c", None, "s", 5), (2, "12 34", None, "s", 5), (3, "d e f", None, "s", 5), (4, None, None, "s", 0)]
     out = corpus_pipeline.identify_language(spark, spark.createDataFrame(rows, schema), small).collect()
     assert sorted((r.doc_id, r.lang) for r in out) == [(1, None), (3, None)]
+
+
+def test_mixing_bounds_rates_in_the_fit(spark, small, monkeypatch):
+    seen = {}
+
+    def mix(docs, labels, factors, **more):
+        seen.update(more)
+        return docs.withColumn("n_copies", F.lit(1))
+
+    monkeypatch.setattr(corpus_pipeline.mixing, "mix", mix)
+    docs = table(spark, small, "documents")
+    assert corpus_pipeline.mix_domains(spark, docs, small).count() == docs.count() and seen["most"] == 1.0
