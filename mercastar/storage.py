@@ -20,21 +20,48 @@ def workspace(spark: SparkSession) -> str:
     return f"{shared_folder(spark)}/mercastar/{spark.sparkContext.applicationId}"
 
 
+# Folders of steps in the order they were written; those of the running application.
+_steps: list[str] = []
+
+
 def durable(df: DataFrame) -> DataFrame:
     """Write `df` to the workspace and read it back.
 
     The stored copy fixes non-deterministic values, ends the lineage and survives the
     loss of executors, since it does not depend on their disks. It is kept until
-    `release`, because plans that read it may run at any later time.
+    `release` or `drop_steps`, because plans that read it may run at any later time.
     """
     spark = df.sparkSession
     path = f"{workspace(spark)}/steps/{uuid.uuid4().hex}"
     df.write.parquet(path)
+    _steps.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def delete_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder and what is in it; nothing happens where there is none."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+
+
+def steps_mark() -> int:
+    """How many steps are written so far, for `drop_steps`."""
+    return len(_steps)
+
+
+def drop_steps(spark: SparkSession, since: int, keep: int = 0) -> None:
+    """Delete the steps written after a mark, except the last `keep`.
+
+    For callers that know no later plan reads them: a loop that has written its next
+    state, or a result that is stored and no longer depends on its inner steps.
+    """
+    end = len(_steps) - keep
+    for path in _steps[since:end]:
+        delete_folder(spark, path)
+    del _steps[since:max(since, end)]
+
+
 def release(spark: SparkSession) -> None:
     """Delete everything this application has left in its workspace."""
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(workspace(spark))
-    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    delete_folder(spark, workspace(spark))
+    _steps.clear()
