@@ -21,6 +21,7 @@ NAMES = (
     "op8_mix",
     "op9_chat",
     "op10_token_counts",
+    "op11_vector_codes",
 )
 
 

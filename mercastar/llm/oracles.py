@@ -156,10 +156,56 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit,
 FROM doc LEFT JOIN word USING (r) LEFT JOIN named USING (r)
 """
 
+
+def _op11() -> str:
+    """Plain rescans: every round compares every part with every entry."""
+    square = "list_dot_product(x, x) - 2 * list_dot_product(x, c) + list_dot_product(c, c)"
+    steps = []
+    for r in range(5):
+        steps.append(f"""
+, assigned{r} AS MATERIALIZED (
+  SELECT r, p, any_value(x) AS x, min(({square})::HUGEINT * 256 + e) AS near
+  FROM part JOIN book{r} USING (p) GROUP BY r, p
+)""")
+        if r < 4:
+            steps.append(f"""
+, sums{r} AS (
+  SELECT p, e, i, floor(sum(c) / count(*)) AS c
+  FROM (SELECT p, near % 256 AS e, unnest(x) AS c, unnest(range(len(x))) AS i FROM assigned{r}) GROUP BY p, e, i
+), book{r + 1} AS MATERIALIZED (
+  SELECT p, e, coalesce(m.c, b.c) AS c
+  FROM book{r} AS b LEFT JOIN (SELECT p, e, list(c ORDER BY i) AS c FROM sums{r} GROUP BY p, e) AS m USING (p, e)
+)""")
+    return f"""
+WITH kept AS (
+  SELECT row_number() OVER (ORDER BY vec_id NULLS LAST, embedding) AS r, vec_id, label,
+    list_transform(embedding, lambda v: floor(1024 * v::DOUBLE)) AS v
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda v: v IS NULL OR NOT isfinite(v))) = 0
+), part AS MATERIALIZED (
+  SELECT r, p, list_slice(v, p * len(v) // 4 + 1, (p + 1) * len(v) // 4) AS x FROM kept, range(4) AS t(p)
+), book0 AS MATERIALIZED (
+  SELECT p, r - 1 AS e, x AS c FROM part WHERE r <= 256
+){"".join(steps)}
+, coded AS (
+  SELECT r, string_agg(lower(printf('%02x', (near % 256)::INTEGER)), '' ORDER BY p) AS code, sum(near // 256)::BIGINT AS error
+  FROM assigned4 GROUP BY r
+), digest AS (
+  SELECT sha256(string_agg(list_aggregate(list_transform(c, lambda v: v::BIGINT::VARCHAR), 'string_agg', ','), ',' ORDER BY p, e)) AS d
+  FROM book4
+)
+SELECT vec_id, code, error, sum(error) OVER (PARTITION BY label)::BIGINT AS label_error, d AS codebooks_sha256
+FROM kept JOIN coded USING (r), digest
+"""
+
+
+OP11_VECTOR_CODES = _op11()
+
 ORACLES: dict[str, str] = {
     "op1_repeats": OP1_REPEATS,
     "op2_jaccard": OP2_JACCARD,
     "op4_interleave": OP4_INTERLEAVE,
     "op6_decontaminate": OP6_DECONTAMINATE,
     "op9_chat": OP9_CHAT,
+    "op11_vector_codes": OP11_VECTOR_CODES,
 }

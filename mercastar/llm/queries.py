@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mercastar.llm import chat, decontamination, jaccard, language, mixing, neighbours, pseudonyms, repeats, sharding, token_counts
+from mercastar.llm import chat, decontamination, jaccard, language, mixing, neighbours, pseudonyms, repeats, sharding, token_counts, vector_codes
 from mercastar.llm.columns import utf8_size
 from mercastar.storage import shared_folder
 
@@ -144,3 +144,9 @@ def op10_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     place = f"{shared_folder(spark)}/mercastar/token_counts/{uuid.uuid4().hex}"
     counted = token_counts.count_tokens(docs, token_counts.CountCache(spark, place))
     return counted.select("doc_id", "n_bytes", "n_tokens", "over_limit")
+
+
+def op11_vector_codes(spark: SparkSession, folder: str) -> DataFrame:
+    """Codes of all vectors, with their errors and the digest of the codebooks."""
+    coded = vector_codes.compress(table(spark, folder, "embeddings").select("vec_id", "embedding", "label"))
+    return coded.select("vec_id", "code", "error", "label_error", "codebooks_sha256")
