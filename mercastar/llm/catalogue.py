@@ -22,6 +22,7 @@ NAMES = (
     "op9_chat",
     "op10_token_counts",
     "op11_vector_codes",
+    "op12_licenses",
 )
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from mercastar.llm.licenses import BASE, TEMPLATES
+
 OP9_CHAT = r"""
 WITH said AS (
   SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
@@ -201,6 +203,52 @@ FROM kept JOIN coded USING (r), digest
 
 OP11_VECTOR_CODES = _op11()
 
+
+def _op12() -> str:
+    """Every template at every place of its words, then the votes of the rarest ones."""
+    posts, shapes = [], []
+    for t, one in enumerate((*BASE, *TEMPLATES)):
+        key = set(one.key_places)
+        posts += [f"({t}, {j}, '{w}', {int(j in key)})" for j, w in enumerate(one.words)]
+        shapes.append(
+            f"({t}, '{one.label}', {str(t < len(BASE)).lower()}, {len(one.words)}, {len(key)}, "
+            f"{one.looked_up}, {one.agreeing})"
+        )
+    return rf"""
+WITH post(t, j, w, is_key) AS (VALUES {", ".join(posts)}
+), shape(t, label, is_base, n, n_key, looked_up, agreeing) AS (VALUES {", ".join(shapes)}
+), doc AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM documents
+), tok AS MATERIALIZED (
+  SELECT r, i, w FROM (SELECT r, unnest(w) AS w, unnest(range(len(w))) AS i FROM doc) WHERE w IN (SELECT w FROM post)
+), seen AS (
+  SELECT w, count(DISTINCT r) AS df FROM tok GROUP BY w
+), rare AS (
+  SELECT r, t, w, row_number() OVER (PARTITION BY r, t ORDER BY df, w) AS k
+  FROM (SELECT DISTINCT r, t, tok.w FROM tok JOIN post USING (w)) JOIN seen USING (w)
+), met AS (
+  SELECT tok.r, t, i - j AS o, count(*) AS matched, any_value(label) AS label, any_value(is_base) AS is_base, any_value(n) AS n
+  FROM tok JOIN post USING (w) JOIN shape USING (t) JOIN rare USING (r, t, w)
+  GROUP BY tok.r, t, i - j
+  HAVING sum(is_key) = any_value(n_key) AND count(*) FILTER (k <= looked_up) >= any_value(agreeing)
+), found AS (
+  SELECT r, count(*) FILTER (is_base) AS n_base, min(o) FILTER (is_base) AS first_word, max(o) FILTER (is_base) AS last_word,
+    string_agg(DISTINCT label, ',' ORDER BY label) FILTER (is_base) AS base_labels,
+    string_agg(DISTINCT label, ',' ORDER BY label) AS labels, max(matched / n) AS score
+  FROM met GROUP BY r
+)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_base, 0)::BIGINT AS n_base, first_word::BIGINT AS first_word,
+  last_word::BIGINT AS last_word, coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels,
+  coalesce(score, 0.0)::DOUBLE AS score
+FROM doc LEFT JOIN found USING (r)
+"""
+
+
+OP12_LICENSES = _op12()
+
 ORACLES: dict[str, str] = {
     "op1_repeats": OP1_REPEATS,
     "op2_jaccard": OP2_JACCARD,
@@ -208,4 +256,5 @@ ORACLES: dict[str, str] = {
     "op6_decontaminate": OP6_DECONTAMINATE,
     "op9_chat": OP9_CHAT,
     "op11_vector_codes": OP11_VECTOR_CODES,
+    "op12_licenses": OP12_LICENSES,
 }

@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mercastar.llm import chat, decontamination, jaccard, language, mixing, neighbours, pseudonyms, repeats, sharding, token_counts, vector_codes
+from mercastar.llm import chat, decontamination, jaccard, language, licenses, mixing, neighbours, pseudonyms, repeats, sharding, token_counts, vector_codes
 from mercastar.llm.columns import utf8_size
 from mercastar.storage import shared_folder
 
@@ -150,3 +150,9 @@ def op11_vector_codes(spark: SparkSession, folder: str) -> DataFrame:
     """Codes of all vectors, with their errors and the digest of the codebooks."""
     coded = vector_codes.compress(table(spark, folder, "embeddings").select("vec_id", "embedding", "label"))
     return coded.select("vec_id", "code", "error", "label_error", "codebooks_sha256")
+
+
+def op12_licenses(spark: SparkSession, folder: str) -> DataFrame:
+    """Licence labels of all documents."""
+    found = licenses.scan_licenses(table(spark, folder, "documents").select("doc_id", "text"))
+    return found.select("doc_id", *licenses.RESULTS)
