@@ -23,6 +23,7 @@ NAMES = (
     "op10_token_counts",
     "op11_vector_codes",
     "op12_licenses",
+    "op13_prefix_trie",
 )
 
 

@@ -249,6 +249,51 @@ FROM doc LEFT JOIN found USING (r)
 
 OP12_LICENSES = _op12()
 
+
+OP13_PREFIX_TRIE = """
+WITH told AS (
+  SELECT conv_id, turn, coalesce(text, '') AS text,
+    md5(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS g
+  FROM conversations WHERE conv_id IS NOT NULL
+), said AS (
+  SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, g) - 1 AS i, g, length(text) AS chars
+  FROM told
+), conv AS (
+  SELECT conv_id, list(struct_pack(g := g, chars := chars) ORDER BY i) AS own FROM said GROUP BY conv_id
+), crc AS (
+  SELECT list_transform(range(256), lambda i: list_reduce(range(8), lambda c, k:
+    CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, i)) AS crc
+), shared AS (
+  SELECT conv_id, own, conv_id - conv_id % 100 AS base, xor(list_reduce(
+    list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda b: ascii(b)::BIGINT),
+    lambda c, b: xor(c >> 8, crc[xor(c, b) % 256 + 1]), 4294967295), 4294967295) % 6 AS h
+  FROM conv, crc
+), rebuilt AS (
+  SELECT shared.conv_id, list_concat(coalesce(list_slice(head.own, 1, h), []), list_slice(shared.own, h + 1, len(shared.own))) AS turns
+  FROM shared LEFT JOIN conv AS head ON head.conv_id = shared.base
+), step AS MATERIALIZED (
+  SELECT conv_id, d, md5(array_to_string(list_transform(list_slice(turns, 1, d), lambda t: t.g), ',')) AS node,
+    CASE WHEN d > 0 THEN turns[d].chars ELSE 0 END AS chars, d = len(turns) AS is_end
+  FROM (SELECT conv_id, turns, unnest(range(len(turns) + 1)) AS d FROM rebuilt)
+), node AS MATERIALIZED (
+  SELECT d, node, min(conv_id) AS conv_id, count(*) AS n_convs, count(*) FILTER (is_end) AS n_ends, max(chars) AS chars,
+    sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (is_end), '')) AS ends_sha256
+  FROM step GROUP BY d, node
+), up AS (
+  SELECT step.d, step.node, node.d AS below, node.n_ends = node.n_convs AS leaf, (node.n_convs - 1) * node.chars AS saved
+  FROM node JOIN step ON step.conv_id = node.conv_id AND step.d <= node.d
+), total AS (
+  SELECT d, node, count(*) FILTER (below = d + 1) AS n_children, count(*) FILTER (leaf) AS n_leaves, sum(saved)::BIGINT AS saved_tokens
+  FROM up GROUP BY d, node
+), parent AS (
+  SELECT node.d, node.node, above.conv_id AS parent_conv_id
+  FROM node JOIN step ON step.conv_id = node.conv_id AND step.d = node.d - 1
+    JOIN node AS above ON above.d = step.d AND above.node = step.node
+)
+SELECT node.conv_id, node.d::BIGINT AS depth, parent_conv_id, n_convs, n_children, n_leaves, saved_tokens, ends_sha256
+FROM node JOIN total USING (d, node) LEFT JOIN parent USING (d, node)
+"""
+
 ORACLES: dict[str, str] = {
     "op1_repeats": OP1_REPEATS,
     "op2_jaccard": OP2_JACCARD,
@@ -257,4 +302,5 @@ ORACLES: dict[str, str] = {
     "op9_chat": OP9_CHAT,
     "op11_vector_codes": OP11_VECTOR_CODES,
     "op12_licenses": OP12_LICENSES,
+    "op13_prefix_trie": OP13_PREFIX_TRIE,
 }

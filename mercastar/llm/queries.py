@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mercastar.llm import chat, decontamination, jaccard, language, licenses, mixing, neighbours, pseudonyms, repeats, sharding, token_counts, vector_codes
+from mercastar.llm import chat, decontamination, jaccard, language, licenses, mixing, neighbours, prefix_trie, pseudonyms, repeats, sharding, token_counts, vector_codes
 from mercastar.llm.columns import utf8_size
 from mercastar.storage import shared_folder
 
@@ -156,3 +156,8 @@ def op12_licenses(spark: SparkSession, folder: str) -> DataFrame:
     """Licence labels of all documents."""
     found = licenses.scan_licenses(table(spark, folder, "documents").select("doc_id", "text"))
     return found.select("doc_id", *licenses.RESULTS)
+
+
+def op13_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    """The trie of all conversations, rebuilt on the first turns of their block."""
+    return prefix_trie.conversation_trie(table(spark, folder, "conversations"))

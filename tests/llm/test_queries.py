@@ -42,7 +42,7 @@ def test_query_equals_its_sql(spark, small, name):
 
 def test_every_operator_has_one_query():
     numbers = [int(name[2:].split("_")[0]) for name in QUERIES]
-    assert sorted(numbers) == list(range(1, 13))
+    assert sorted(numbers) == list(range(1, 14))
 
 
 def test_stages(spark, small):
