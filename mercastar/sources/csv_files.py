@@ -6,6 +6,7 @@ import csv
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import (
     DataType,
     DecimalType,
@@ -21,6 +22,7 @@ from mercastar.fixed_values import SAMPLE_SEED
 from mercastar.functions.text import blank_missing
 from mercastar.operators.sampling import exact_sample
 from mercastar.schemas import SOURCES
+from mercastar.sources.csv_records import first_lines, read_records
 
 # File name patterns inside a source folder; override them with `files`.
 FILES = {
@@ -35,10 +37,13 @@ FILES = {
     "translation": "*category_name_translation.csv",
 }
 
-# Free text may hold line breaks. Reading those makes a file unsplittable, so
-# only the source that needs it pays for it: it should come as many files.
+# Free text may hold line breaks. Finding the records then takes a second look at the
+# text, so only the source that needs it pays for it.
 MULTILINE = ("reviews",)
 
+# A pruned parser would not see how many fields a row has.
+OPTIONS = {"mode": "FAILFAST", "columnPruning": "false", "encoding": "UTF-8", "quote": '"', "escape": '"'}
+
 
 def _exact(text: str, target: str) -> str:
     """A number of the target type; a part that the type cannot hold is an error."""
@@ -65,30 +70,21 @@ def _typed(column: str, target: DataType) -> str:
 
 
 def _headers(spark: SparkSession, path: str) -> dict[tuple[str, ...], list[str]]:
-    """Files of a path, folder or pattern by their header: one line is read of each."""
-    jvm = spark.sparkContext._jvm
-    pattern = jvm.org.apache.hadoop.fs.Path(path)
-    system = pattern.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    """Files of a path, folder or pattern by their header."""
     found: dict[tuple[str, ...], list[str]] = {}
-    listed = list(system.globStatus(pattern) or [])
-    for status in [x for s in listed for x in (system.listStatus(s.getPath()) if s.isDirectory() else [s])]:
-        place = status.getPath()
-        if place.getName().startswith(("_", ".")):
-            continue
-        stream = system.open(place)
-        try:
-            reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8"))
-            line = reader.readLine()
-        finally:
-            stream.close()
+    for line, files in first_lines(spark, path).items():
+        line = line.removeprefix("\ufeff").removesuffix("\r")
         if line:
-            names = next(csv.reader([line.removeprefix("﻿")]))
-            found.setdefault(tuple(names), []).append(place.toString())
+            found.setdefault(tuple(next(csv.reader([line]))), []).extend(files)
     if not found:
         raise FileNotFoundError(f"no CSV file with a header at {path}")
     return found
 
 
+def _ddl(schema: StructType) -> str:
+    return ", ".join(f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in schema)
+
+
 def read_csv(spark: SparkSession, path: str, schema: StructType, multiline: bool) -> DataFrame:
     """Read CSV files by header name into `schema`.
 
@@ -96,26 +92,23 @@ def read_csv(spark: SparkSession, path: str, schema: StructType, multiline: bool
     each group of files with one header is read on its own. A missing column is
     refused. A row with too few or too many fields, an unreadable number and a number
     that its type cannot hold exactly fail the job; an unreadable moment becomes NULL,
-    as do the texts that mean "missing".
+    as do the texts that mean "missing". With `multiline`, quoted fields may hold line
+    breaks; such files are read in blocks by many tasks as well (see `csv_records`).
     """
     parts = []
     for header, files in _headers(spark, path).items():
         missing = [c for c in schema.names if c not in header]
         if missing:
             raise ValueError(f"{files[0]} lacks the columns {missing}")
-        raw = (
-            spark.read.schema(StructType([StructField(c, StringType()) for c in header]))
-            .option("header", True)
-            .option("enforceSchema", False)
-            .option("mode", "FAILFAST")
-            # A pruned parser would not see how many fields a row has.
-            .option("columnPruning", False)
-            .option("encoding", "UTF-8")
-            .option("quote", '"')
-            .option("escape", '"')
-            .option("multiLine", multiline)
-            .csv(files)
-        )
+        text = StructType([StructField(c, StringType()) for c in header])
+        if multiline:
+            records = read_records(spark, files)
+            parsed = F.from_csv("text", _ddl(text), {**OPTIONS, "multiLine": "true"})
+            raw = records.select(parsed.alias("r")).select("r.*")
+        else:
+            # enforceSchema has the parser compare the header, too.
+            raw = spark.read.schema(text).option("header", True).option("enforceSchema", False)
+            raw = raw.options(**OPTIONS).csv(files)
         parts.append(raw.selectExpr(*[f"{_typed(f.name, f.dataType)} AS `{f.name}`" for f in schema]))
     return reduce(DataFrame.unionByName, parts)
 
