@@ -6,6 +6,7 @@ import pytest
 from mercastar.functions.text import blank_missing, fixed_point, thousands, title_case
 from mercastar.functions.time import label_of_month_index, month_index
 from mercastar.operators.dedup import duplicate_rows, first_per_key
+from mercastar.operators import ranking, sampling
 from mercastar.operators.keys import with_dense_key
 from mercastar.operators.ranking import global_ntile, global_rank
 from mercastar.operators.sampling import exact_sample
@@ -133,3 +134,52 @@ def test_month_arithmetic(spark):
         label_of_month_index(month_index(F.lit(2018), F.lit(1))),
     ).first()
     assert tuple(row) == (1, "2017-12", "2018-01")
+
+
+def built_in_tiles(df, scores, tiles):
+    order = {o: F.col(c).asc_nulls_first() if up else F.when(F.col(c).isNotNull(), -F.col(c)).asc_nulls_first() for o, (c, up) in scores.items()}
+    return df.withColumns({o: F.ntile(tiles).over(Window.orderBy(by, "id")) for o, by in order.items()})
+
+
+@pytest.mark.parametrize("ids,few", [("bigint", 7), ("string", 9), ("long prefix", 9), ("short", 1), ("string", 2_000)])
+def test_tiles_by_counting(spark, monkeypatch, ids, few):
+    """One heavy value, NULLs, negative and wide values, ids of several kinds."""
+    monkeypatch.setattr(ranking, "FEW", few)
+    monkeypatch.setattr(ranking, "CELLS", 256)
+    rng = random.Random(few)
+    shown = {
+        "bigint": lambda i: i * 7 - 900, "string": lambda i: f"{rng.getrandbits(64):016x}{i}",
+        "long prefix": lambda i: f"customer #00000{i:05}", "short": lambda i: "aé😀b"[i % 4] * (i // 4),
+    }[ids]
+    rows = [
+        (shown(i), rng.choice([5, 5, 5, 5, None, i]), rng.choice([None, rng.uniform(-1e6, 1e6), 0.0]), rng.randint(-(10**15), 10**15))
+        for i in range(250)
+    ]
+    kind = "bigint" if ids == "bigint" else "string"
+    df = spark.createDataFrame(rows, f"id {kind}, often int, spent double, wide bigint").select(
+        "id", "often", F.col("spent").cast("decimal(12,2)").alias("spent"), "wide"
+    )
+    scores = {"a": ("often", True), "b": ("often", False), "c": ("spent", False), "d": ("wide", True), "e": ("spent", True)}
+    assert sorted(map(str, global_ntile(df, "id", scores, 5).collect())) == sorted(map(str, built_in_tiles(df, scores, 5).collect()))
+
+
+def test_tiles_of_missing_values_only(spark):
+    df = spark.range(11).select("id", F.lit(None).cast("int").alias("v"))
+    scores = {"a": ("v", True)}
+    assert sorted(global_ntile(df, "id", scores, 4).collect()) == sorted(built_in_tiles(df, scores, 4).collect())
+    assert global_ntile(df.limit(0), "id", scores, 4).count() == 0
+
+
+@pytest.mark.parametrize("digits", [1, 3])
+def test_sample_is_the_least_digests(spark, monkeypatch, digits):
+    monkeypatch.setattr(sampling, "DIGITS", digits)
+    df = spark.range(3000).select((F.col("id") % 900).alias("id"), F.when(F.col("id") % 3 > 0, "x").alias("t"))
+    for seed in range(4):
+        text = F.concat_ws("\u0001", F.lit(str(seed)), F.col("id").cast("string"), F.coalesce("t", F.lit("\u0000")))
+        want = df.orderBy(F.md5(text.cast("binary"))).limit(1111)
+        assert sorted(map(str, exact_sample(df, 1111 / 3000, seed).collect())) == sorted(map(str, want.collect()))
+
+
+def test_sample_plan_sorts_and_windows_no_rows(spark):
+    plan = exact_sample(spark.range(5000), 0.3, 1)._jdf.queryExecution().executedPlan().toString()
+    assert "SinglePartition" not in plan and "Window" not in plan and "Sort" not in plan
