@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import itertools
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,8 +21,9 @@ def workspace(spark: SparkSession) -> str:
     return f"{shared_folder(spark)}/mercastar/{spark.sparkContext.applicationId}"
 
 
-# Folders of steps in the order they were written; those of the running application.
-_steps: list[str] = []
+# Folders of the steps that are there, with their numbers in the order of writing.
+_steps: dict[str, int] = {}
+_numbers = itertools.count()
 
 
 def durable(df: DataFrame) -> DataFrame:
@@ -34,7 +36,7 @@ def durable(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     path = f"{workspace(spark)}/steps/{uuid.uuid4().hex}"
     df.write.parquet(path)
-    _steps.append(path)
+    _steps[path] = next(_numbers)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -45,20 +47,30 @@ def delete_folder(spark: SparkSession, path: str) -> None:
 
 
 def steps_mark() -> int:
-    """How many steps are written so far, for `drop_steps`."""
-    return len(_steps)
+    """A mark after the steps written so far."""
+    return next(_numbers)
+
+
+def steps_since(mark: int) -> list[str]:
+    """Folders of the steps written after a mark."""
+    return [path for path, number in _steps.items() if number > mark]
+
+
+def delete_steps(spark: SparkSession, paths: list[str]) -> None:
+    """Delete steps. For callers that know that no later plan reads them."""
+    for path in list(paths):
+        if _steps.pop(path, None) is not None:
+            delete_folder(spark, path)
 
 
 def drop_steps(spark: SparkSession, since: int, keep: int = 0) -> None:
     """Delete the steps written after a mark, except the last `keep`.
 
-    For callers that know no later plan reads them: a loop that has written its next
-    state, or a result that is stored and no longer depends on its inner steps.
+    For a loop that has written its next state, or a result that is stored and no longer
+    depends on its inner steps.
     """
-    end = len(_steps) - keep
-    for path in _steps[since:end]:
-        delete_folder(spark, path)
-    del _steps[since:max(since, end)]
+    paths = steps_since(since)
+    delete_steps(spark, paths[: len(paths) - keep])
 
 
 def release(spark: SparkSession) -> None:
