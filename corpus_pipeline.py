@@ -7,7 +7,7 @@ folder and read again, so a lost executor costs at most the running stage.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from mercastar.llm import decontamination, jaccard, language, mixing, sharding
@@ -22,7 +22,9 @@ ORACLE_SQL = None
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with the language found; those without a letter go.
 
-    Where no label is left to learn from, the others keep the language they came with.
+    NULL and empty texts have no letter and go; rows with NULL ids and repeated rows are
+    judged like others, each by its own text, however long. Where no label is left to
+    learn from, documents keep the language they came with. An empty table gives none.
     """
     model = language.fit_languages(docs)
     if not model.languages:
@@ -32,35 +34,60 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     return kept.select(*docs.columns)
 
 
+ROW_NAME = "_mx_name"
+
+
+def _row_name(docs: DataFrame) -> Column:
+    """A name for each different row that sorts by doc_id, NULL last, then by the md5 of the row."""
+    lowest = F.shiftleft(F.lit(1).cast("bigint"), 63)
+    digits = F.lpad(F.hex(F.col("doc_id").cast("bigint").bitwiseXOR(lowest)), 16, "0")
+    row = F.to_json(F.struct(*docs.columns)).cast("binary")
+    return F.concat(F.coalesce(digits, F.lit("none")), F.md5(row))
+
+
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each component of similar texts: the one with the least id.
 
-    Rows that repeat an id are one document; the first by text and source stays. Rows
-    without an id cannot be told apart by it and stay.
+    Rows are told apart by all their columns, so rows that share an id, or have none,
+    are judged by their texts: unlike ones all stay, similar ones leave one (of equal
+    ids the one whose row has the least md5; NULL ids come last). Rows that are equal in
+    every column are one document. Texts that are NULL, empty or without words are
+    similar to nothing and stay. An empty table gives none.
     """
-    linked = jaccard.link_documents(docs)
-    named = docs.where(F.col("doc_id").isNotNull())
-    first = linked.where(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
-    line = Window.partitionBy("doc_id").orderBy("text", "source")
-    kept = named.join(first, "doc_id", "left_semi").withColumn("_n", F.row_number().over(line))
-    kept = kept.where(F.col("_n") == 1).select(*docs.columns)
-    return kept.unionByName(docs.where(F.col("doc_id").isNull()))
+    named = docs.withColumn(ROW_NAME, _row_name(docs))
+    linked = jaccard.link_documents(named.select(ROW_NAME, "text"), ROW_NAME)
+    first = linked.where(F.col(ROW_NAME) == F.col("component_id")).select(ROW_NAME).distinct()
+    line = Window.partitionBy(ROW_NAME).orderBy(ROW_NAME)
+    kept = named.join(first, ROW_NAME, "left_semi").withColumn("_n", F.row_number().over(line))
+    return kept.where(F.col("_n") == 1).select(*docs.columns)
 
 
 def drop_benchmark_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that do not hold a share of the benchmark."""
+    """Documents that do not hold a share of the benchmark.
+
+    NULL and empty texts have no words and stay; NULL ids and repeated rows are judged by
+    their texts, however long. An empty table, or an empty benchmark, drops none.
+    """
     marked = decontamination.mark_contamination(docs, table(spark, sf_dir, "benchmark"))
     return decontamination.without_documents(marked).select(*docs.columns)
 
 
 def mix_domains(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents drawn at the rates, of 1 at most, that bring the domains closest to their targets."""
+    """Documents drawn at the rates, of 1 at most, that bring the domains closest to their targets.
+
+    A document is drawn by its id, so rows that share an id and text stay or go together;
+    NULL and empty texts have the shares of the domains at large. An empty table gives none.
+    """
     mixed = mixing.mix(docs, domain_labels(spark, sf_dir), MIXTURE, most=1.0)
     return mixed.where(F.col("n_copies") > 0).select(*docs.columns)
 
 
 def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents with their shard and slot."""
+    """All documents with their shard and slot.
+
+    NULL sources form a source of their own; rows with NULL or equal ids are separate
+    rows, in an order that does not matter. An empty table gives none.
+    """
     return sharding.interleave(docs, "doc_id", "source")
 
 
