@@ -11,6 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
+from mercastar import storage
 from mercastar.llm import decontamination, jaccard
 from mercastar.llm.catalogue import ORACLES, QUERIES
 from mercastar.llm.queries import table
@@ -99,3 +100,24 @@ def test_mixing_bounds_rates_in_the_fit(spark, small, monkeypatch):
     monkeypatch.setattr(corpus_pipeline.mixing, "mix", mix)
     docs = table(spark, small, "documents")
     assert corpus_pipeline.mix_domains(spark, docs, small).count() == docs.count() and seen["most"] == 1.0
+
+
+def test_near_copies_are_judged_by_texts_not_ids(spark, small, words):
+    one, two = words(60), words(70)
+    near = one + " " + words(2)
+    schema = table(spark, small, "documents").schema
+    rows = [
+        (7, one, "en", "s", 1), (7, two, "en", "s", 1), (9, near, "en", "t", 1), (None, one, None, None, None),
+        (None, two + " x", None, None, None), (None, "a lone text without an id and long enough", None, "q", 1),
+        (5, None, None, "s", 0), (6, "", None, "s", 0), (3, "12 ... ??", None, "s", 0), (7, two, "en", "s", 1),
+    ]
+    kept = corpus_pipeline.drop_near_copies(spark, spark.createDataFrame(rows, schema), small).collect()
+    assert sorted(((r.doc_id or 0, r.text or "") for r in kept)) == sorted(
+        [(7, one), (7, two), (0, rows[5][1]), (5, ""), (6, ""), (3, "12 ... ??")]
+    )
+
+
+def test_run_leaves_one_stored_table(spark, small):
+    mark = storage.steps_mark()
+    out = corpus_pipeline.run(spark, small)
+    assert len(storage.steps_since(mark)) == 1 and out.count() > 0
