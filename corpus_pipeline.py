@@ -7,18 +7,46 @@ folder and read again, so a lost executor costs at most the running stage.
 
 from __future__ import annotations
 
+import functools
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from mercastar.llm import decontamination, jaccard, language, mixing, sharding
 from mercastar.llm.queries import MIXTURE, domain_labels, table
 from mercastar.llm.workers import find_package
-from mercastar.storage import durable
+from mercastar.storage import delete_steps, durable, steps_mark, steps_since
+
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 # Classifiers and iterated fits have no SQL; tests compare the stages with brute force.
 ORACLE_SQL = None
 
 
+# Steps that the last stage wrote; nothing reads them once its result is stored.
+_earlier: list[str] = []
+
+
+def _stage(work: Stage) -> Stage:
+    """A stage that first deletes what the one before it has left in the shared folder.
+
+    Its result must be written before the next stage is called, as `run` does.
+    """
+
+    @functools.wraps(work)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        find_package(spark)
+        delete_steps(spark, _earlier)
+        mark = steps_mark()
+        out = work(spark, docs, sf_dir)
+        _earlier[:] = steps_since(mark)
+        return out
+
+    return run_stage
+
+
+@_stage
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with the language found; those without a letter go.
 
@@ -45,6 +73,7 @@ def _row_name(docs: DataFrame) -> Column:
     return F.concat(F.coalesce(digits, F.lit("none")), F.md5(row))
 
 
+@_stage
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each component of similar texts: the one with the least id.
 
@@ -62,6 +91,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     return kept.where(F.col("_n") == 1).select(*docs.columns)
 
 
+@_stage
 def drop_benchmark_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that do not hold a share of the benchmark.
 
@@ -72,6 +102,7 @@ def drop_benchmark_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     return decontamination.without_documents(marked).select(*docs.columns)
 
 
+@_stage
 def mix_domains(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents drawn at the rates, of 1 at most, that bring the domains closest to their targets.
 
@@ -82,6 +113,7 @@ def mix_domains(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return mixed.where(F.col("n_copies") > 0).select(*docs.columns)
 
 
+@_stage
 def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents with their shard and slot.
 
@@ -101,8 +133,17 @@ STAGES = [
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    find_package(spark)
-    docs = table(spark, sf_dir, "documents")
+    """The sharded documents of a folder of tables.
+
+    Every stage's result is written to the shared folder and read again; the result and
+    the inner steps before it are deleted then, so the folder holds two stages at most.
+    NULLs, empty texts, ties, repeated rows and empty tables: see the stages.
+    """
+    docs, before = table(spark, sf_dir, "documents"), None
     for _, stage in STAGES:
+        mark = steps_mark()
         docs = durable(stage(spark, docs, sf_dir))
+        inner, now = steps_since(mark)[:-1], steps_since(mark)[-1]
+        delete_steps(spark, inner + ([before] if before else []))
+        before = now
     return docs
