@@ -11,11 +11,12 @@ from pyspark.sql import DataFrame, SparkSession
 from mercastar.operators.profiling import validate_all
 from mercastar.plans.parameters import ReportParameters
 from mercastar.plans.quality import run_checks, verdict
-from mercastar.plans.staging import load_staging
+from mercastar.plans.staging import stored_staging, write_staging
 from mercastar.plans.warehouse import Warehouse
 from mercastar.schemas import SOURCES
 from mercastar.sources.csv_files import read_sources
 from mercastar.sources.sinks import read_parquet, write_parquet
+from mercastar.sources.versions import current, loading
 
 
 @dataclass
@@ -54,17 +55,32 @@ def run(
     the result. Orders and items of the star schema come from the sources, since
     staging drops repeated ones that the fact keeps; customers, products and sellers
     come from staging. All locations are read, unless `location_fraction` is given.
+
+    All tables belong to one new version of the target folder, which is published at the
+    end: a run that stops earlier leaves the tables of the run before as they were.
     """
     parameters = parameters or ReportParameters()
-    target = target_folder.rstrip("/")
     read = read_sources(spark, source_folder, files, location_fraction)
-    sources = land(spark, read, f"{target}/raw")
-    warnings = validate_all(sources)
-    staging = load_staging(spark, sources, f"{target}/staging", loaded_at)
-    warehouse = Warehouse(sources, folder=f"{target}/warehouse", staging=staging)
-    warehouse.load()
-    path = f"{target}/quality"
-    write_parquet(run_checks(warehouse, staging, parameters), path)
-    checks = spark.read.parquet(path)
-    success = verdict(checks).first()["success"]
+    with loading(spark, target_folder) as target:
+        sources = land(spark, read, f"{target}/raw")
+        warnings = validate_all(sources)
+        staging = write_staging(spark, sources, f"{target}/staging", loaded_at)
+        warehouse = Warehouse(sources, folder=f"{target}/warehouse", staging=staging)
+        warehouse.load()
+        path = f"{target}/quality"
+        write_parquet(run_checks(warehouse, staging, parameters), path)
+        checks = spark.read.parquet(path)
+        success = verdict(checks).first()["success"]
     return RunResult(warehouse, staging, warnings, checks, success)
+
+
+def stored_run(spark: SparkSession, target_folder: str) -> RunResult:
+    """The tables and checks of the last run that ended; warnings are not stored."""
+    target = current(spark, target_folder)
+    checks = spark.read.parquet(f"{target}/quality")
+    return RunResult(
+        Warehouse.stored(spark, f"{target}/warehouse"),
+        stored_staging(spark, f"{target}/staging"),
+        checks=checks,
+        success=verdict(checks).first()["success"],
+    )

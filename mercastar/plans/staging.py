@@ -13,6 +13,7 @@ from mercastar.operators.dedup import first_per_key
 from mercastar.schemas import AUDIT_COLUMN, PRIMARY_KEYS, PRODUCT_NUMBERS, STAGING, conform
 from mercastar.sources.lazy import LazyTables
 from mercastar.sources.sinks import read_parquet, write_parquet
+from mercastar.sources.versions import current, loading
 
 # Staging table per source; the translation is folded into the products.
 STAGED_SOURCES = {
@@ -68,16 +69,30 @@ def build_staging(
     return LazyTables({name: builder(name) for name in STAGED_SOURCES})
 
 
-def load_staging(
+def write_staging(
     spark: SparkSession,
     sources: Mapping[str, DataFrame],
     folder: str,
     loaded_at: datetime | None = None,
 ) -> dict[str, DataFrame]:
     """Write the staging tables under `folder` and return them as stored."""
-    out = {}
     for name, df in build_staging(sources, loaded_at).items():
-        path = f"{folder.rstrip('/')}/{name}"
-        write_parquet(df, path)
-        out[name] = read_parquet(spark, path, STAGING[name])
-    return out
+        write_parquet(df, f"{folder.rstrip('/')}/{name}")
+    return stored_staging(spark, folder)
+
+
+def load_staging(
+    spark: SparkSession,
+    sources: Mapping[str, DataFrame],
+    folder: str,
+    loaded_at: datetime | None = None,
+) -> dict[str, DataFrame]:
+    """Load a new version of the staging tables, published when all are written."""
+    with loading(spark, folder) as version:
+        return write_staging(spark, sources, version, loaded_at)
+
+
+def stored_staging(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
+    """The staging tables in `folder`, or in the version published there."""
+    place = current(spark, folder)
+    return {name: read_parquet(spark, f"{place}/{name}", STAGING[name]) for name in STAGED_SOURCES}

@@ -12,6 +12,7 @@ from mercastar.plans import star
 from mercastar.plans.staging import build_staging
 from mercastar.schemas import STAGING, WAREHOUSE
 from mercastar.sources.sinks import read_parquet, write_parquet, write_table
+from mercastar.sources.versions import current, loading
 
 # Tables of one bucket count on customer_key join without a shuffle.
 BUCKETED = ("dim_customer", "fact_orders")
@@ -66,8 +67,8 @@ class Warehouse:
 
     @classmethod
     def stored(cls, spark: SparkSession, folder: str) -> Warehouse:
-        """Open tables that an earlier load wrote."""
-        warehouse = cls({}, folder=folder)
+        """Open the tables in `folder`, or in the version published there."""
+        warehouse = cls({}, folder=current(spark, folder))
         warehouse._opened = True
         for name in WAREHOUSE:
             warehouse._tables[name] = read_parquet(
@@ -184,6 +185,23 @@ class Warehouse:
         return self.table("dim_region")
 
 
+def load_warehouse(
+    spark: SparkSession,
+    sources: Mapping[str, DataFrame],
+    folder: str,
+    region: DataFrame | None = None,
+    staging: Mapping[str, DataFrame] | None = None,
+) -> Warehouse:
+    """Load a new version of the star schema, published when all six tables are written.
+
+    Until then, and if the load fails, `Warehouse.stored` opens the version before.
+    """
+    with loading(spark, folder) as version:
+        warehouse = Warehouse(sources, region, version, staging)
+        warehouse.load()
+    return warehouse
+
+
 def build_star(
     sources: Mapping[str, DataFrame], region: DataFrame | None = None
 ) -> dict[str, DataFrame]:

@@ -27,7 +27,7 @@ from mercastar.operators.sampling import exact_sample
 from mercastar.plans import quality, star
 from mercastar.plans.reports import REPORTS
 from mercastar.plans.staging import STAGED_SOURCES, build_staging, load_staging
-from mercastar.plans.warehouse import Warehouse
+from mercastar.plans.warehouse import Warehouse, load_warehouse
 from mercastar.schemas import AUDIT_COLUMN, WAREHOUSE
 from mercastar.sources import testdata
 from mercastar.sources.csv_files import read_csv, read_source
@@ -54,7 +54,7 @@ def opened(spark: SparkSession, folder: str) -> Opened:
     if key not in _open:
         sources = testdata.sources(spark, folder)
         place = f"{_place(spark, folder)}/warehouse"
-        _open[key] = Opened(sources, _new_warehouse(spark, folder, sources, place))
+        _open[key] = Opened(sources, Warehouse(sources, testdata.regions(spark, folder), place))
     return _open[key]
 
 
@@ -72,12 +72,6 @@ def warehouse(spark: SparkSession, folder: str) -> Warehouse:
     return opened(spark, folder).warehouse
 
 
-def _new_warehouse(
-    spark: SparkSession, folder: str, sources: Mapping[str, DataFrame], place: str
-) -> Warehouse:
-    return Warehouse(sources, testdata.regions(spark, folder), place)
-
-
 def presentable(df: DataFrame) -> DataFrame:
     """Plain result types: whole numbers as BIGINT, decimals as DOUBLE, moments as text."""
     columns = []
@@ -123,7 +117,8 @@ def _load_staging(spark: SparkSession, folder: str) -> DataFrame:
 def _load_warehouse(spark: SparkSession, folder: str) -> DataFrame:
     sources = opened(spark, folder).sources
     place = f"{_place(spark, folder)}/reloaded"
-    return row_counts(_new_warehouse(spark, folder, sources, place).load())
+    loaded = load_warehouse(spark, sources, place, testdata.regions(spark, folder))
+    return row_counts(loaded.load())
 
 
 def _table_row_counts(spark: SparkSession, folder: str) -> DataFrame:

@@ -10,7 +10,7 @@ from helpers import customer, frame, item, order, small_sources
 from mercastar.operators.profiling import profile_columns, profile_table, validate
 from mercastar.plans import quality
 from mercastar.plans.parameters import ReportParameters
-from mercastar.plans.run import run
+from mercastar.plans.run import run, stored_run
 from mercastar.plans.staging import build_staging
 from mercastar.plans.warehouse import Warehouse
 from mercastar.schemas import SOURCES, STAGING, WAREHOUSE, create_table_ddl
@@ -173,8 +173,10 @@ def test_whole_run_and_rerun(spark, folder, tmp_path):
     assert status["staging_vs_dwh_orders"] == "PASS"
     assert status["delivered_rate"] == "FAIL"  # 1 of 2
     assert result.success is False
-    reopened = Warehouse.stored(spark, str(tmp_path / "out" / "warehouse"))
-    assert sorted(reopened.fact.collect()) == sorted(result.warehouse.fact.collect())
+    reopened = stored_run(spark, str(tmp_path / "out"))
+    assert sorted(reopened.warehouse.fact.collect()) == sorted(result.warehouse.fact.collect())
+    assert reopened.staging["stg_products"].count() == 2
+    assert reopened.success is False
 
 
 def test_a_run_drops_copies_of_dimensions_once(spark, tmp_path):
