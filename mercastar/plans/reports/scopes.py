@@ -26,9 +26,10 @@ def arrived(w: Warehouse) -> DataFrame:
 
 
 def bought_before(rows: DataFrame, time_key: int) -> DataFrame:
-    """Rows bought before a day, given as yyyymmdd; the year lets the scan skip folders."""
+    """Rows bought before a day, given as yyyymmdd; the month lets the scan skip folders."""
+    last_month = (time_key - 2) // 100  # before the first of a month: not that month
     return rows.where(
-        (F.col("purchase_time_key") < time_key) & (F.col("purchase_year") <= time_key // 10_000)
+        (F.col("purchase_time_key") < time_key) & (F.col("purchase_month") <= last_month)
     )
 
 

@@ -16,26 +16,40 @@ from mercastar.sources.versions import current, loading
 
 # Tables of one bucket count on customer_key join without a shuffle.
 BUCKETED = ("dim_customer", "fact_orders")
-YEAR = "purchase_year"
+MONTH = "purchase_month"
+# Rows of the fact in a file: some 100 MB.
+FILE_ROWS = 1 << 22
 
 
-def _laid_out(name: str, df: DataFrame) -> DataFrame:
-    """Rows as they are to lie in files.
+def _slices(rows: int, days: int) -> int:
+    """Slices of a month's orders, so that one of an average month fills a file."""
+    return -(-rows // (FILE_ROWS * max(1, days // 30))) or 1
 
-    The fact goes into a folder for each year of purchase, so that a bound on the
-    purchase date skips folders. Inside, items of an order lie together (an order has
-    one year), which lets distinct orders collapse before a shuffle. Rebalancing evens
-    out file sizes and splits an order too large for one task.
+
+def _laid_out(fact: DataFrame, slices: int) -> DataFrame:
+    """Rows of the fact as they are to lie in files.
+
+    There is a folder for each month of purchase, so that a bound on the purchase date
+    skips folders. A month is dealt to tasks whole, or in slices of its orders where it is
+    large, so files are few and even; rebalancing splits a slice too large for one task.
+    Inside, rows are sorted by day, so that least and greatest values of parts of a file
+    prune too, and items of an order lie together, which lets distinct orders collapse
+    before a shuffle.
     """
-    return df.hint("rebalance", YEAR, "order_id") if name == "fact_orders" else df
+    dealt = fact.withColumn("_slice", F.pmod(F.xxhash64("order_id"), F.lit(slices)))
+    return (
+        dealt.hint("rebalance", MONTH, "_slice")
+        .sortWithinPartitions(MONTH, "purchase_time_key", "order_id")
+        .drop("_slice")
+    )
 
 
-def _year() -> Column:
-    return F.expr("purchase_time_key DIV 10000").cast("int")
+def _month() -> Column:
+    return F.expr("purchase_time_key DIV 100").cast("int")
 
 
 def _stored_schema(name: str) -> StructType:
-    extra = [StructField(YEAR, IntegerType())] if name == "fact_orders" else []
+    extra = [StructField(MONTH, IntegerType())] if name == "fact_orders" else []
     return StructType([*WAREHOUSE[name].fields, *extra])
 
 
@@ -94,7 +108,11 @@ class Warehouse:
             if self.folder:
                 path = f"{self.folder}/{name}"
                 spark = df.sparkSession
-                write_parquet(_laid_out(name, df), path, YEAR if name == "fact_orders" else None)
+                if name == "fact_orders":
+                    slices = _slices(self.sources["order_items"].count(), self.time.count())
+                    write_parquet(_laid_out(df, slices), path, MONTH)
+                else:
+                    write_parquet(df, path)
                 df = read_parquet(spark, path, _stored_schema(name))
             self._tables[name] = df
         return self._tables[name]
@@ -111,7 +129,7 @@ class Warehouse:
             "dim_seller": lambda: star.dim_seller(self._unique("stg_sellers")),
             "fact_orders": lambda: star.fact_orders(
                 s, self.customer, self.product, self.seller, self.dim_region
-            ).withColumn(YEAR, _year()),
+            ).withColumn(MONTH, _month()),
         }
         return plans[name]()
 
@@ -160,9 +178,9 @@ class Warehouse:
 
     @property
     def fact(self) -> DataFrame:
-        """The fact with the year of purchase."""
+        """The fact with the month of purchase, as yyyymm."""
         df = self._table("fact_orders")
-        return df if YEAR in df.columns else df.withColumn(YEAR, _year())
+        return df if MONTH in df.columns else df.withColumn(MONTH, _month())
 
     @property
     def time(self) -> DataFrame:

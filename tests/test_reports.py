@@ -3,14 +3,17 @@
 from __future__ import annotations
 
 import re
+from dataclasses import replace
 from decimal import Decimal
 
 import pytest
 from helpers import customer, item, order, small_sources
+from mercastar.plans import warehouse
 from mercastar.plans.parameters import ReportParameters
 from mercastar.plans.reports import REPORTS
 from mercastar.plans.warehouse import Warehouse
 from mercastar.registry import presentable
+from pyspark.sql import functions as F
 
 DEFAULTS = ReportParameters()
 
@@ -143,13 +146,62 @@ def test_collated_cities_are_grouped_by_plain_text(stored):
     assert "SortAggregate" not in plan and "HashAggregate" in plan
 
 
-def test_date_bounds_skip_folders(stored):
-    for name in ("ex2_revenue_trend", "prd5_hot_categories"):
-        scan = next(
-            line for line in plan_of(REPORTS[name](stored, DEFAULTS)).splitlines()
-            if "FileScan" in line and "fact_orders" in line
-        )
-        assert "purchase_year" in scan.split("PartitionFilters:")[1].split("PushedFilters")[0]
+def files_read(df, table: str) -> int:
+    """Files that the scans of a table opened in one run."""
+    df.collect()
+    found, todo = 0, [df._jdf.queryExecution().executedPlan()]
+    while todo:
+        node = todo.pop()
+        inner = node.getClass().getSimpleName()
+        if inner == "AdaptiveSparkPlanExec":
+            todo.append(node.executedPlan())
+        elif inner.endswith("QueryStageExec"):
+            todo.append(node.plan())
+        elif inner == "FileSourceScanExec" and table in node.simpleString(10_000):
+            found += node.metrics().apply("numFiles").value()
+        children = node.children()
+        todo += [children.apply(i) for i in range(children.size())]
+    return found
+
+
+def test_date_bounds_skip_months(spark, tmp_path):
+    """Of eight months with one file each, reports open those before their bound."""
+    days = ["2017-12-31", *(f"2018-{m:02}-{d:02}" for m in range(3, 10) for d in (1, 28))]
+    w = shop(spark, *((f"u{i}", day, 10) for i, day in enumerate(days)))
+    loaded = Warehouse(w.sources, folder=str(tmp_path))
+    loaded.load()
+    months = sorted(f.name for f in (tmp_path / "fact_orders").iterdir() if f.is_dir())
+    assert months == ["purchase_month=201712", *(f"purchase_month=2018{m:02}" for m in range(3, 10))]
+    assert files_read(loaded.fact.select("price"), "fact_orders") == 8
+    for cutoff, files in (("2018-09-01", 7), ("2018-09-02", 8), ("2018-01-01", 1), ("2018-03-15", 2)):
+        report = REPORTS["ex2_revenue_trend"](loaded, replace(DEFAULTS, trend_cutoff=cutoff))
+        assert files_read(report, "fact_orders") == files, cutoff
+        plain = REPORTS["ex2_revenue_trend"](w, replace(DEFAULTS, trend_cutoff=cutoff))
+        assert report.collect() == plain.collect()
+    for period, files in (("2018-08", 7), ("2017-12", 1), ("2018-04", 3)):
+        report = REPORTS["prd5_hot_categories"](loaded, replace(DEFAULTS, hot_period=period))
+        assert files_read(report, "fact_orders") == files, period
+
+
+def test_a_large_month_lies_in_slices_of_whole_orders(spark, tmp_path, monkeypatch):
+    assert [warehouse._slices(rows, 300) for rows in (0, 1, 10 * warehouse.FILE_ROWS, 1 + 10 * warehouse.FILE_ROWS)] == [1, 1, 1, 2]
+    monkeypatch.setattr(warehouse, "FILE_ROWS", 5)
+    w = shop(spark, *((f"u{i}", f"2018-03-{1 + i % 28:02}", 10) for i in range(60)))
+    loaded = Warehouse(w.sources, folder=str(tmp_path))
+    # Partitions far below the advised size would be merged again.
+    setting = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(setting, "false")
+    try:
+        loaded.load()
+    finally:
+        spark.conf.set(setting, "true")
+    rows = loaded.fact.select("order_id", "purchase_time_key", F.input_file_name().alias("file"), F.monotonically_increasing_id().alias("at")).collect()
+    files: dict = {}
+    for r in sorted(rows, key=lambda r: r["at"]):
+        files.setdefault(r["file"], []).append(r["purchase_time_key"])
+    assert 2 <= len(files) <= 4  # shuffle partitions of the tests
+    assert all(days == sorted(days) for days in files.values())
+    assert len({(r["order_id"], r["file"]) for r in rows}) == len({r["order_id"] for r in rows})
 
 
 @pytest.mark.parametrize("name", sorted(REPORTS))
