@@ -1,13 +1,14 @@
 from __future__ import annotations
 
+import hashlib
 import random
 
 import pytest
 from mercastar.functions.text import blank_missing, fixed_point, thousands, title_case
 from mercastar.functions.time import label_of_month_index, month_index
 from mercastar.operators.dedup import duplicate_rows, first_per_key
-from mercastar.operators import ranking, sampling
-from mercastar.operators.keys import with_dense_key
+from mercastar.operators import keys, ranking, sampling
+from mercastar.operators.keys import bucket_digits, with_dense_key
 from mercastar.operators.ranking import global_ntile, global_rank
 from mercastar.operators.sampling import exact_sample
 from pyspark.sql import Window
@@ -56,6 +57,31 @@ def test_dense_keys_have_no_gaps_and_repeat(spark):
     assert {r["name"]: r["k"] for r in again} == first
 
 
+@pytest.mark.parametrize("digits", [1, 4, 5, 7])
+def test_dense_keys_follow_the_digits(spark, digits):
+    names = [f"é{n}" for n in range(700)]
+    df = spark.createDataFrame([(n, "more") for n in names], "name string, more string")
+    keyed = with_dense_key(df, "name", "k", digits)
+    assert keyed.columns == ["k", "name", "more"]
+    order = sorted(names, key=lambda n: (hashlib.md5(n.encode()).hexdigest()[:digits], n.encode()))
+    assert {r["name"]: r["k"] for r in keyed.collect()} == {n: k for k, n in enumerate(order, 1)}
+    assert with_dense_key(df.limit(0), "name", "k", digits).count() == 0
+
+
+def test_dense_keys_of_a_large_table(spark, monkeypatch):
+    """More buckets by count; their starts are joined where the rows lie, not broadcast."""
+    assert [bucket_digits(n) for n in (0, 1 << 34, (1 << 34) + 1, 10**12)] == [4, 4, 5, 6]
+    monkeypatch.setattr(keys, "bucket_digits", lambda rows: 4 if rows < 500 else 6)
+    df = spark.range(500).select(F.concat(F.lit("x"), "id").alias("name"), F.lit("y" * 40).alias("payload"))
+    lines = with_dense_key(df, "name", "k")._jdf.queryExecution().sparkPlan().toString().splitlines()
+    joins = [line for line in lines if "Join" in line]
+    assert "SortMergeJoin" in joins[0] and "BroadcastHashJoin" in joins[1] and len(joins) == 2
+    plan = with_dense_key(df, "name", "k")._jdf.queryExecution().executedPlan().toString()
+    assert plan.split("Range")[0].count("Exchange") == 1  # rows move once; their side comes first
+    small = with_dense_key(df.limit(499), "name", "k")._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in small
+
+
 def test_first_per_key_orders_nulls_first(spark):
     rows = [("a", 2, "x"), ("a", None, "z"), ("a", None, "y"), ("b", 1, None), (None, 1, "q")]
     df = spark.createDataFrame(rows, "k string, n int, t string")
