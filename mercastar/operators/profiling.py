@@ -3,11 +3,22 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from decimal import Decimal
 from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DateType, NumericType, TimestampNTZType, TimestampType
+from pyspark.sql.types import (
+    DataType,
+    DateType,
+    DecimalType,
+    DoubleType,
+    FloatType,
+    IntegralType,
+    NumericType,
+    TimestampNTZType,
+    TimestampType,
+)
 
 from mercastar.fixed_values import SCORE_RANGE
 from mercastar.functions.measures import rounded
@@ -22,12 +33,6 @@ def _stack(frames: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, frames)
 
 
-def _as_text(column: str, data_type) -> F.Column:
-    if isinstance(data_type, (TimestampType, TimestampNTZType)):
-        return F.date_format(column, "yyyy-MM-dd HH:mm:ss")
-    return F.col(column).cast("string")
-
-
 def _short(text: F.Column) -> F.Column:
     """The text, or its md5 where that is shorter: equal for equal texts.
 
@@ -36,106 +41,157 @@ def _short(text: F.Column) -> F.Column:
     return F.when(F.octet_length(text) > 32, F.concat(F.lit("md5 "), F.md5(text.cast("binary")))).otherwise(text)
 
 
-def profile_columns(name: str, df: DataFrame) -> DataFrame:
-    """One row per column: type, nulls, null percent, distinct values, min, max.
+def _as_text(value: F.Column, kind: DataType) -> F.Column:
+    if isinstance(kind, (TimestampType, TimestampNTZType)):
+        return F.date_format(value, "yyyy-MM-dd HH:mm:ss")
+    return value.cast("string")
+
+
+WHOLE_ROW = -1  # the position of a row as a whole
+BOUNDED = (NumericType, DateType, TimestampType, TimestampNTZType)
+# A value is held in one of these; the others are NULL, and all are for a NULL.
+HOLDERS = {"num": "bigint", "real": "double", "at": "timestamp_ntz", "text": "string"}
+# Decimals of so few digits are whole multiples of their last digit, exactly, as doubles.
+SHORT_DECIMAL = 15
+
+
+def _held(value: F.Column, kind: DataType) -> tuple[str, F.Column]:
+    """The holder of a column's values, and the values in it. Making texts of numbers is slow."""
+    if isinstance(kind, IntegralType):
+        return "num", value.cast("bigint")
+    if isinstance(kind, DecimalType) and kind.precision <= SHORT_DECIMAL:
+        return "num", F.rint(value.cast("double") * F.lit(float(10**kind.scale))).cast("bigint")
+    if isinstance(kind, (DoubleType, FloatType)):
+        return "real", value.cast("double")
+    if isinstance(kind, TimestampType):
+        return "num", F.unix_micros(value)
+    if isinstance(kind, (DateType, TimestampNTZType)):
+        return "at", value.cast("timestamp_ntz")
+    text = value.cast("string")
+    return "text", text if isinstance(kind, BOUNDED) else _short(text)
+
+
+def _given_back(held: F.Column, kind: DataType) -> F.Column:
+    """A value of the column's own type from its holder."""
+    if isinstance(kind, DecimalType) and kind.precision <= SHORT_DECIMAL:
+        return (held.cast("decimal(18,0)") * F.lit(Decimal(1).scaleb(-kind.scale))).cast(kind)
+    if isinstance(kind, TimestampType):
+        return F.timestamp_micros(held)
+    return held.cast(kind)
+
+
+def _whole(df: DataFrame) -> dict[str, F.Column]:
+    """Two 64-bit digests of a row; which fields are NULL is part of them."""
+    holes = F.concat(F.lit(""), *[F.col(c).isNull().cast("int").cast("string") for c in df.columns])
+    first, second = (F.xxhash64(F.lit(seed), holes, *df.columns) for seed in (1, 2))
+    return {"num": first, "text": F.hex(second)}
+
+
+def _values(number: int, df: DataFrame) -> DataFrame:
+    """One row `(source, position, holders)` for each field of each row, and one for the row."""
+
+    def entry(position: int, held: dict[str, F.Column]) -> F.Column:
+        holders = [held.get(h, F.lit(None)).cast(kind).alias(h) for h, kind in HOLDERS.items()]
+        return F.struct(F.lit(position).alias("position"), *holders)
+
+    fields = [entry(i, dict([_held(F.col(f.name), f.dataType)])) for i, f in enumerate(df.schema)]
+    entries = F.array(entry(WHOLE_ROW, _whole(df)), *fields)
+    return df.select(F.lit(number).alias("source"), F.inline(entries))
 
-    Min and max are given for numbers and dates. Distinct values are counted by
-    grouping (column, value) pairs, which collapses frequent values before the
-    shuffle and spreads all columns over all tasks; of long texts only digests move.
+
+def profile_facts(sources: Mapping[str, DataFrame]) -> DataFrame:
+    """What both profiles are made of, from one scan of each source.
+
+    One row per column, and one per table with position -1: rows, nulls, distinct values,
+    rows beyond the first of a value, least and greatest value. Values are counted as
+    (source, position, value), which collapses frequent ones before the only shuffle of
+    them and spreads all columns of all tables over all tasks. Of long texts, and of rows
+    as a whole, only digests of 128 bits move. The result has one row for each column, so
+    it may well be stored for both.
     """
-    fields = list(df.schema)
-    facts = []
-    for i, field in enumerate(fields):
-        column = F.col(field.name)
-        facts.append(F.count(column).alias(f"present_{i}"))
-        if isinstance(field.dataType, (NumericType, DateType, TimestampType, TimestampNTZType)):
-            facts += [F.min(column).alias(f"min_{i}"), F.max(column).alias(f"max_{i}")]
-    whole = df.agg(F.count(F.lit(1)).alias("rows"), *facts)
-
-    def bound(kind: str, i: int, field) -> F.Column:
-        if f"{kind}_{i}" not in whole.columns:
-            return F.lit(NO_VALUE)
-        return _as_text(f"{kind}_{i}", field.dataType)
-
-    per_column = whole.select(
-        "rows",
-        F.inline(
-            F.array(
-                *[
-                    F.struct(
-                        F.lit(i).alias("position"),
-                        F.lit(field.name).alias("column_name"),
-                        F.lit(field.dataType.simpleString()).alias("dtype"),
-                        (F.col("rows") - F.col(f"present_{i}")).alias("null_count"),
-                        bound("min", i, field).alias("min_value"),
-                        bound("max", i, field).alias("max_value"),
-                    )
-                    for i, field in enumerate(fields)
-                ]
-            )
-        ),
-    )
-    pairs = df.select(
-        F.inline(
-            F.array(
-                *[
-                    F.struct(
-                        F.lit(i).alias("position"),
-                        _short(F.col(field.name).cast("string")).alias("value"),
-                    )
-                    for i, field in enumerate(fields)
-                ]
-            )
-        )
+    metadata, places = [], {}
+    for number, (name, df) in enumerate(sources.items()):
+        metadata.append((number, WHOLE_ROW, name, None, None))
+        for i, field in enumerate(df.schema):
+            dtype = field.dataType.simpleString()
+            metadata.append((number, i, name, field.name, dtype))
+            if isinstance(field.dataType, BOUNDED):
+                places.setdefault(dtype, (field.dataType, []))[1].append((number, i))
+    held = ("source", "position", *HOLDERS)
+    values = _stack([_values(number, df) for number, df in enumerate(sources.values())])
+    counted = values.groupBy(*held).agg(F.count(F.lit(1)).alias("n"))
+    present = reduce(lambda a, b: a | b, [F.col(h).isNotNull() for h in HOLDERS])
+
+    bounds, shown = [], {"min": [], "max": []}
+    for k, (kind, where) in enumerate(places.values()):
+        holder = _held(F.lit(None).cast(kind), kind)[0]
+        here = reduce(lambda a, b: a | b, [(F.col("source") == a) & (F.col("position") == b) for a, b in where])
+        value = F.when(here, _given_back(F.col(holder), kind) if holder == "text" else F.col(holder))
+        bounds += [F.min(value).alias(f"min_{k}"), F.max(value).alias(f"max_{k}")]
+        for end, texts in shown.items():
+            bound = F.col(f"{end}_{k}")
+            texts.append(_as_text(bound if holder == "text" else _given_back(bound, kind), kind))
+    facts = counted.groupBy("source", "position").agg(
+        F.sum("n").alias("rows"),
+        F.sum(F.when(present, 0).otherwise(F.col("n"))).alias("nulls"),
+        F.count_if(present).alias("distinct_count"),
+        F.sum(F.col("n") - 1).alias("copies"),
+        *bounds,
     )
-    distinct = (
-        pairs.where(F.col("value").isNotNull())
-        .groupBy("position", "value")
-        .agg(F.lit(1).alias("one"))
-        .groupBy("position")
-        .agg(F.count("one").alias("distinct_count"))
-    )
-    # One row per column of the table on either side.
-    return per_column.join(distinct, "position", "left").select(
-        F.lit(name).alias("table_name"),
+    zero = F.lit(0).cast("bigint")
+    names = "source int, position int, table_name string, column_name string, dtype string"
+    # A row per column of the tables on either side. Columns of empty tables meet nothing.
+    described = values.sparkSession.createDataFrame(metadata, names)
+    return described.join(facts, ["source", "position"], "left").select(
+        "source",
+        "position",
+        "table_name",
         "column_name",
         "dtype",
-        "null_count",
-        rounded(F.lit(100) * F.col("null_count"), F.col("rows"), 1).alias("null_pct"),
-        F.coalesce("distinct_count", F.lit(0)).cast("bigint").alias("distinct_count"),
-        "min_value",
-        "max_value",
+        *[F.coalesce(c, zero).alias(c) for c in ("rows", "nulls", "distinct_count", "copies")],
+        *[F.coalesce(*texts, F.lit(NO_VALUE)).alias(f"{end}_value") for end, texts in shown.items()],
+        F.col("dtype").isin(*places).alias("bounded"),
     )
 
 
-def profile_table(name: str, df: DataFrame) -> DataFrame:
-    """One row: rows, columns, full-row duplicates, columns that hold nulls.
+def profile_all_columns(sources: Mapping[str, DataFrame], facts: DataFrame | None = None) -> DataFrame:
+    """One row per column: type, nulls, null percent, distinct values, min, max.
 
-    Rows are compared by the md5 of their JSON text, so only digests move.
+    Min and max are given for numbers and dates; they are NULL where there is no value.
+    `facts` are those of the same sources, where they are stored.
     """
-    row = F.md5(F.to_json(F.struct(*df.columns)).cast("binary"))
-    holes = [F.max(F.col(c).isNull().cast("int")).alias(f"_hole_{i}") for i, c in enumerate(df.columns)]
-    grouped = df.groupBy(row.alias("_row")).agg(F.count(F.lit(1)).alias("_n"), *holes)
-    flags = [F.coalesce(F.max(f"_hole_{i}"), F.lit(0)) for i in range(len(df.columns))]
-    return grouped.agg(
-        F.coalesce(F.sum("_n"), F.lit(0)).alias("row_count"),
-        F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).alias("duplicate_count"),
-        reduce(lambda a, b: a + b, flags).cast("bigint").alias("null_columns"),
-    ).select(
-        F.lit(name).alias("table_name"),
-        "row_count",
-        F.lit(len(df.columns)).cast("bigint").alias("column_count"),
-        "duplicate_count",
-        "null_columns",
+    facts = profile_facts(sources) if facts is None else facts
+    nothing = F.when(F.col("bounded") & (F.col("distinct_count") == 0), F.lit(None))
+    return facts.where(F.col("position") != WHOLE_ROW).select(
+        "table_name",
+        "column_name",
+        "dtype",
+        F.col("nulls").alias("null_count"),
+        rounded(F.lit(100) * F.col("nulls"), F.col("rows"), 1).alias("null_pct"),
+        "distinct_count",
+        nothing.otherwise(F.col("min_value")).alias("min_value"),
+        nothing.otherwise(F.col("max_value")).alias("max_value"),
     )
 
 
-def profile_all_columns(sources: Mapping[str, DataFrame]) -> DataFrame:
-    return _stack([profile_columns(name, df) for name, df in sources.items()])
+def profile_all_tables(sources: Mapping[str, DataFrame], facts: DataFrame | None = None) -> DataFrame:
+    """One row per table: rows, columns, full-row duplicates, columns that hold nulls."""
+    facts = profile_facts(sources) if facts is None else facts
+    whole = F.col("position") == WHOLE_ROW
+    return facts.groupBy("source", "table_name").agg(
+        F.max(F.when(whole, F.col("rows"))).alias("row_count"),
+        F.count_if(~whole).alias("column_count"),
+        F.max(F.when(whole, F.col("copies"))).alias("duplicate_count"),
+        F.count_if(~whole & (F.col("nulls") > 0)).alias("null_columns"),
+    ).drop("source")
 
 
-def profile_all_tables(sources: Mapping[str, DataFrame]) -> DataFrame:
-    return _stack([profile_table(name, df) for name, df in sources.items()])
+def profile_columns(name: str, df: DataFrame) -> DataFrame:
+    return profile_all_columns({name: df})
+
+
+def profile_table(name: str, df: DataFrame) -> DataFrame:
+    return profile_all_tables({name: df})
 
 
 def primary_key_duplicates(sources: Mapping[str, DataFrame]) -> DataFrame:

@@ -32,17 +32,18 @@ from mercastar.schemas import AUDIT_COLUMN, WAREHOUSE
 from mercastar.sources import testdata
 from mercastar.sources.csv_files import read_csv, read_source
 from mercastar.sources.sinks import row_counts
-from mercastar.storage import workspace
+from mercastar.storage import durable, workspace
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
 @dataclass
 class Opened:
-    """What is kept for one folder: its sources and star schema."""
+    """What is kept for one folder: its sources, star schema and profile facts."""
 
     sources: Mapping[str, DataFrame]
     warehouse: Warehouse
+    facts: DataFrame | None = None  # of the profiles
 
 
 _open: dict[tuple[str, str], Opened] = {}
@@ -109,6 +110,18 @@ def _profile(build: Callable[[Mapping[str, DataFrame]], DataFrame]) -> Query:
     return lambda spark, folder: build(opened(spark, folder).sources)
 
 
+def _profiled(build: Callable[..., DataFrame]) -> Query:
+    """Both profiles are made of the same facts, which are found at first use."""
+
+    def query(spark: SparkSession, folder: str) -> DataFrame:
+        here = opened(spark, folder)
+        if here.facts is None:
+            here.facts = durable(profiling.profile_facts(here.sources))
+        return build(here.sources, here.facts)
+
+    return query
+
+
 def _load_staging(spark: SparkSession, folder: str) -> DataFrame:
     place = f"{_place(spark, folder)}/staging"
     return row_counts(load_staging(spark, opened(spark, folder).sources, place))
@@ -265,8 +278,8 @@ def _plain() -> dict[str, Query]:
         "table_row_counts": _table_row_counts,
         "star_schema_summary": _star_summary,
         "fact_summary": _fact_summary,
-        "profile_columns": _profile(profiling.profile_all_columns),
-        "profile_tables": _profile(profiling.profile_all_tables),
+        "profile_columns": _profiled(profiling.profile_all_columns),
+        "profile_tables": _profiled(profiling.profile_all_tables),
         "validate_primary_keys": _profile(profiling.primary_key_duplicates),
         "validate_non_negative": _profile(profiling.negative_values),
         "validate_score_range": _profile(profiling.scores_out_of_range),

@@ -7,7 +7,13 @@ from decimal import Decimal
 
 import pytest
 from helpers import customer, frame, item, order, small_sources
-from mercastar.operators.profiling import profile_columns, profile_table, validate
+from mercastar.operators.profiling import (
+    profile_all_columns,
+    profile_all_tables,
+    profile_columns,
+    profile_table,
+    validate,
+)
 from mercastar.plans import quality
 from mercastar.plans.parameters import ReportParameters
 from mercastar.plans.run import run, stored_run
@@ -15,6 +21,7 @@ from mercastar.plans.staging import build_staging
 from mercastar.plans.warehouse import Warehouse
 from mercastar.schemas import SOURCES, STAGING, WAREHOUSE, create_table_ddl
 from mercastar.sources.csv_files import read_source, read_sources
+from pyspark.sql import functions as F
 
 CSV = {
     "shop_orders_dataset.csv": (
@@ -296,6 +303,56 @@ def test_profile(spark):
     assert {r["null_pct"] for r in empty} == {None}
 
 
+def test_profiles_scan_each_source_once(spark, tmp_path):
+    sources = {}
+    for name, df in small_sources(spark).items():
+        df.write.parquet(str(tmp_path / name))
+        sources[name] = spark.read.schema(SOURCES[name]).parquet(str(tmp_path / name))
+    for build in (profile_all_columns, profile_all_tables):
+        plan = build(sources)._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("FileScan") == len(SOURCES)
+        assert "Window" not in plan and "SinglePartition" not in plan
+    tables = {r["table_name"]: r for r in profile_all_tables(sources).collect()}
+    assert {n: r["row_count"] for n, r in tables.items()} == {n: int(n != "geolocation") for n in SOURCES}
+    assert {n: r["column_count"] for n, r in tables.items()} == {n: len(s) for n, s in SOURCES.items()}
+
+
+def test_profile_bounds_of_every_kind(spark):
+    df = spark.sql(
+        """SELECT * FROM VALUES
+           (-2, 1.5D, 10.25BD, DATE'2018-01-02', TIMESTAMP_NTZ'2018-01-02 03:04:05.678', 9L, 'b', NULL, 1e20BD, 1.1F, TIMESTAMP'2020-01-01 00:00:01'),
+           (10, -0.5D, 9.75BD, DATE'0999-12-31', TIMESTAMP_NTZ'2018-01-02 03:04:05.679', NULL, 'a', NULL, 99BD, 2.2F, NULL),
+           (NULL, NULL, NULL, NULL, NULL, -9L, NULL, NULL, NULL, NULL, NULL)
+           AS t(i, d, m, day, at, l, s, nothing, wide, f, moment)"""
+    ).withColumn("nothing", F.col("nothing").cast("int"))
+    rows = {r["column_name"]: (r["null_count"], r["distinct_count"], r["min_value"], r["max_value"]) for r in profile_columns("t", df).collect()}
+    assert rows == {
+        "i": (1, 2, "-2", "10"),
+        "d": (1, 2, "-0.5", "1.5"),
+        "m": (1, 2, "9.75", "10.25"),
+        "day": (1, 2, "0999-12-31", "2018-01-02"),
+        "at": (1, 2, "2018-01-02 03:04:05", "2018-01-02 03:04:05"),
+        "l": (1, 2, "-9", "9"),
+        "s": (1, 2, "-", "-"),
+        "nothing": (3, 0, None, None),
+        "wide": (1, 2, "99", "100000000000000000000"),
+        "f": (1, 2, "1.1", "2.2"),
+        "moment": (2, 1, "2020-01-01 00:00:01", "2020-01-01 00:00:01"),
+    }
+
+
+def test_rows_that_differ_in_the_place_of_a_null_are_no_copies(spark):
+    df = spark.createDataFrame([("a", None), (None, "a"), ("a", None), (None, None)], "x string, y string")
+    assert tuple(profile_table("t", df).first()) == ("t", 4, 2, 1, 2)
+
+
+def test_short_decimals_are_counted_exactly(spark):
+    texts = ["-9999999999999.99", "9999999999999.99", "9999999999999.98", "0.01", "-0.01", "0.07", "1.15", "4.35"]
+    df = spark.createDataFrame([(Decimal(t),) for t in texts], "m decimal(15,2)")
+    row = profile_columns("t", df).first()
+    assert (row["distinct_count"], row["min_value"], row["max_value"]) == (8, texts[0], texts[1])
+
+
 def test_table_definitions(spark):
     for name in STAGING | WAREHOUSE:
         spark.sql(create_table_ddl(name, f"made_{name}"))
