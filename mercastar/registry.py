@@ -28,10 +28,10 @@ from mercastar.plans import quality, star
 from mercastar.plans.reports import REPORTS
 from mercastar.plans.staging import STAGED_SOURCES, build_staging, load_staging
 from mercastar.plans.warehouse import Warehouse, load_warehouse
-from mercastar.schemas import AUDIT_COLUMN, WAREHOUSE
+from mercastar.schemas import AUDIT_COLUMN, SOURCES, WAREHOUSE
 from mercastar.sources import testdata
 from mercastar.sources.csv_files import read_csv, read_source
-from mercastar.sources.sinks import row_counts
+from mercastar.sources.sinks import described, fill_tables, row_counts
 from mercastar.storage import durable, workspace
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -134,6 +134,30 @@ def _load_warehouse(spark: SparkSession, folder: str) -> DataFrame:
     return row_counts(loaded.load())
 
 
+def _in_catalog(spark: SparkSession, folder: str, tables: Mapping[str, DataFrame]) -> DataFrame:
+    """Tables made by their DDL and filled, as the catalog describes them."""
+    place = f"{_place(spark, folder)}/catalog"
+    prefix = f"made_{hashlib.md5(folder.encode()).hexdigest()}_"
+    return described(fill_tables(spark, tables, place, prefix))
+
+
+def _create_staging(spark: SparkSession, folder: str) -> DataFrame:
+    return _in_catalog(spark, folder, build_staging(opened(spark, folder).sources))
+
+
+def _create_warehouse(spark: SparkSession, folder: str) -> DataFrame:
+    here = warehouse(spark, folder)
+    return _in_catalog(spark, folder, {name: here.table(name) for name in WAREHOUSE})
+
+
+def _warnings(spark: SparkSession, folder: str) -> DataFrame:
+    """Warnings about the sources when no order has the asked status, so that orders are empty."""
+    sources = dict(opened(spark, folder).sources.items())
+    sources["orders"] = sources["orders"].where("order_status = 'lost'")
+    found = [(text,) for text in profiling.validate_all(sources)]  # a few for each source
+    return spark.createDataFrame(found, "warning string")
+
+
 def _table_row_counts(spark: SparkSession, folder: str) -> DataFrame:
     return row_counts(warehouse(spark, folder).load())
 
@@ -182,11 +206,15 @@ def _write_csv(df: DataFrame, place: str) -> None:
         )
 
 
-def _csv_orders(spark: SparkSession, folder: str) -> DataFrame:
-    """Orders written to CSV files with differing headers and read again."""
-    place = f"{_place(spark, folder)}/csv_orders"
-    _write_csv(opened(spark, folder).sources["orders"], place)
-    return read_source(spark, f"{place}/*/*.csv", "orders")
+def _csv_source(key: str) -> Query:
+    """A source written to CSV files with differing headers and read again."""
+
+    def query(spark: SparkSession, folder: str) -> DataFrame:
+        place = f"{_place(spark, folder)}/csv_{key}"
+        _write_csv(opened(spark, folder).sources[key], place)
+        return read_source(spark, f"{place}/*/*.csv", key)
+
+    return query
 
 
 def _csv_documents(spark: SparkSession, folder: str) -> DataFrame:
@@ -270,11 +298,13 @@ def _plain() -> dict[str, Query]:
         "title_case": _title_case,
         "sample_hash": _sample,
         "state_table": _state_table,
-        "csv_orders": _csv_orders,
         "csv_documents": _csv_documents,
         "global_ntile": _balance_tiles,
         "load_staging": _load_staging,
         "load_warehouse": _load_warehouse,
+        "create_staging": _create_staging,
+        "create_warehouse": _create_warehouse,
+        "validate_warnings": _warnings,
         "table_row_counts": _table_row_counts,
         "star_schema_summary": _star_summary,
         "fact_summary": _fact_summary,
@@ -295,6 +325,7 @@ def _plain() -> dict[str, Query]:
         "dq_report": _quality_report,
         "dq_verdict": _quality_verdict,
     }
+    out |= {f"csv_{key}": _csv_source(key) for key in SOURCES}
     out |= {name: _report(name) for name in REPORTS}
     return out
 

@@ -149,8 +149,14 @@ def conform(df: DataFrame, schema: StructType) -> DataFrame:
     )
 
 
-def create_table_ddl(table: str, name: str | None = None) -> str:
-    """`CREATE TABLE` text for a staging or warehouse table, stored as Parquet."""
+def create_table_ddl(table: str, name: str | None = None, location: str | None = None) -> str:
+    """`CREATE TABLE` text for a staging or warehouse table, stored as Parquet.
+
+    With a location its files lie there and outlive the table; a quote in it is refused.
+    """
     schema = (STAGING | WAREHOUSE)[table]
     columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in schema)
-    return f"CREATE TABLE IF NOT EXISTS {name or table} ({columns}) USING parquet"
+    if location is not None and ("'" in location or "\\" in location):
+        raise ValueError(f"no location for a table: {location}")
+    place = f" LOCATION '{location}'" if location is not None else ""
+    return f"CREATE TABLE IF NOT EXISTS {name or table} ({columns}) USING parquet{place}"

@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from mercastar.schemas import create_table_ddl
+
 JDBC_BATCH = 5000
 
 
@@ -47,6 +52,46 @@ def write_jdbc(df: DataFrame, url: str, table: str, **options: str) -> None:
     )
 
 
+def fill_tables(
+    spark: SparkSession, tables: Mapping[str, DataFrame], folder: str, prefix: str = ""
+) -> dict[str, DataFrame]:
+    """Create staging or warehouse tables by their DDL, files below `folder`, and fill them.
+
+    Tables of those names are replaced in the catalog, and their rows by the new ones.
+    Returns them as the catalog has them.
+    """
+    for name, df in tables.items():
+        spark.sql(f"DROP TABLE IF EXISTS {prefix}{name}")
+        spark.sql(create_table_ddl(name, f"{prefix}{name}", f"{folder.rstrip('/')}/{name}"))
+        df.write.insertInto(f"{prefix}{name}", overwrite=True)
+    return {name: spark.table(f"{prefix}{name}") for name in tables}
+
+
+def described(tables: Mapping[str, DataFrame]) -> DataFrame:
+    """One row per column of the tables, with its place, type, rows and values that are not NULL.
+
+    A table is scanned once for all of its columns.
+    """
+    parts = []
+    for name, df in tables.items():
+        counts = df.agg(
+            F.count(F.lit(1)).alias("row_count"),
+            F.array(
+                *[
+                    F.struct(
+                        F.lit(place).alias("position"),
+                        F.lit(field.name).alias("column_name"),
+                        F.lit(field.dataType.simpleString()).alias("data_type"),
+                        F.count(F.col(f"`{field.name}`")).alias("value_count"),
+                    )
+                    for place, field in enumerate(df.schema, 1)
+                ]
+            ).alias("columns"),
+        )
+        parts.append(counts.select(F.lit(name).alias("table_name"), "row_count", F.inline("columns")))
+    return reduce(DataFrame.unionByName, parts)
+
+
 def row_counts(tables: dict[str, DataFrame]) -> DataFrame:
     """One row `(table_name, row_count)` per table."""
     counts = None

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from mercastar.fixed_values import MISSING_TOKENS, SAMPLE_FRACTION, SAMPLE_SEED
 from mercastar.sources.testdata import PARAMETERS as P
 from oracles.star_sql import (
     half_up,
@@ -14,6 +13,15 @@ from oracles.star_sql import (
     title,
 )
 
+# Fixed values, written out here so that a wrong one in the library shows.
+MISSING_TOKENS = (
+    "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan",
+    "1.#IND", "1.#QNAN", "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a",
+    "nan", "null",
+)
+SAMPLE_FRACTION = 0.2
+SAMPLE_SEED = 42
+
 DATE_KEY = "CAST(strftime({}, '%Y%m%d') AS BIGINT)"
 
 STAR_TABLES = {
@@ -239,6 +247,25 @@ def _edge(kind: str, least: bool, value: str) -> str:
     return f"CAST({picked} AS VARCHAR)"
 
 
+def _plain(kind: str, value: str) -> str:
+    """A source value as results show it."""
+    if kind == N:
+        return moment(value)
+    if kind == M:
+        return f"({value})::DOUBLE / 100"
+    return f"CAST({value} AS {({T: 'VARCHAR', I: 'BIGINT', D: 'DOUBLE'})[kind]})"
+
+
+CSV_SOURCES = {
+    f"csv_{table}": over_sources(
+        "SELECT "
+        + ", ".join(f"{_plain(kind, value)} AS {name}" for name, kind, value in columns)
+        + f" FROM {source}"
+    )
+    for table, (source, columns) in PROFILED.items()
+}
+
+
 def _profile_columns() -> str:
     parts = [
         f"SELECT '{table}' AS table_name, '{name}' AS column_name, '{kind}' AS dtype, "
@@ -302,6 +329,91 @@ VALIDATION = {
     ),
 }
 
+VALIDATION["validate_warnings"] = over_sources(
+    "SELECT '[orders] EMPTY' AS warning UNION ALL "
+    + " UNION ALL ".join(
+        f"SELECT '[{table}] ' || (count(*) - count(DISTINCT {key})) || "
+        f"' duplicate rows on key {shown}' FROM {source} HAVING count(*) > count(DISTINCT {key})"
+        for table, (source, shown, key) in KEYS.items()
+        if table != "orders"
+    )
+    + " UNION ALL "
+    + " UNION ALL ".join(
+        f"SELECT '[{table}] ' || count(*) || ' {said}' FROM {source} WHERE {wrong} HAVING count(*) > 0"
+        for table, said, source, wrong in (
+            ("order_items", "negative values in price", "s_items", "cents < 0"),
+            ("order_items", "negative values in freight_value", "s_items", "freight_cents < 0"),
+            ("payments", "negative values in payment_value", "s_payments", "pay_cents < 0"),
+            ("reviews", "negative values in review_score", "s_reviews", "score < 0"),
+            ("reviews", "review scores outside 1-5", "s_reviews", "score NOT BETWEEN 1 AND 5"),
+        )
+    )
+)
+
+# Columns of tables as the catalog has them; staging tables end with the moment of the load.
+AUDIT = "_etl_loaded_at timestamp"
+PRODUCT_INTS = (
+    "product_name_lenght int, product_description_lenght int, product_photos_qty int, "
+    "product_weight_g int, product_length_cm int, product_height_cm int, product_width_cm int"
+)
+STAGING_COLUMNS = {
+    f"stg_{own}": ", ".join(f"{name} {kind}" for name, kind, _ in PROFILED[table][1]) + f", {AUDIT}"
+    for own, table in (
+        ("orders", "orders"),
+        ("order_items", "order_items"),
+        ("order_payments", "payments"),
+        ("order_reviews", "reviews"),
+        ("customers", "customers"),
+        ("sellers", "sellers"),
+    )
+} | {
+    "stg_products": "product_id string, product_category_name string, "
+    f"product_category_name_english string, {PRODUCT_INTS}, {AUDIT}",
+    "stg_geolocation": "geolocation_zip_code_prefix string, geolocation_lat decimal(10,6), "
+    f"geolocation_lng decimal(10,6), geolocation_city string, geolocation_state string, {AUDIT}",
+}
+STAR_COLUMNS = {
+    "dim_time": "time_key int, full_date date, year int, quarter int, month int, "
+    "month_name string, week_of_year int, day_of_month int, day_of_week int, day_name string, "
+    "is_weekend boolean",
+    "dim_region": "region_key int, state_code string, state_name string, macro_region string",
+    "dim_customer": "customer_key bigint, customer_id string, customer_unique_id string, "
+    "customer_zip_code_prefix string, customer_city string, customer_state string",
+    "dim_product": "product_key bigint, product_id string, product_category_name string, "
+    "product_category_name_english string, product_weight_g int, product_length_cm int, "
+    "product_height_cm int, product_width_cm int",
+    "dim_seller": "seller_key bigint, seller_id string, seller_zip_code_prefix string, "
+    "seller_city string, seller_state string",
+    "fact_orders": "order_id string, order_item_id int, customer_key bigint, product_key bigint, "
+    "seller_key bigint, purchase_time_key int, delivery_time_key int, customer_region_key int, "
+    "seller_region_key int, price decimal(10,2), freight_value decimal(10,2), "
+    "total_revenue decimal(11,2), payment_value decimal(20,2), payment_installments int, "
+    "review_score int, delivery_days int, estimated_delivery_days int, delay_days int, "
+    "is_on_time boolean, order_status string, payment_type string",
+}
+
+
+def _described(columns: dict[str, str], rows: dict[str, str]) -> str:
+    """One row per column: its place, type, rows and values that are not NULL."""
+    tables = ",\n".join(f"t_{name} AS MATERIALIZED ({rows[name]})" for name in columns)
+    parts = []
+    for name, listed in columns.items():
+        for place, column in enumerate(listed.split(", "), 1):
+            own, kind = column.split(" ")
+            values = "*" if column == AUDIT else own
+            parts.append(
+                f"SELECT '{name}' AS table_name, {place}::BIGINT AS position, "
+                f"'{own}' AS column_name, '{kind}' AS data_type, count(*) AS row_count, "
+                f"count({values}) AS value_count FROM t_{name}"
+            )
+    return f"WITH {tables}\n" + "\nUNION ALL ".join(parts)
+
+
+CREATED = {
+    "create_staging": _described(STAGING_COLUMNS, STAGING_TABLES),
+    "create_warehouse": _described(STAR_COLUMNS, STAR_TABLES),
+}
+
 TABLE_SIZES = {
     "dim_time": "d_time",
     "dim_region": "d_region",
@@ -534,7 +646,6 @@ OPERATORS = {
     "title_case": over_sources(
         f"SELECT DISTINCT city AS customer_city, {title('city')} AS clean_city FROM s_customers"
     ),
-    "csv_orders": STAGING_TABLES["stg_orders"],
     "csv_documents": f"""
         SELECT doc_id, CASE WHEN text NOT IN ({_TOKENS}) THEN text END AS text,
                CASE WHEN lang NOT IN ({_TOKENS}) THEN lang END AS lang,
@@ -575,4 +686,4 @@ OPERATORS = {
     "profile_tables": _profile_tables(),
 }
 
-TABLES = STAR_TABLES | STAGING_TABLES | VALIDATION | QUALITY | OPERATORS
+TABLES = STAR_TABLES | STAGING_TABLES | CSV_SOURCES | CREATED | VALIDATION | QUALITY | OPERATORS

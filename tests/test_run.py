@@ -21,6 +21,7 @@ from mercastar.plans.staging import build_staging
 from mercastar.plans.warehouse import Warehouse
 from mercastar.schemas import SOURCES, STAGING, WAREHOUSE, create_table_ddl
 from mercastar.sources.csv_files import read_source, read_sources
+from mercastar.sources.sinks import described, fill_tables
 from pyspark.sql import functions as F
 
 CSV = {
@@ -360,6 +361,32 @@ def test_table_definitions(spark):
         assert made.columns == (STAGING | WAREHOUSE)[name].names
 
 
+def test_tables_are_filled_anew_and_described(spark, tmp_path):
+    place = str(tmp_path / "catalog")
+    first = build_staging(small_sources(spark))
+    fill_tables(spark, first, place, "filled_")
+    second = build_staging(small_sources(spark, orders=[order(1), order(2, order_status=None)]))
+    tables = fill_tables(spark, second, place, "filled_")
+    assert list(tables) == list(STAGING)
+    rows = {(r["table_name"], r["column_name"]): r for r in described(tables).collect()}
+    assert len(rows) == sum(len(schema) for schema in STAGING.values())
+    status = rows["stg_orders", "order_status"]
+    assert (status["position"], status["data_type"]) == (3, "string")
+    assert (status["row_count"], status["value_count"]) == (2, 1)
+    audit = rows["stg_orders", "_etl_loaded_at"]
+    assert (audit["row_count"], audit["value_count"]) == (2, 2)
+    nothing = rows["stg_geolocation", "geolocation_lat"]
+    assert (nothing["data_type"], nothing["row_count"], nothing["value_count"]) == ("decimal(10,6)", 0, 0)
+
+
+def test_locations_of_tables(spark, tmp_path):
+    assert "LOCATION" not in create_table_ddl("dim_time")
+    assert create_table_ddl("dim_region", "r", "/a b").endswith("USING parquet LOCATION '/a b'")
+    for wrong in ("/it's", "/back\\slash"):
+        with pytest.raises(ValueError, match="no location"):
+            create_table_ddl("dim_time", location=wrong)
+
+
 def test_bucketed_tables_join_without_a_shuffle(spark):
     spark.sql("CREATE DATABASE IF NOT EXISTS shop")
     Warehouse(small_sources(spark)).save_to_catalog("shop", 4)
