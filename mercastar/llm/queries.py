@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from mercastar.llm import chat, decontamination, jaccard, language, licenses, mixing, neighbours, prefix_trie, pseudonyms, repeats, sharding, token_counts, vector_codes
 from mercastar.llm.columns import utf8_size
-from mercastar.storage import shared_folder
+from mercastar.storage import workspace
 
 
 NEAREST = 20
@@ -139,9 +139,13 @@ def op6_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op10_token_counts(spark: SparkSession, folder: str) -> DataFrame:
-    """Token counts of all documents, through a cache that starts empty."""
+    """Token counts of all documents, through a cache that starts empty.
+
+    A cache that outlived the call would have the next one encode nothing, so figures of
+    repeated calls would tell nothing about the work on new texts. `storage.release` deletes it.
+    """
     docs = table(spark, folder, "documents").select("doc_id", "text")
-    place = f"{shared_folder(spark)}/mercastar/token_counts/{uuid.uuid4().hex}"
+    place = f"{workspace(spark)}/token_counts/{uuid.uuid4().hex}"
     counted = token_counts.count_tokens(docs, token_counts.CountCache(spark, place))
     return counted.select("doc_id", "n_bytes", "n_tokens", "over_limit")
 
