@@ -13,8 +13,14 @@ from pyspark.sql import functions as F
 from mercastar.llm.columns import quoted
 from mercastar.storage import durable
 
+# A shard holds the rows / SPREAD, within these bounds. Every shard is asked every query, so
+# shards must not be many: they grow with the table, up to what one task builds in minutes.
 SHARD_VECTORS = 4096
+MOST_VECTORS = 65536
+SPREAD = 64
+# A graph goes to each block of queries, so blocks grow with the queries in the same way.
 BLOCK_QUERIES = 2048
+MOST_QUERIES = 16384
 DEGREE = 32
 BUILD_BEAM = 64
 SEARCH_BEAM = 128
@@ -228,8 +234,17 @@ def usable(df: DataFrame, key: str = "vec_id", embedding: str = "embedding") ->
     ).withColumn("dim", F.size("embedding"))
 
 
+def _share(rows: int, least: int, most: int) -> int:
+    """Rows of one shard or block: a fixed share of all, within bounds."""
+    return max(least, min(most, rows // SPREAD))
+
+
 def build_index(vectors: DataFrame, k: int) -> DataFrame:
-    """Index every usable vector: one row for each shard of about SHARD_VECTORS vectors.
+    """Index every usable vector: one row for each shard.
+
+    Shards hold a 64th of the vectors of their length, 4,096 at least and 65,536 at most, and
+    each is built by a task of its own. An empty table gives an empty index. Only the columns
+    that `usable` makes are read, so no other column can clash.
 
     Equal vectors become one node that lists its k + 1 least ids: enough to answer
     any query, since ties go to smaller ids. The window that finds them keeps k + 1
@@ -241,14 +256,16 @@ def build_index(vectors: DataFrame, k: int) -> DataFrame:
     nodes = durable(
         rows.groupBy("dim", "embedding").agg(F.sort_array(F.collect_list("vec_id")).alias("ids"))
     )
-    sizes = nodes.groupBy("dim").agg(
-        F.greatest(F.lit(1), F.ceil(F.count(F.lit(1)) / SHARD_VECTORS)).cast("int").alias("shards")
-    )
+    rows = F.count(F.lit(1))
+    held = F.greatest(F.lit(SHARD_VECTORS), F.least(F.lit(MOST_VECTORS), F.floor(rows / SPREAD)))
+    sizes = durable(nodes.groupBy("dim").agg(F.ceil(rows / held).cast("int").alias("shards")))
     dealt = nodes.join(sizes, "dim").withColumn(
         "shard", F.pmod(F.xxhash64("embedding"), F.col("shards")).cast("int")
     )
-    graphs = dealt.select("dim", "shard", "embedding", "ids").groupBy("dim", "shard")
-    return durable(graphs.applyInArrow(_build, INDEX_SCHEMA))
+    # Shards are small and costly: partitions merged by their size would build one after another.
+    shards = sizes.agg(F.sum("shards")).first()[0] or 1
+    graphs = dealt.select("dim", "shard", "embedding", "ids").repartition(2 * shards, "dim", "shard")
+    return durable(graphs.groupBy("dim", "shard").applyInArrow(_build, INDEX_SCHEMA))
 
 
 def search(index: DataFrame, queries: DataFrame, k: int, beam: int = SEARCH_BEAM) -> DataFrame:
@@ -257,12 +274,13 @@ def search(index: DataFrame, queries: DataFrame, k: int, beam: int = SEARCH_BEAM
     `queries` are usable vectors; of several with one id the least counts. Blocks of queries are searched in every shard of
     their dimension; a shard hands on at most k results of a query. Returns
     `query_id, rank, vec_id, score`, nearest first, ties to smaller ids; the query's
-    own id is no result.
+    own id is no result. No queries, an empty index or no indexed vector of the query's
+    length give no rows. Columns of `queries` beside `vec_id` and `embedding` are not read.
     """
     queries = queries.groupBy("vec_id").agg(F.min("embedding").alias("embedding"))
     queries = queries.withColumn("dim", F.size("embedding"))
     count = queries.count()
-    blocks = max(1, math.ceil(count / BLOCK_QUERIES))
+    blocks = max(1, math.ceil(count / _share(count, BLOCK_QUERIES, MOST_QUERIES)))
     asked = queries.select(
         F.col("vec_id").alias("query_id"),
         "embedding",
