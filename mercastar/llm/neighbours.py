@@ -262,9 +262,11 @@ def build_index(vectors: DataFrame, k: int) -> DataFrame:
     dealt = nodes.join(sizes, "dim").withColumn(
         "shard", F.pmod(F.xxhash64("embedding"), F.col("shards")).cast("int")
     )
-    # Shards are small and costly: partitions merged by their size would build one after another.
+    # Shards are small and costly. Partitions merged by their size would build them one after
+    # another, and so would hashes of few keys that meet; ranges of the keys give each its own.
     shards = sizes.agg(F.sum("shards")).first()[0] or 1
-    graphs = dealt.select("dim", "shard", "embedding", "ids").repartition(2 * shards, "dim", "shard")
+    graphs = dealt.select("dim", "shard", "embedding", "ids")
+    graphs = graphs.repartitionByRange(2 * shards, "dim", "shard")
     return durable(graphs.groupBy("dim", "shard").applyInArrow(_build, INDEX_SCHEMA))
 
 
