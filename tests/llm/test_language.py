@@ -41,6 +41,42 @@ def test_families_come_first():
     assert list(names) == list(labels) and (score > 0.5).all()
 
 
+def plain_prediction(model, text):
+    """The family of the greatest margin, then votes of its pairs, from byte trigrams one by one."""
+    raw = [(c | 32 if 65 <= c <= 90 else c) for c in (text or "").encode()]
+    if not any(map(str.isalpha, text or "")):
+        return "und", 0.0
+    raw = [c if 97 <= c <= 122 or c >= 128 else 32 for c in raw]
+    margins = np.array(model.weights[-1], float)
+    shares = [a | b << 8 | c << 16 for a, b, c in zip(raw, raw[1:], raw[2:])]
+    for code in shares:
+        place = (code * 0x1CE4E5B9) % 2**32 >> 20
+        margins = margins + model.weights[place] / len(shares)
+    families = margins[: len(model.families)]
+    family = model.families[int(families.argmax())]
+    sure = 1 / sum(np.exp(2 * (m - families.max())) for m in families)
+    rivals = [x for x in model.languages if L.family_of(x) == family]
+    shares_of = {x: [] for x in rivals}
+    for (a, b), m in zip(model.pairs, margins[len(model.families) :], strict=True):
+        if a in shares_of:
+            p = 1 / (1 + np.exp(-2 * m))
+            shares_of[a].append(p)
+            shares_of[b].append(1 - p)
+    best = max(rivals, key=lambda x: sum((p >= 0.5) + 1e-3 * p for p in shares_of[x]))
+    return best, sure * min([1.0, *shares_of[best]])
+
+
+def test_answers_are_those_of_a_plain_scorer(spark, small):
+    docs = spark.read.parquet(f"{small}/documents.parquet").where("length(text) < 20000")
+    model = L.fit_languages(docs)
+    odd = spark.createDataFrame([(-1, None), (-2, ""), (-3, "a"), (-4, "Ab"), (-5, "ÉÀ é"), (-6, "12 .")], "doc_id bigint, text string")
+    rows = L.identify(docs.select("doc_id", "text").unionAll(odd), model).collect()
+    assert len(rows) > 100
+    for r in rows:
+        name, score = plain_prediction(model, r.text)
+        assert r.lang_pred == name and abs(r.score - score) < 1e-4, r.doc_id
+
+
 def test_unknown_texts(spark, small):
     docs = spark.read.parquet(f"{small}/documents.parquet")
     model = L.fit_languages(docs)

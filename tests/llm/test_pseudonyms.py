@@ -1,7 +1,9 @@
 from __future__ import annotations
 
+import hashlib
+import random
 import re
-from datetime import date
+from datetime import date, timedelta
 
 from mercastar.llm.pseudonyms import PATTERNS, pseudonymize
 
@@ -105,3 +107,103 @@ def test_nulls_empty_long_and_clashing_names(spark, documents):
     assert out[2].text.startswith(long[:120_000]) and out[2].found == ["ip"] and out[2]["_text"] == "old"
     assert pseudonymize(docs.where("doc_id < 0"), "k").collect() == []
     assert pseudonymize(docs.unionAll(docs), "k").count() == 8
+
+
+def feistel(a, sides, b, key, tweak):
+    """Eight rounds that add 60 bits of SHA-256 to one half and the other in turn."""
+    for i in range(8):
+        said = f"{key}|{tweak}|{i}|{b if i % 2 == 0 else a}"
+        noise = int(hashlib.sha256(said.encode()).hexdigest()[:15], 16)
+        if i % 2 == 0:
+            a = (a + noise) % sides[0]
+        else:
+            b = (b + noise) % sides[1]
+    return a, b
+
+
+def digits_permuted(digits, key, kind):
+    n = len(digits)
+    left = n // 2
+    right = n - left
+    a, b = feistel(int(digits[:left]), (10**left, 10**right), int(digits[left:]), key, f"{kind}{n}")
+    return f"{a:0{left}d}{b:0{right}d}"
+
+
+def over(shape, signs, pattern):
+    line = iter(signs)
+    return "".join(next(line) if re.match(pattern, c) else c for c in shape)
+
+
+def plain_card(text, key):
+    d = re.sub(r"\D", "", text)
+    body = d[0] + digits_permuted(d[1:-1], key, "card")
+    return over(text, next(body + str(c) for c in range(10) if luhn(body + str(c))), "[0-9]")
+
+
+def plain_iban(text, key):
+    body = text[4:]
+    digits = iter(digits_permuted(re.sub(r"\D", "", body), key, "iban"))
+    body = "".join(next(digits) if c.isdigit() else c for c in body)
+    return text[:2] + f"{98 - mod97(text[:2] + '00' + body):02d}" + body
+
+
+def plain_phone(text, key):
+    d = re.sub(r"\D", "", text)
+    lead, area, exchange, last = d[:-10], int(d[-10:-7]), int(d[-7:-4]), int(d[-4:])
+    (low_a, size_a), (low_b, size_b) = ((200, 800) if x >= 200 else (0, 200) for x in (area, exchange))
+    a, b = feistel(area - low_a, (size_a, size_b * 10_000), (exchange - low_b) * 10_000 + last, key, "phone")
+    return over(text, f"{lead}{a + low_a:03d}{b // 10_000 + low_b:03d}{b % 10_000:04d}", "[0-9]")
+
+
+AREAS = [n for n in range(1, 900) if n != 666]
+
+
+def plain_ssn(text, key):
+    area, group, serial = map(int, text.split("-"))
+    a, b = feistel(AREAS.index(area), (898, 99 * 9999), (group - 1) * 9999 + serial - 1, key, "ssn")
+    return f"{AREAS[a]:03d}-{b // 9999 + 1:02d}-{b % 9999 + 1:04d}"
+
+
+def plain_ip(text, key):
+    w, x, y, z = map(int, text.split("."))
+    a, b = feistel(w * 256 + x, (65536, 65536), y * 256 + z, key, "ip")
+    return ".".join(map(str, (*divmod(a, 256), *divmod(b, 256))))
+
+
+def plain_date(text, key):
+    start, place = date(1900, 1, 1), None
+    while place is None or place >= (date(2099, 12, 31) - start).days + 1:
+        a = (date.fromisoformat(text) - start).days if place is None else place
+        high, low = feistel(a // 271, (270, 271), a % 271, key, "date")
+        place = high * 271 + low
+    return (start + timedelta(days=place)).isoformat()
+
+
+def test_values_are_those_of_a_plain_network(spark, documents):
+    rng = random.Random(11)
+
+    def digits(n):
+        return "".join(rng.choice("0123456789") for _ in range(n))
+
+    def card():
+        body = rng.choice("3456") + digits(rng.randint(11, 17))
+        return next(body + str(c) for c in range(10) if luhn(body + str(c)))
+
+    def iban():
+        country, body = rng.choice([("DE", digits(18)), ("GB", "WEST" + digits(14)), ("NO", digits(11))])
+        return country + f"{98 - mod97(country + '00' + body):02d}" + body
+
+    made = {
+        "card": (card, plain_card),
+        "iban": (iban, plain_iban),
+        "phone": (lambda: f"+1 ({digits(3)}) {digits(3)}-{digits(4)}", plain_phone),
+        "ssn": (lambda: f"{rng.choice(AREAS):03d}-{rng.randint(1, 99):02d}-{rng.randint(1, 9999):04d}", plain_ssn),
+        "ip": (lambda: ".".join(str(rng.randint(0, 255)) for _ in range(4)), plain_ip),
+        "date": (lambda: (date(1900, 1, 1) + timedelta(days=rng.randrange(73049))).isoformat(), plain_date),
+    }
+    for kind, (make, plain) in made.items():
+        values = sorted({make() for _ in range(200)})
+        out = run(documents, *[f"it is {v} here" for v in values], key="secret")
+        assert [found for _, found in out] == [[kind]] * len(values), kind
+        assert [text for text, _ in out] == [f"it is {plain(v, 'secret')} here" for v in values], kind
+        assert len({text for text, _ in out}) == len(values)  # different values stay different

@@ -53,6 +53,26 @@ def test_only_misses_are_encoded_and_kept(spark, documents, tmp_path):
     assert more.count() == 2 and cache.read().count() == 5
 
 
+def test_a_second_call_encodes_nothing(spark, small, tmp_path, monkeypatch):
+    docs = spark.read.parquet(f"{small}/documents.parquet").select("doc_id", "text")
+    cache = T.CountCache(spark, str(tmp_path / "cache"))
+    first = sorted(map(tuple, T.count_tokens(docs, cache).select("doc_id", "n_tokens").collect()))
+    held = cache.read().count()
+    assert held == docs.select(F.coalesce("text", F.lit(""))).distinct().count()
+
+    def refusing(name):
+        def encode(batches):
+            for batch in batches:
+                assert batch.num_rows == 0, "a stored text was encoded"
+                yield batch.select(["digest"])
+
+        return encode
+
+    monkeypatch.setattr(T, "_encoder", refusing)
+    again = sorted(map(tuple, T.count_tokens(docs, cache).select("doc_id", "n_tokens").collect()))
+    assert again == first and cache.read().count() == held
+
+
 def test_stored_counts_are_used_by_version(spark, documents, tmp_path):
     cache = T.CountCache(spark, str(tmp_path / "cache"))
     digest = F.sha2(F.lit("one").cast("binary"), 256).alias("digest")
