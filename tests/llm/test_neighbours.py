@@ -39,6 +39,19 @@ def test_recall_of_several_shards(spark, small, monkeypatch):
     assert hits / (20 * len(asked)) >= 0.9
 
 
+def test_shards_and_blocks_grow_with_the_table(spark, small, monkeypatch):
+    assert [N._share(n, 4096, 16384) for n in (0, 51_282, 640_000, 10**8)] == [4096, 4096, 10_000, 16384]
+    for name, value in (("SHARD_VECTORS", 10), ("MOST_VECTORS", 100), ("SPREAD", 4), ("BLOCK_QUERIES", 7)):
+        monkeypatch.setattr(N, name, value)
+    vectors = N.usable(spark.read.parquet(f"{small}/embeddings.parquet"))
+    index = N.build_index(vectors, 20)
+    n = vectors.select("dim", "embedding").distinct().count()
+    assert index.count() <= -(-n // N._share(n, 10, 100)) and n >= 100
+    assert index.selectExpr("sum(size(ids))").first()[0] == n
+    found = N.search(index, vectors, 3)
+    assert found.count() == 3 * vectors.select("vec_id").distinct().count()
+
+
 def test_lengths_count(spark):
     rng = np.random.default_rng(1)
     rows = [(i, (rng.normal(size=8) * rng.uniform(0.1, 5)).tolist(), None) for i in range(300)]
