@@ -217,12 +217,27 @@ def read_records(spark: SparkSession, files: list[str]) -> DataFrame:
     return records.select(F.regexp_replace("text", r"\r$", "").alias("text"))
 
 
+def _heads(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The first line of each file `(line, path)`, of lines that lie together by file."""
+    now = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        paths = batch.column("path")
+        new = pc.indices_nonzero(pc.not_equal(paths[1:], paths[:-1])).to_pylist()
+        firsts = [0] * (paths[0].as_py() != now) + [i + 1 for i in new]
+        now = paths[-1].as_py()
+        if firsts:
+            yield batch.take(pa.array(firsts)).rename_columns(["line", "path"])
+
+
 def first_lines(spark: SparkSession, path: str) -> dict[str, list[str]]:
     """The files of a path, folder or pattern by their first line, found by tasks.
 
     The driver lists the files and gets their distinct first lines with their names; it
     opens none. Lines are scanned as text, which takes a fraction of what parsing them
-    takes; only those of the first block of a file are compared. Empty files have no
+    takes; of the first block of a file, only the line that comes first goes on. Files are
+    scanned in their order, so no task holds or sorts lines for it. Empty files have no
     first line.
     """
     try:
@@ -235,9 +250,9 @@ def first_lines(spark: SparkSession, path: str) -> dict[str, list[str]]:
         F.substring("value", 1, LONGEST_HEADER).alias("value"),
         F.col("_metadata.file_path").alias("path"),
         F.col("_metadata.file_block_start").alias("block"),
-        F.monotonically_increasing_id().alias("place"),
     )
-    heads = told.where("block = 0").groupBy("path").agg(F.min_by("value", "place").alias("line"))
+    find_package(spark)
+    heads = told.where("block = 0").select("value", "path").mapInArrow(_heads, "line string, path string")
     found = heads.groupBy("line").agg(F.array_sort(F.collect_list("path")).alias("paths")).collect()
     return {r["line"]: [_decoded(spark, p) for p in r["paths"]] for r in found}
 

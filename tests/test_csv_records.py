@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import random
 
+import pyarrow as pa
 import pytest
 from pyspark.sql.types import StringType, StructField, StructType
 
@@ -131,6 +132,16 @@ def test_headers_of_files_of_many_blocks(spark, tmp_path):
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
 
 
+def test_first_lines_are_taken_without_a_sort():
+    def batch(*rows):
+        lines, paths = zip(*rows) if rows else ((), ())
+        return pa.RecordBatch.from_arrays([pa.array(lines, pa.string()), pa.array(paths, pa.string())], ["value", "path"])
+
+    batches = [batch(), batch(("a", "f"), ("b", "f"), ("", "g")), batch(("c", "g"), ("d", "h")), batch(("e", "h")), batch(("i", "k"))]
+    got = [(r["line"], r["path"]) for b in csv_records._heads(iter(batches)) for r in b.to_pylist()]
+    assert got == [("a", "f"), ("", "g"), ("d", "h"), ("i", "k")]
+
+
 def test_states_of_lines():
     after = csv_records.inside_after
     assert [after(x, False) for x in ("", "a,b", 'a,"b', '"a""b"', '"a"",b', 'a"b', '"a"x,"b', '"a"x"b')] == [
