@@ -47,10 +47,11 @@ def _as_text(value: F.Column, kind: DataType) -> F.Column:
     return value.cast("string")
 
 
-WHOLE_ROW = -1  # the position of a row as a whole
 BOUNDED = (NumericType, DateType, TimestampType, TimestampNTZType)
 # A value is held in one of these; the others are NULL, and all are for a NULL.
 HOLDERS = {"num": "bigint", "real": "double", "at": "timestamp_ntz", "text": "string"}
+# Fields whose NULLs are told by the bits of one whole number.
+WORD_BITS = 63
 # Decimals of so few digits are whole multiples of their last digit, exactly, as doubles.
 SHORT_DECIMAL = 15
 
@@ -80,38 +81,27 @@ def _given_back(held: F.Column, kind: DataType) -> F.Column:
     return held.cast(kind)
 
 
-def _whole(df: DataFrame) -> dict[str, F.Column]:
-    """Two 64-bit digests of a row; which fields are NULL is part of them."""
-    holes = F.concat(F.lit(""), *[F.col(c).isNull().cast("int").cast("string") for c in df.columns])
-    first, second = (F.xxhash64(F.lit(seed), holes, *df.columns) for seed in (1, 2))
-    return {"num": first, "text": F.hex(second)}
-
-
 def _values(number: int, df: DataFrame) -> DataFrame:
-    """One row `(source, position, holders)` for each field of each row, and one for the row."""
+    """One row `(source, position, holders)` for each field of each row."""
 
     def entry(position: int, held: dict[str, F.Column]) -> F.Column:
         holders = [held.get(h, F.lit(None)).cast(kind).alias(h) for h, kind in HOLDERS.items()]
         return F.struct(F.lit(position).alias("position"), *holders)
 
     fields = [entry(i, dict([_held(F.col(f.name), f.dataType)])) for i, f in enumerate(df.schema)]
-    entries = F.array(entry(WHOLE_ROW, _whole(df)), *fields)
-    return df.select(F.lit(number).alias("source"), F.inline(entries))
+    return df.select(F.lit(number).alias("source"), F.inline(F.array(*fields)))
 
 
 def profile_facts(sources: Mapping[str, DataFrame]) -> DataFrame:
-    """What both profiles are made of, from one scan of each source.
-
-    One row per column, and one per table with position -1: rows, nulls, distinct values,
-    rows beyond the first of a value, least and greatest value. Values are counted as
-    (source, position, value), which collapses frequent ones before the only shuffle of
-    them and spreads all columns of all tables over all tasks. Of long texts, and of rows
-    as a whole, only digests of 128 bits move. The result has one row for each column, so
-    it may well be stored for both.
+    """What the profile of columns is made of, from one scan of each source.
+
+    One row per column: rows, nulls, distinct values, least and greatest value. Values are
+    counted as (source, position, value), which collapses frequent ones before the only
+    shuffle of them and spreads all columns of all tables over all tasks. Of long texts
+    only digests of 128 bits move.
     """
     metadata, places = [], {}
     for number, (name, df) in enumerate(sources.items()):
-        metadata.append((number, WHOLE_ROW, name, None, None))
         for i, field in enumerate(df.schema):
             dtype = field.dataType.simpleString()
             metadata.append((number, i, name, field.name, dtype))
@@ -135,7 +125,6 @@ def profile_facts(sources: Mapping[str, DataFrame]) -> DataFrame:
         F.sum("n").alias("rows"),
         F.sum(F.when(present, 0).otherwise(F.col("n"))).alias("nulls"),
         F.count_if(present).alias("distinct_count"),
-        F.sum(F.col("n") - 1).alias("copies"),
         *bounds,
     )
     zero = F.lit(0).cast("bigint")
@@ -148,7 +137,7 @@ def profile_facts(sources: Mapping[str, DataFrame]) -> DataFrame:
         "table_name",
         "column_name",
         "dtype",
-        *[F.coalesce(c, zero).alias(c) for c in ("rows", "nulls", "distinct_count", "copies")],
+        *[F.coalesce(c, zero).alias(c) for c in ("rows", "nulls", "distinct_count")],
         *[F.coalesce(*texts, F.lit(NO_VALUE)).alias(f"{end}_value") for end, texts in shown.items()],
         F.col("dtype").isin(*places).alias("bounded"),
     )
@@ -162,7 +151,7 @@ def profile_all_columns(sources: Mapping[str, DataFrame], facts: DataFrame | Non
     """
     facts = profile_facts(sources) if facts is None else facts
     nothing = F.when(F.col("bounded") & (F.col("distinct_count") == 0), F.lit(None))
-    return facts.where(F.col("position") != WHOLE_ROW).select(
+    return facts.select(
         "table_name",
         "column_name",
         "dtype",
@@ -174,16 +163,55 @@ def profile_all_columns(sources: Mapping[str, DataFrame], facts: DataFrame | Non
     )
 
 
-def profile_all_tables(sources: Mapping[str, DataFrame], facts: DataFrame | None = None) -> DataFrame:
-    """One row per table: rows, columns, full-row duplicates, columns that hold nulls."""
-    facts = profile_facts(sources) if facts is None else facts
-    whole = F.col("position") == WHOLE_ROW
-    return facts.groupBy("source", "table_name").agg(
-        F.max(F.when(whole, F.col("rows"))).alias("row_count"),
-        F.count_if(~whole).alias("column_count"),
-        F.max(F.when(whole, F.col("copies"))).alias("duplicate_count"),
-        F.count_if(~whole & (F.col("nulls") > 0)).alias("null_columns"),
-    ).drop("source")
+def _holes(df: DataFrame, words: int) -> list[F.Column]:
+    """Which fields of a row are NULL, as bits of whole numbers."""
+    bits = [F.col(f"`{c}`").isNull().cast("bigint") for c in df.columns]
+    parts = [bits[i * WORD_BITS : (i + 1) * WORD_BITS] for i in range(words)]
+    return [
+        reduce(lambda a, b: a.bitwiseOR(b), [F.shiftleft(bit, k) for k, bit in enumerate(part)], F.lit(0).cast("bigint"))
+        for part in parts
+    ]
+
+
+def profile_all_tables(sources: Mapping[str, DataFrame]) -> DataFrame:
+    """One row per table: rows, columns, full-row duplicates, columns that hold nulls.
+
+    A row counts as two 64-bit digests, with the bits that tell which of its fields are
+    NULL; these are all that moves of it, once. Values of single columns are not counted,
+    which takes as many entries as a row has fields.
+    """
+    words = max(-(-len(df.columns) // WORD_BITS) for df in sources.values())
+    holes = [f"holes_{i}" for i in range(words)]
+
+    def rows(number: int, df: DataFrame) -> DataFrame:
+        told = _holes(df, words)
+        fields = [F.col(f"`{c}`") for c in df.columns]
+        digests = [F.xxhash64(F.lit(seed), *told, *fields).alias(f"digest_{seed}") for seed in (1, 2)]
+        return df.select(
+            F.lit(number).alias("source"), *digests, *[t.alias(h) for t, h in zip(told, holes, strict=True)]
+        )
+
+    digested = _stack([rows(number, df) for number, df in enumerate(sources.values())])
+    counted = digested.groupBy("source", "digest_1", "digest_2").agg(
+        F.count(F.lit(1)).alias("n"), *[F.bit_or(h).alias(h) for h in holes]
+    )
+    facts = counted.groupBy("source").agg(
+        F.sum("n").alias("rows"),
+        F.sum(F.col("n") - 1).alias("copies"),
+        *[F.bit_or(h).alias(h) for h in holes],
+    )
+    nulls = reduce(lambda a, b: a + b, [F.bit_count(h) for h in holes]).cast("bigint")
+    zero = F.lit(0).cast("bigint")
+    metadata = [(number, name, len(df.columns)) for number, (name, df) in enumerate(sources.items())]
+    # Empty tables meet nothing.
+    described = digested.sparkSession.createDataFrame(metadata, "source int, table_name string, column_count bigint")
+    return described.join(facts, "source", "left").select(
+        "table_name",
+        F.coalesce("rows", zero).alias("row_count"),
+        "column_count",
+        F.coalesce("copies", zero).alias("duplicate_count"),
+        F.coalesce(nulls, zero).alias("null_columns"),
+    )
 
 
 def profile_columns(name: str, df: DataFrame) -> DataFrame:

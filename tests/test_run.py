@@ -318,6 +318,14 @@ def test_profiles_scan_each_source_once(spark, tmp_path):
     assert {n: r["column_count"] for n, r in tables.items()} == {n: len(s) for n, s in SOURCES.items()}
 
 
+def test_profile_of_tables_moves_one_entry_a_row(spark):
+    many = spark.range(3).selectExpr(*[f"IF(id = {i % 3} AND {i} > 60, NULL, 1) AS c{i}" for i in range(70)])
+    assert tuple(profile_table("t", many.union(many)).first()) == ("t", 6, 70, 3, 9)
+    assert tuple(profile_table("t", many.where("id < 0")).first()) == ("t", 0, 70, 0, 0)
+    plan = profile_all_tables({"t": many})._jdf.queryExecution().executedPlan().toString()
+    assert "Generate" not in plan
+
+
 def test_profile_bounds_of_every_kind(spark):
     df = spark.sql(
         """SELECT * FROM VALUES
