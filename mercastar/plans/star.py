@@ -21,6 +21,10 @@ CALENDAR_SOURCES = (
     "order_estimated_delivery_date",
 )
 
+# Payment types that are told by their number, with 0 for none, in so many bits.
+TYPE_BITS = 6
+MOST_TYPES = (1 << TYPE_BITS) - 1
+
 
 def dim_time(orders: DataFrame) -> DataFrame:
     """One row per day from the first to the last date of the orders."""
@@ -86,22 +90,40 @@ def dim_seller(sellers: DataFrame) -> DataFrame:
 
 
 def payments_per_order(payments: DataFrame) -> DataFrame:
-    """Sum of values, type of the first payment that names one, most installments."""
-    named = F.when(
-        F.col("payment_type").isNotNull(), F.struct("payment_sequential", "payment_type")
-    )
+    """Sum of values, type of the first payment that names one, most installments.
+
+    The first type is found as a whole number: place in the order, then place of the type
+    among all types. Numbers are hash-aggregated where they are read; a least struct with
+    a text would have every task sort all of its payments before the shuffle. Beyond
+    MOST_TYPES types, which are listed by a scan of their own, the struct is taken.
+    """
+    kind, place = F.col("payment_type"), F.col("payment_sequential")
+    listed = payments.where(kind.isNotNull()).select(kind).distinct().limit(MOST_TYPES + 1).collect()
+    types = sorted((r["payment_type"] for r in listed), key=str.encode)
+    if len(types) > MOST_TYPES:
+        first = F.min(F.when(kind.isNotNull(), F.struct(place, kind)))["payment_type"]
+    else:
+        names = F.array(*[F.lit(t) for t in types]).cast("array<string>")
+        # A payment without a place comes before all others.
+        rank = F.coalesce(place.cast("bigint"), F.lit(-(1 << 31) - 1)) * F.lit(1 << TYPE_BITS)
+        code = F.min(F.when(kind.isNotNull(), rank + F.array_position(names, kind)))
+        first = F.get(names, code.bitwiseAND(F.lit((1 << TYPE_BITS) - 1)).cast("int") - 1)
     return payments.groupBy("order_id").agg(
         F.coalesce(F.sum("payment_value"), F.lit(0)).alias("payment_value"),
-        F.min(named)["payment_type"].alias("payment_type"),
+        first.alias("payment_type"),
         F.max("payment_installments").alias("payment_installments"),
     )
 
 
 def review_per_order(reviews: DataFrame) -> DataFrame:
-    """Score of the order's first review by id, even where that score is NULL."""
-    first = first_per_key(
-        reviews.select("order_id", "review_id", "review_score"), ["order_id"], ["review_id"]
-    )
+    """Score of the order's first review by id, even where that score is NULL.
+
+    Reviews are dealt by order first, since few orders have two: to collapse them before
+    the shuffle, every task would sort all reviews that it reads. Reviews of no order
+    meet none.
+    """
+    dealt = reviews.select("order_id", "review_id", "review_score").where("order_id IS NOT NULL")
+    first = first_per_key(dealt.repartition("order_id"), ["order_id"], ["review_id"])
     return first.select("order_id", "review_score")
 
 
@@ -115,7 +137,8 @@ def order_headers(
     """Everything the fact takes per order, so that items meet one narrow table.
 
     Orders without a known customer or customer region cannot become facts and
-    end here.
+    end first. What follows is joined by order, so orders move once by customer and once
+    by order.
     """
     bought = F.col("order_purchase_timestamp")
     arrived = F.col("order_delivered_customer_date")
@@ -137,10 +160,10 @@ def order_headers(
         "customer_id", "customer_key", F.col("region_key").alias("customer_region_key")
     )
     return (
-        dated.join(payments_per_order(payments), "order_id", "left")
-        .join(review_per_order(reviews), "order_id", "left")
-        .join(home, "customer_id")
+        dated.join(home, "customer_id")
         .drop("customer_id")
+        .join(payments_per_order(payments), "order_id", "left")
+        .join(review_per_order(reviews), "order_id", "left")
     )
 
 
@@ -156,7 +179,8 @@ def fact_orders(
     The required keys are inner joins, so rows that would lack one never move on.
     Every join has its own key with unique rows on the dimension side. No side is
     forced to broadcast: the planner does so below its size threshold, and
-    otherwise the adaptive skew join splits a hot order, product or seller.
+    otherwise the adaptive skew join splits a hot product or seller. Items meet products
+    and sellers while they are narrow, and take the wide values of their order last.
     """
     headers = order_headers(
         sources["orders"], sources["payments"], sources["reviews"], customer, region
@@ -168,9 +192,11 @@ def fact_orders(
     rows = (
         sources["order_items"]
         .select("order_id", "order_item_id", "product_id", "seller_id", "price", "freight_value")
-        .join(headers, "order_id")
         .join(product.select("product_id", "product_key"), "product_id")
+        .drop("product_id")
         .join(origin, "seller_id")
+        .drop("seller_id")
+        .join(headers, "order_id")
         .withColumns(
             {
                 # The total is taken first: with one part missing it becomes 0.

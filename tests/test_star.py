@@ -4,6 +4,7 @@ from datetime import date
 
 from helpers import customer, frame, item, order, small_sources
 from mercastar.fixed_values import STATES
+from mercastar.plans import star
 from mercastar.plans.star import dim_region, dim_time, fact_summary, star_summary
 from mercastar.plans.warehouse import build_star
 from mercastar.schemas import WAREHOUSE
@@ -235,3 +236,37 @@ def test_summaries(spark):
     assert (row["fact_rows"], row["delivered_rows"], row["total_price"]) == (1, 1, 100)
     empty = fact_summary(star["fact_orders"].limit(0)).first()
     assert (empty["fact_rows"], empty["delivered_rows"], empty["avg_price"]) == (0, 0, None)
+
+
+def paid(order_id, place, kind) -> dict:
+    return {"order_id": order_id, "payment_sequential": place, "payment_type": kind, "payment_value": 1}
+
+
+def test_first_payment_type_by_number_as_by_struct(spark, monkeypatch):
+    rows = [
+        paid("a", 2, "x"), paid("a", -(1 << 31), "z"), paid("a", -(1 << 31), "y"),
+        paid("b", 1, "x"), paid("b", None, "z"), paid("b", None, "é"),
+        paid("c", 1, None), paid("c", 3, "ä"), paid("c", 3, "z"),
+        paid("d", None, None), paid(None, 1, "x"), paid(None, 1, "x"),
+    ]
+    payments = frame(spark, "payments", *rows)
+
+    def found():
+        per_order = star.payments_per_order(payments)
+        return per_order, {r["order_id"]: (r["payment_value"], r["payment_type"]) for r in per_order.collect()}
+
+    numbered, got = found()
+    assert got == {"a": (3, "y"), "b": (3, "z"), "c": (3, "z"), "d": (1, None), None: (2, "x")}
+    assert "SortAggregate" not in numbered._jdf.queryExecution().executedPlan().toString()
+    monkeypatch.setattr(star, "MOST_TYPES", 2)
+    assert found()[1] == got
+
+
+def test_orders_move_once_by_order(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        plan = build_star(small_sources(spark))["fact_orders"]._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    # Orders with their customers, payments, reviews and items.
+    assert plan.count("Exchange hashpartitioning(order_id") == 4
