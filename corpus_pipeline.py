@@ -24,9 +24,10 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 ORACLE_SQL = None
 
 
-# Rows of a batch that a Python worker gets. Rows are whole documents, some very long,
-# and a batch is held by the JVM and the worker at once.
+# Rows and bytes of a batch that a Python worker gets. Rows are whole documents, some very
+# long, and a batch is held by the JVM and the worker at once.
 BATCH_ROWS = "2000"
+BATCH_BYTES = "4m"
 
 # Steps that the last stage wrote; nothing reads them once its result is stored.
 _earlier: list[str] = []
@@ -42,6 +43,7 @@ def _stage(work: Stage) -> Stage:
     def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
         find_package(spark)
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
         delete_steps(spark, _earlier)
         mark = steps_mark()
         out = work(spark, docs, sf_dir)

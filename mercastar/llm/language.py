@@ -238,7 +238,8 @@ def identify(docs: DataFrame, model: LanguageModel, text: str = "text") -> DataF
         scores = np.concatenate([s for _, s in found]) if found else np.zeros(0)
         return pa.StructArray.from_arrays([pa.array(names, pa.string()), pa.array(scores)], ["lang_pred", "score"])
 
-    answer = F.arrow_udf(detect, "lang_pred string, score double")
+    # Else a filter on the answer has Spark ask twice, with two workers in every task.
+    answer = F.arrow_udf(detect, "lang_pred string, score double").asNondeterministic()
     rows = packed(docs, _text=F.col(quoted(text))).withColumn("_answer", answer("_text"))
     return unpacked(
         rows, docs.columns, lang_pred=F.col("_answer.lang_pred"), score=F.col("_answer.score")

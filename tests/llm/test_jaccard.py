@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import random
 import re
+import tracemalloc
 
 import numpy as np
 import pyarrow as pa
@@ -144,6 +145,18 @@ def test_shingles_do_not_depend_on_slices(words):
     assert one.names().tolist() == [n for p in many for n in p.names().tolist()]
 
 
+def test_signatures_of_a_large_batch_take_little_memory(words):
+    text = words(400)
+    batch = pa.RecordBatch.from_arrays([pa.array([f"{i} {text}" for i in range(1500)])], ["text"])
+    assert batch.nbytes > 3_000_000
+    tracemalloc.start()
+    try:
+        assert sum(b.num_rows for b in J._emit_signatures(iter([batch]))) > 0
+        assert tracemalloc.get_traced_memory()[1] < 25_000_000
+    finally:
+        tracemalloc.stop()
+
+
 def test_components_of_a_path_and_a_star(spark):
     links = [(i, i + 1) for i in range(40)] + [(100, i) for i in range(101, 140)] + [(7, 7)]
     out = dict(components(spark.createDataFrame(links, "a bigint, b bigint")).collect())

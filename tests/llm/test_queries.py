@@ -7,6 +7,7 @@ import math
 import os
 
 import duckdb
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -83,6 +84,26 @@ def test_stages_take_odd_rows(spark, small):
         assert stage(spark, docs.where("doc_id < 0"), small).count() == 0
 
 
+def test_language_is_asked_once(spark, small):
+    """The filter on the answer must not have a second worker find it again."""
+    kept = corpus_pipeline.identify_language(spark, table(spark, small, "documents"), small)
+    assert kept._jdf.queryExecution().executedPlan().toString().count("ArrowEvalPython") == 1
+
+
+def test_batches_of_long_documents_are_bounded_by_bytes(spark, small):
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.nbytes])], ["n"])
+
+    @corpus_pipeline._stage
+    def measure(spark, docs, folder):
+        return docs.mapInArrow(sizes, "n bigint")
+
+    docs = spark.range(200).coalesce(1).select(F.repeat(F.lit("long document "), 6000).alias("text"))
+    found = [r.n for r in measure(spark, docs, small).collect()]
+    assert sum(found) > 16_000_000 and max(found) < 5_000_000
+
+
 def test_no_learnable_language_keeps_the_corpus(spark, small):
     schema = table(spark, small, "documents").schema
     rows = [(1, "a b c", None, "s", 5), (2, "12 34", None, "s", 5), (3, "d e f", None, "s", 5), (4, None, None, "s", 0)]
