@@ -127,18 +127,10 @@ def review_per_order(reviews: DataFrame) -> DataFrame:
     return first.select("order_id", "review_score")
 
 
-def order_headers(
-    orders: DataFrame,
-    payments: DataFrame,
-    reviews: DataFrame,
-    customer: DataFrame,
-    region: DataFrame,
-) -> DataFrame:
-    """Everything the fact takes per order, so that items meet one narrow table.
+def placed_orders(orders: DataFrame, customer: DataFrame, region: DataFrame) -> DataFrame:
+    """Orders with their days and their customer's keys.
 
-    Orders without a known customer or customer region cannot become facts and
-    end first. What follows is joined by order, so orders move once by customer and once
-    by order.
+    Orders without a known customer or customer region cannot become facts and end here.
     """
     bought = F.col("order_purchase_timestamp")
     arrived = F.col("order_delivered_customer_date")
@@ -159,43 +151,65 @@ def order_headers(
     home = customer.join(region, customer.customer_state == region.state_code).select(
         "customer_id", "customer_key", F.col("region_key").alias("customer_region_key")
     )
+    return dated.join(home, "customer_id").drop("customer_id")
+
+
+def keyed_items(
+    items: DataFrame, product: DataFrame, seller: DataFrame, region: DataFrame
+) -> DataFrame:
+    """Items with the keys of their product and seller, met while the rows are narrow."""
+    origin = seller.join(region, seller.seller_state == region.state_code, "left").select(
+        "seller_id", "seller_key", F.col("region_key").alias("seller_region_key")
+    )
     return (
-        dated.join(home, "customer_id")
-        .drop("customer_id")
-        .join(payments_per_order(payments), "order_id", "left")
-        .join(review_per_order(reviews), "order_id", "left")
+        items.select(
+            "order_id", "order_item_id", "product_id", "seller_id", "price", "freight_value"
+        )
+        .join(product.select("product_id", "product_key"), "product_id")
+        .drop("product_id")
+        .join(origin, "seller_id")
+        .drop("seller_id")
     )
 
 
-def fact_orders(
+def fact_parts(
     sources: Mapping[str, DataFrame],
     customer: DataFrame,
     product: DataFrame,
     seller: DataFrame,
     region: DataFrame,
-) -> DataFrame:
+) -> dict[str, DataFrame]:
+    """What `fact_orders` joins by order.
+
+    Each has an `order_id`, so that a condition on it in all of them gives the fact of
+    those orders.
+    """
+    return {
+        "orders": placed_orders(sources["orders"], customer, region),
+        "payments": payments_per_order(sources["payments"]),
+        "reviews": review_per_order(sources["reviews"]),
+        "items": keyed_items(sources["order_items"], product, seller, region),
+    }
+
+
+def fact_orders(parts: Mapping[str, DataFrame]) -> DataFrame:
     """One row per order item with a known order, customer, region, product and seller.
 
-    The required keys are inner joins, so rows that would lack one never move on.
+    `parts` are those of `fact_parts`. The required keys are inner joins, so rows that
+    would lack one never move on.
     Every join has its own key with unique rows on the dimension side. No side is
     forced to broadcast: the planner does so below its size threshold, and
-    otherwise the adaptive skew join splits a hot product or seller. Items meet products
-    and sellers while they are narrow, and take the wide values of their order last.
+    otherwise the adaptive skew join splits a hot product or seller. Orders move once by
+    customer and once by order; items take the wide values of their order last.
     """
-    headers = order_headers(
-        sources["orders"], sources["payments"], sources["reviews"], customer, region
-    )
-    origin = seller.join(region, seller.seller_state == region.state_code, "left").select(
-        "seller_id", "seller_key", F.col("region_key").alias("seller_region_key")
+    headers = (
+        parts["orders"]
+        .join(parts["payments"], "order_id", "left")
+        .join(parts["reviews"], "order_id", "left")
     )
     zero = F.lit(0)
     rows = (
-        sources["order_items"]
-        .select("order_id", "order_item_id", "product_id", "seller_id", "price", "freight_value")
-        .join(product.select("product_id", "product_key"), "product_id")
-        .drop("product_id")
-        .join(origin, "seller_id")
-        .drop("seller_id")
+        parts["items"]
         .join(headers, "order_id")
         .withColumns(
             {

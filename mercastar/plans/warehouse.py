@@ -13,12 +13,25 @@ from mercastar.plans.staging import build_staging
 from mercastar.schemas import STAGING, WAREHOUSE
 from mercastar.sources.sinks import read_parquet, write_parquet, write_table
 from mercastar.sources.versions import current, loading
+from mercastar.storage import delete_folder
 
 # Tables of one bucket count on customer_key join without a shuffle.
 BUCKETED = ("dim_customer", "fact_orders")
 MONTH = "purchase_month"
 # Rows of the fact in a file: some 100 MB.
 FILE_ROWS = 1 << 22
+# Items that are loaded into the fact at once: some 4 GB of shuffles.
+PASS_ROWS = 1 << 25
+# Columns of the fact that differ between the items of an order.
+ITEM_COLUMNS = (
+    "order_item_id",
+    "product_key",
+    "seller_key",
+    "seller_region_key",
+    "price",
+    "freight_value",
+    "total_revenue",
+)
 
 
 def _slices(rows: int, days: int) -> int:
@@ -26,6 +39,20 @@ def _slices(rows: int, days: int) -> int:
     return -(-rows // (FILE_ROWS * max(1, days // 30))) or 1
 
 
+def _passes(rows: int) -> int:
+    """Passes that load so many items."""
+    return -(-rows // PASS_ROWS) or 1
+
+
+def _of_pass(df: DataFrame, number: int, passes: int) -> DataFrame:
+    """Rows of the orders of one pass.
+
+    The seed makes passes independent of slices and of shuffle partitions.
+    """
+    place = F.pmod(F.xxhash64(F.lit(PASS_ROWS), "order_id"), F.lit(passes))
+    return df.where(place == number) if passes > 1 else df
+
+
 def _laid_out(fact: DataFrame, slices: int) -> DataFrame:
     """Rows of the fact as they are to lie in files.
 
@@ -34,13 +61,16 @@ def _laid_out(fact: DataFrame, slices: int) -> DataFrame:
     large, so files are few and even; rebalancing splits a slice too large for one task.
     Inside, rows are sorted by day, so that least and greatest values of parts of a file
     prune too, and items of an order lie together, which lets distinct orders collapse
-    before a shuffle.
+    before a shuffle. The shuffle has the columns of an order side by side, since those
+    repeat from item to item and are compressed as one.
     """
     dealt = fact.withColumn("_slice", F.pmod(F.xxhash64("order_id"), F.lit(slices)))
+    own = [c for c in dealt.columns if c not in ITEM_COLUMNS]
     return (
-        dealt.hint("rebalance", MONTH, "_slice")
+        dealt.select(*own, *ITEM_COLUMNS)
+        .hint("rebalance", MONTH, "_slice")
         .sortWithinPartitions(MONTH, "purchase_time_key", "order_id")
-        .drop("_slice")
+        .select(*fact.columns)
     )
 
 
@@ -48,6 +78,10 @@ def _month() -> Column:
     return F.expr("purchase_time_key DIV 100").cast("int")
 
 
+def _fact(parts: Mapping[str, DataFrame]) -> DataFrame:
+    return star.fact_orders(parts).withColumn(MONTH, _month())
+
+
 def _stored_schema(name: str) -> StructType:
     extra = [StructField(MONTH, IntegerType())] if name == "fact_orders" else []
     return StructType([*WAREHOUSE[name].fields, *extra])
@@ -104,14 +138,15 @@ class Warehouse:
 
     def _table(self, name: str) -> DataFrame:
         if name not in self._tables:
-            df = self._plan(name)
-            if self.folder:
+            if not self.folder:
+                df = self._plan(name)
+            else:
                 path = f"{self.folder}/{name}"
-                spark = df.sparkSession
                 if name == "fact_orders":
-                    slices = _slices(self.sources["order_items"].count(), self.time.count())
-                    write_parquet(_laid_out(df, slices), path, MONTH)
+                    spark = self._write_fact(path)
                 else:
+                    df = self._plan(name)
+                    spark = df.sparkSession
                     write_parquet(df, path)
                 df = read_parquet(spark, path, _stored_schema(name))
             self._tables[name] = df
@@ -127,12 +162,38 @@ class Warehouse:
             "dim_customer": lambda: star.dim_customer(self._unique("stg_customers")),
             "dim_product": lambda: star.dim_product(self._unique("stg_products")),
             "dim_seller": lambda: star.dim_seller(self._unique("stg_sellers")),
-            "fact_orders": lambda: star.fact_orders(
-                s, self.customer, self.product, self.seller, self.dim_region
-            ).withColumn(MONTH, _month()),
+            "fact_orders": lambda: _fact(self._fact_parts()),
         }
         return plans[name]()
 
+    def _fact_parts(self) -> dict[str, DataFrame]:
+        return star.fact_parts(
+            self.sources, self.customer, self.product, self.seller, self.dim_region
+        )
+
+    def _write_fact(self, path: str) -> SparkSession:
+        """Write the fact in passes over its orders.
+
+        The shuffles of a pass are deleted before the next one, so that the disk holds
+        those of PASS_ROWS items at a time, however many there are. Orders with their
+        customers are stored for it, as they are not dealt by order before they met them.
+        """
+        parts = self._fact_parts()
+        spark = parts["orders"].sparkSession
+        rows = self.sources["order_items"].count()
+        passes = _passes(rows)
+        slices = _slices(-(-rows // passes), self.time.count())
+        placed = f"{self.folder}/placed_orders"
+        if passes > 1:
+            write_parquet(parts["orders"], placed)
+            parts["orders"] = read_parquet(spark, placed, parts["orders"].schema)
+        for number in range(passes):
+            taken = {name: _of_pass(df, number, passes) for name, df in parts.items()}
+            write_parquet(_laid_out(_fact(taken), slices), path, MONTH, add=number > 0)
+        if passes > 1:
+            delete_folder(spark, placed)
+        return spark
+
     def _unique(self, name: str) -> DataFrame:
         """A staging table, which has one row per key: given, or built and stored here."""
         if name not in self._staging:
