@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from mercastar import fixed_values as fixed
@@ -30,21 +30,96 @@ UNNAMED_SERIES = "Other"
 TREND_CATEGORIES = 5
 
 
+# Product keys, which are dense, in one row of the lookup of categories.
+BLOCK = 1 << 12
+SET_BITS = 64
+
+
+def _numbered_categories(w: Warehouse) -> DataFrame:
+    """Categories, NULL among them, numbered from 0 as `_place`."""
+    names = w.product.select(CATEGORY).distinct()
+    place = F.row_number().over(Window.partitionBy().orderBy(CATEGORY)) - 1
+    return names.select(CATEGORY, place.alias("_place"))
+
+
+def _category_blocks(w: Warehouse) -> DataFrame:
+    """`(_block, _places)`: places of the categories of BLOCK product keys in a row, -1 for no product.
+
+    A product takes a few bytes here, so that the lookup is broadcast for far more products
+    than their table; beyond, the fact is shuffled by block as it would be by product.
+    """
+    names = _numbered_categories(w).withColumnRenamed(CATEGORY, "_category")
+    known = w.product.join(names, F.col(CATEGORY).eqNullSafe(F.col("_category"))).select(
+        _block().alias("_block"), _slot().alias("_slot"), "_place"
+    )
+    slots = F.explode(F.sequence(F.lit(0), F.lit(BLOCK - 1))).alias("_slot")
+    empty = known.select("_block").distinct().select("_block", slots, F.lit(-1).alias("_place"))
+    filled = known.unionByName(empty).groupBy("_block", "_slot").agg(F.max("_place").alias("_place"))
+    places = F.array_sort(F.collect_list(F.struct("_slot", "_place")))["_place"]
+    return filled.groupBy("_block").agg(places.alias("_places"))
+
+
+def _slot() -> Column:
+    return F.pmod("product_key", F.lit(BLOCK)).cast("int")
+
+
+def _block() -> Column:
+    return F.expr(f"(product_key - pmod(product_key, {BLOCK})) DIV {BLOCK}")
+
+
+def _members(sets: DataFrame, key: str, name: str) -> DataFrame:
+    """Distinct values of `key` for each category; equal sets of categories are counted as one."""
+    each = sets.groupBy(key, "_word").agg(F.bit_or("_set").alias("_set"))
+    alike = each.groupBy("_word", "_set").agg(F.count(key).alias("_n"))
+    bits = F.explode(F.sequence(F.lit(0), F.lit(SET_BITS - 1))).alias("_bit")
+    return (
+        alike.select("*", bits)
+        .where("(shiftrightunsigned(_set, _bit) & 1) = 1")
+        .groupBy((F.col("_word") * SET_BITS + F.col("_bit")).alias("_place"))
+        .agg(F.sum("_n").alias(name))
+    )
+
+
 def category_leaderboard(w: Warehouse, p: ReportParameters) -> DataFrame:
-    """Fifteen best categories; shares are of all categories."""
+    """Fifteen best categories; shares are of all categories.
+
+    Orders and buyers move once with the set of their categories, as bits of a number, and
+    not once with each category. Items of an order lie together, so they become one row
+    where they are read.
+    """
+    blocks = w.derived("category_blocks", lambda: _category_blocks(w))
+    rows = (
+        delivered(w)
+        .withColumn("_block", _block())
+        .join(blocks, "_block")
+        .withColumn("_place", F.get("_places", _slot()))
+        .where("_place >= 0")
+    )
+    sums = rows.groupBy("_place").agg(
+        *metrics(
+            items_sold="items",
+            total_revenue="price_sum",
+            avg_price="price_mean",
+            avg_review_score="score_mean",
+            avg_delivery_days="delivery_mean",
+        )
+    )
+    bit = F.expr(f"shiftleft(1L, _place % {SET_BITS})")
+    word = F.expr(f"_place DIV {SET_BITS}").alias("_word")
+    sets = rows.groupBy("order_id", "customer_key", word).agg(F.bit_or(bit).alias("_set"))
     return (
-        with_product(delivered(w), w)
-        .groupBy(CATEGORY)
-        .agg(
-            *metrics(
-                items_sold="items",
-                unique_orders="orders",
-                unique_buyers="buyers",
-                total_revenue="price_sum",
-                avg_price="price_mean",
-                avg_review_score="score_mean",
-                avg_delivery_days="delivery_mean",
-            )
+        sums.join(_members(sets, "order_id", "unique_orders"), "_place", "left")
+        .join(_members(sets, "customer_key", "unique_buyers"), "_place", "left")
+        .join(_numbered_categories(w), "_place")
+        .select(
+            CATEGORY,
+            "items_sold",
+            F.coalesce("unique_orders", F.lit(0)).alias("unique_orders"),
+            F.coalesce("unique_buyers", F.lit(0)).alias("unique_buyers"),
+            "total_revenue",
+            "avg_price",
+            "avg_review_score",
+            "avg_delivery_days",
         )
         .withColumn("revenue_share_pct", share_of_all(F.col("total_revenue")))
         .withColumn("category", F.coalesce(CATEGORY, F.lit(UNNAMED)))
